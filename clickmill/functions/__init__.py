@@ -1,7 +1,5 @@
 from clickmill.functions.columns import (
     bin_label,
-    bin_lower_edge,
-    bin_upper_edge,
     equal_width_bin,
     md5_uniform,
     rate_column,
@@ -11,8 +9,6 @@ from clickmill.functions.columns import (
 
 __all__ = [
     "bin_label",
-    "bin_lower_edge",
-    "bin_upper_edge",
     "equal_width_bin",
     "md5_uniform",
     "rate_column",

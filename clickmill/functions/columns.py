@@ -39,32 +39,17 @@ def value_rate(count: Column, rows: Column | int) -> Column:
     return F.coalesce(F.try_divide(count.cast("double"), F.lit(rows)), F.lit(0.0))
 
 
-def _bin_width(lo: Column, hi: Column, bins: int) -> Column:
-    return (hi - lo).cast("double") / F.lit(float(bins))
-
-
 def equal_width_bin(value: Column, lo: Column, hi: Column, bins: int) -> Column:
     """0-based bin of ``value``: half-open bins, the last one closed, null stays null.
 
     A constant column has width 0 and puts every row in bin 0.
     """
-    position = F.floor((value - lo) / F.nullif(_bin_width(lo, hi, bins), F.lit(0.0)))
+    width = (hi - lo).cast("double") / F.lit(float(bins))
+    position = F.floor((value - lo) / F.nullif(width, F.lit(0.0)))
     found = F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).cast("int")
     return F.when(value.isNotNull(), found)
 
 
-def bin_lower_edge(index: Column, lo: Column, hi: Column, bins: int) -> Column:
-    return index.cast("double") * _bin_width(lo, hi, bins) + lo
-
-
-def bin_upper_edge(index: Column, lo: Column, hi: Column, bins: int) -> Column:
-    """Upper edge; exactly ``hi`` for the last bin and for a constant column."""
-    closes = (index == bins - 1) | (lo == hi)
-    return F.when(closes, hi.cast("double")).otherwise(
-        bin_lower_edge(index + 1, lo, hi, bins)
-    )
-
-
 def bin_label(lower: Column, upper: Column) -> Column:
     """Axis text of a bin, as in ``0.0E+00---2.34E+02``."""
     return F.format_string("%.1E---%.2E", lower, upper)

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StringIndexer, StringIndexerModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from clickmill.operators.encode import FEATURES
 from clickmill.schema import LABEL
 
 INDEXED = "indexed"
+INDEX_ONE = "index_one"
 
 # Training parameters of the two models.
 LR_MAX_ITER = 10
@@ -39,10 +41,26 @@ def train_lr(
 def train_rf(
     features: DataFrame, trees: int = RF_TREES, depth: int = RF_DEPTH, seed: int = RF_SEED
 ) -> PipelineModel:
-    """Random forest on indexed labels, kept together with the index it was trained on."""
+    """Random forest on two indexed labels, kept together with the index it was trained on.
+
+    The classifier of recent Spark releases merges sibling leaves that predict the same
+    label. Clicks are rare, so that is nearly every pair, and the merged leaves lose the
+    probabilities that a ROC curve ranks by: a forest of depth 2 shrinks to one constant.
+    Trees grown on the 0/1 index as a number split at the same places, because the variance
+    of a 0/1 variable is half its Gini impurity, and keep every leaf; the mean of a leaf is
+    the probability of index 1.
+    """
     indexer = index_labels(features)
-    estimator = RandomForestClassifier(
-        featuresCol=FEATURES, labelCol=INDEXED, numTrees=trees, maxDepth=depth, seed=seed
+    if len(indexer.labels) > 2:
+        raise ValueError(f"expected two labels, found {', '.join(indexer.labels)}")
+    estimator = RandomForestRegressor(
+        featuresCol=FEATURES,
+        labelCol=INDEXED,
+        predictionCol=INDEX_ONE,
+        numTrees=trees,
+        maxDepth=depth,
+        seed=seed,
+        featureSubsetStrategy="sqrt" if trees > 1 else "all",
     )
     forest = estimator.fit(indexer.transform(features))
     # Scoring must not fail on or drop a row whose label training never saw.
@@ -68,10 +86,21 @@ def score(model: PipelineModel, features: DataFrame, positive_label: float = 1.0
     the probability of the positive label.
     """
     labels = class_labels(model)
-    scored = model.transform(features).drop(INDEXED)
-    probability = vector_to_array("probability")
+    scored = model.transform(features)
+    forest = model.stages[-1]
+    if isinstance(forest, RandomForestRegressionModel):
+        one = F.col(INDEX_ONE)
+        trees = F.lit(float(forest.getNumTrees))
+        scored = scored.withColumns(
+            {
+                # Votes of the trees, as a classifying forest reports them.
+                "rawPrediction": array_to_vector(F.array((1 - one) * trees, one * trees)),
+                "probability": array_to_vector(F.array(1 - one, one)),
+                "prediction": (one > 0.5).cast("double"),
+            }
+        ).drop(INDEXED, INDEX_ONE)
     if positive_label in labels:
-        positive = probability[labels.index(positive_label)]
+        positive = vector_to_array("probability")[labels.index(positive_label)]
     else:
         positive = F.lit(0.0)
     by_index = F.array(*[F.lit(label) for label in labels])

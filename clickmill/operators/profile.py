@@ -6,7 +6,9 @@ each other (``unpivot``) and grouped together, or aggregated side by side.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,8 +16,6 @@ from pyspark.sql import types as T
 
 from clickmill.functions import (
     bin_label,
-    bin_lower_edge,
-    bin_upper_edge,
     equal_width_bin,
     text_value,
     value_rate,
@@ -188,56 +188,50 @@ def histograms(
 
 def _histograms(df: DataFrame, columns: list[str], bins: int, labels: bool) -> DataFrame:
     values = df.select(*[_without_nan(df, name).alias(name) for name in columns])
-    bounds = values.agg(
-        F.struct(
-            *[
-                F.struct(F.min(name).alias("lo"), F.max(name).alias("hi")).alias(name)
-                for name in columns
-            ]
-        ).alias("bounds")
-    ).scalar()
+    # Two numbers per column, whatever the number of rows.
+    row = values.agg(
+        *[
+            F.struct(F.min(name).alias("lo"), F.max(name).alias("hi")).alias(name)
+            for name in columns
+        ]
+    ).first()
+    bounds = {name: (row[name]["lo"], row[name]["hi"]) for name in columns}
+    filled = [name for name in columns if bounds[name][0] is not None]
+    for name in filled:
+        if not all(math.isfinite(bound) for bound in bounds[name]):
+            raise ValueError(f"column {name!r} has infinite values: its range has no bins")
 
     # 13 columns x 10 bins are 130 groups, reduced to as many rows within each task.
-    found = (
-        values.select(
-            *[
-                equal_width_bin(F.col(c), bounds[c]["lo"], bounds[c]["hi"], bins).alias(c)
-                for c in columns
-            ]
-        )
-        .unpivot([], columns, "column", "bin")
-        .where(F.col("bin").isNotNull())
-        .groupBy("column", "bin")
-        .agg(F.count(F.lit(1)).alias("count"))
+    indexes = values.select(
+        *[
+            equal_width_bin(F.col(c), F.lit(bounds[c][0]), F.lit(bounds[c][1]), bins).alias(c)
+            for c in filled
+        ]
     )
-
-    grid = (
-        df.sparkSession.range(bins)
-        .select(
-            F.col("id").cast("int").alias("bin"),
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(c).alias("column"),
-                            bounds[c]["lo"].cast("double").alias("lo"),
-                            bounds[c]["hi"].cast("double").alias("hi"),
-                        )
-                        for c in columns
-                    ]
-                )
-            ),
-        )
-        .where(F.col("lo").isNotNull() & ((F.col("lo") < F.col("hi")) | (F.col("bin") == 0)))
+    edges = "column string, bin int, lower double, upper double"
+    grid = df.sparkSession.createDataFrame(
+        [
+            (name, index, float(lower), float(upper))
+            for name in filled
+            for index, (lower, upper) in enumerate(
+                pairwise(histogram_edges(*bounds[name], bins))
+            )
+        ],
+        edges,
     )
-
-    lo, hi, index = F.col("lo"), F.col("hi"), F.col("bin")
-    result = grid.join(found, ["column", "bin"], "left").select(
-        "column",
-        "bin",
-        bin_lower_edge(index, lo, hi, bins).alias("lower"),
-        bin_upper_edge(index, lo, hi, bins).alias("upper"),
-        F.coalesce("count", F.lit(0)).alias("count"),
+    if filled:
+        found = (
+            indexes.unpivot([], filled, "column", "bin")
+            .where(F.col("bin").isNotNull())
+            .groupBy("column", "bin")
+            .agg(F.count(F.lit(1)).alias("count"))
+        )
+        # At most one row per column and bin on either side.
+        joined = grid.join(found, ["column", "bin"], "left")
+    else:
+        joined = grid.withColumn("count", F.lit(0).cast("bigint"))
+    result = joined.select(
+        "column", "bin", "lower", "upper", F.coalesce("count", F.lit(0)).alias("count")
     )
     result = result.withColumn("total", F.sum("count").over(Window.partitionBy("column")))
     if labels:

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from clickmill.schema import CAT_COLS, INT_COLS, LABEL
+from clickmill.session import spread
 
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey"]
 
@@ -43,8 +44,8 @@ _INTEGERS = {
     "I13": "cast(floor(l_extendedprice * l_extendedprice / 100000) as bigint)",
 }
 
-# Hexadecimal text of a number below 2^32, spread over all eight digits.
-_CODE = "lower(lpad(hex(({number}) * 40503 % 4294967296), 8, '0'))"
+# Hexadecimal text of a number below 2^32, spread over up to eight digits.
+_CODE = "hex(({number}) * 40503 % 4294967296)"
 
 # Number behind each category and the condition under which the category is missing.
 _NUMBERS = {
@@ -109,7 +110,8 @@ def clicks_sql() -> str:
 
 
 def clicks_with_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(*clicks_select("spark"))
+    rows = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    return rows.selectExpr(*clicks_select("spark"))
 
 
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickmill.schema import CLICK_SCHEMA
+from clickmill.session import spread
 
 SEPARATOR = "\t"
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Raw lines as one ``value`` column; compressed files and folders read alike."""
-    return spark.read.text(path)
+    return spread(spark.read.text(path))
 
 
 def _typed(text: Column, field: T.StructField, ansi: bool) -> Column:
@@ -66,7 +67,7 @@ def read_clicks(
     """
     if exact:
         return parse_lines(read_lines(spark, path), schema)
-    return spark.read.csv(path, sep=SEPARATOR, schema=schema, mode="FAILFAST", quote="")
+    return spread(spark.read.csv(path, sep=SEPARATOR, schema=schema, mode="FAILFAST", quote=""))
 
 
 def to_lines(df: DataFrame) -> DataFrame:
