@@ -333,14 +333,12 @@ def feature_pipeline(
     impute: str = "truncate",
 ) -> Pipeline:
     """The encoding as an unfitted pipeline, for use inside other pipelines."""
-    return Pipeline(
-        stages=[
-            MeanImputer(inputCols=list(int_columns), strategy=impute),
-            FrequencyEncoder(inputCols=list(cat_columns)),
-            _assembler(int_columns, cat_columns),
-            _scaler(),
-        ]
-    )
+    stages = []
+    if int_columns:
+        stages.append(MeanImputer(inputCols=list(int_columns), strategy=impute))
+    if cat_columns:
+        stages.append(FrequencyEncoder(inputCols=list(cat_columns)))
+    return Pipeline(stages=[*stages, _assembler(int_columns, cat_columns), _scaler()])
 
 
 def fit_features(
@@ -372,26 +370,28 @@ def fit_features(
         for name in group:
             stats[name] = {**row[name].asDict(), "has_null": row[name]["values"] < row["rows"]}
 
-    imputer = _imputer_model({name: stat["mean"] for name, stat in stats.items()})
-    imputer._set(inputCols=list(int_columns), strategy=impute)
-    encoder = FrequencyEncoder(inputCols=list(cat_columns)).fit(train)
-    rate_bounds = encoder.rate_bounds()
-
-    low, high = [], []
-    for name in int_columns:
-        reached = [stats[name]["lo"], stats[name]["hi"]]
-        if stats[name]["has_null"]:
-            reached.append(imputer.fill_value(name, train.schema[name].dataType))
-        low.append(float(min(reached)))
-        high.append(float(max(reached)))
-    for name in cat_columns:
-        low.append(rate_bounds[name][0])
-        high.append(rate_bounds[name][1])
+    stages, low, high = [], [], []
+    if int_columns:
+        imputer = _imputer_model({name: stat["mean"] for name, stat in stats.items()})
+        imputer._set(inputCols=list(int_columns), strategy=impute)
+        stages.append(imputer)
+        for name in int_columns:
+            reached = [stats[name]["lo"], stats[name]["hi"]]
+            if stats[name]["has_null"]:
+                reached.append(imputer.fill_value(name, train.schema[name].dataType))
+            low.append(float(min(reached)))
+            high.append(float(max(reached)))
+    if cat_columns:
+        encoder = FrequencyEncoder(inputCols=list(cat_columns)).fit(train)
+        stages.append(encoder)
+        rate_bounds = encoder.rate_bounds()
+        low += [rate_bounds[name][0] for name in cat_columns]
+        high += [rate_bounds[name][1] for name in cat_columns]
     corners = train.sparkSession.createDataFrame(
         [(Vectors.dense(low),), (Vectors.dense(high),)], [RAW_FEATURES]
     )
     scaler = _scaler().fit(corners)
-    return PipelineModel([imputer, encoder, _assembler(int_columns, cat_columns), scaler])
+    return PipelineModel([*stages, _assembler(int_columns, cat_columns), scaler])
 
 
 def to_features(model: PipelineModel, df: DataFrame, label: str = LABEL) -> DataFrame:

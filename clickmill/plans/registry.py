@@ -378,7 +378,7 @@ _ROW_LINE_SQL = "concat_ws(chr(9), l_orderkey, l_partkey, l_suppkey, l_linenumbe
 
 @_query(
     "split_files_roundtrip",
-    f"""select part, value from (select value, {_PART_SQL.replace("'test'", "'test'")} as part from
+    f"""select part, value from (select value, {_PART_SQL} as part from
       (select value, cast('0x' || substr(md5(value), 1, 8) as bigint) / 4294967296.0::double as u
        from (select {_ROW_LINE_SQL} as value from lineitem)))""",
     on_clicks=False,
@@ -577,8 +577,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     rows = clicks_with_keys(spark, sf_dir).select(*KEYS, "I2", "I13")
-    stages = encode.feature_pipeline(["I2", "I13"], []).getStages()[2:]
-    assembler, scaler = stages
+    _, assembler, scaler = encode.feature_pipeline(["I2", "I13"], []).getStages()
     assembled = assembler.transform(rows)
     scaled = vector_to_array(encode.FEATURES)
     return (

@@ -1,0 +1,148 @@
+import random
+from collections import Counter
+
+import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from clickmill.operators import encode
+
+
+def brute_rates(train, values):
+    counts = Counter(train)
+    return [counts.get(value, 0) / len(train) for value in values]
+
+
+def encoded(spark, train, test, **options):
+    fit = spark.createDataFrame([(value,) for value in train], "C1 string")
+    apply = spark.createDataFrame(list(enumerate(test)), "id int, C1 string")
+    model = encode.FrequencyEncoder(inputCols=["C1"], **options).fit(fit)
+    rows = model.transform(apply).orderBy("id").collect()
+    assert [row["C1"] for row in rows] == test
+    return [row["C1_rate"] for row in rows]
+
+
+def test_null_and_unseen(spark):
+    assert encoded(spark, ["a", "a", None], ["a", None, "zzz"]) == [2 / 3, 1 / 3, 0.0]
+
+
+# Broadcast, and both kinds of shuffle: all values hot, some hot, none hot.
+OPTIONS = [
+    {},
+    {"broadcastBytes": 0, "hotShare": 0.0},
+    {"broadcastBytes": 0, "hotShare": 0.05},
+    {"broadcastBytes": 0, "hotShare": 2.0},
+]
+
+
+@pytest.mark.parametrize("options", OPTIONS)
+def test_lookup_equals_brute_force(spark, options):
+    rng = random.Random(5)
+    # A third of all rows hold one value, a third of the others none, some an empty one.
+    def value():
+        return rng.choice(["hot", rng.choice([None, "", "x"]), f"v{rng.randrange(500)}"])
+
+    train = [value() for _ in range(2000)]
+    test = [value() for _ in range(1000)] + ["unseen", "-1"]
+    assert encoded(spark, train, test, **options) == pytest.approx(brute_rates(train, test))
+
+
+def test_rows_that_are_done_spread_over_the_shuffle(spark):
+    train = spark.range(10000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("C1"))
+    model = encode.FrequencyEncoder(inputCols=["C1"], broadcastBytes=0).fit(train)
+    joined = model.transform(train.repartition(16))
+    # No key of the shuffle holds the hot rows: they are keyed by their input partition.
+    plan = joined._jdf.queryExecution().toString()
+    assert "_spread" in plan and "SPARK_PARTITION_ID" in plan
+    assert joined.where("C1 = 'hot'").agg(F.min("C1_rate"), F.max("C1_rate")).first() == (0.6666, 0.6666)
+
+
+def test_rates_sum_to_one(spark):
+    frame = spark.createDataFrame([("a", None), ("b", "x"), (None, "x")], "C1 string, C2 string")
+    model = encode.FrequencyEncoder(inputCols=["C1", "C2"]).fit(frame)
+    sums = model.rates.groupBy("column").agg(F.sum("rate").alias("s")).collect()
+    assert {row["column"]: row["s"] for row in sums} == pytest.approx({"C1": 1.0, "C2": 1.0})
+    assert model.rate_bounds() == {"C1": (1 / 3, 1 / 3), "C2": (1 / 3, 2 / 3)}
+
+
+@pytest.mark.parametrize(
+    "strategy, expected",
+    [("truncate", [1, 0]), ("round", [2, -1]), ("exact", [1.9, -0.7])],
+)
+def test_impute(spark, strategy, expected):
+    # Means 1.9 and -0.7.
+    frame = spark.createDataFrame(
+        [(1, -7)] + [(2, 0)] * 9 + [(None, None)], "a bigint, b bigint"
+    )
+    model = encode.MeanImputer(inputCols=["a", "b"], strategy=strategy).fit(frame)
+    filled = model.transform(frame).collect()[-1]
+    assert list(filled) == pytest.approx(expected)
+    assert model.transform(frame).dtypes[0][1] == ("double" if strategy == "exact" else "bigint")
+
+
+def test_impute_reports_a_column_without_values(spark):
+    frame = spark.createDataFrame([(1, None)], "a bigint, b bigint")
+    with pytest.raises(ValueError, match="b"):
+        encode.MeanImputer(inputCols=["a", "b"]).fit(frame)
+    with pytest.raises(ValueError, match="b"):
+        encode.fit_features(frame.withColumn("C1", F.lit("x")), ["a", "b"], ["C1"])
+    with pytest.raises(ValueError):
+        encode.MeanImputer(inputCols=["a"], strategy="other").fit(frame)
+
+
+def features(model, frame):
+    rows = encode.to_features(model, frame).select("label", vector_to_array("features").alias("f"))
+    return sorted((row["label"], [round(x, 12) for x in row["f"]]) for row in rows.collect())
+
+
+def test_scaling_leaves_the_range_and_centres_constants(spark):
+    train = spark.createDataFrame([(0, 1, 7), (1, 3, 7)], "label int, a bigint, k bigint")
+    test = spark.createDataFrame([(0, 0, 7), (1, 5, 9)], "label int, a bigint, k bigint")
+    model = encode.fit_features(train, ["a", "k"], [])
+    assert features(model, test) == [(0.0, [-0.5, 0.5]), (1.0, [2.0, 0.5])]
+
+
+@pytest.fixture(scope="module")
+def log(spark):
+    rng = random.Random(9)
+    return spark.createDataFrame(
+        [
+            (
+                rng.randrange(2),
+                rng.choice([None, rng.randrange(-5, 100)]),
+                rng.choice([None, rng.randrange(10)]),
+                rng.choice([None, "a", "b", f"v{rng.randrange(30)}"]),
+                rng.choice(["x", "y"]),
+            )
+            for _ in range(500)
+        ],
+        "label int, I1 bigint, I2 bigint, C1 string, C2 string",
+    )
+
+
+@pytest.mark.parametrize("impute", ["truncate", "round", "exact"])
+def test_fused_fit_equals_stage_by_stage_fit(log, impute):
+    columns = (["I1", "I2"], ["C2", "C1"], impute)
+    fused = encode.fit_features(log, *columns)
+    staged = encode.feature_pipeline(*columns).fit(log)
+    train = features(fused, log)
+    assert train == features(staged, log)
+    assert all(0.0 <= x <= 1.0 for _, f in train for x in f)
+    assert train == features(fused, log.repartition(7))
+
+
+def test_order_of_features_is_the_callers(log):
+    model = encode.fit_features(log, ["I1", "I2"], ["C2", "C1"])
+    assert model.stages[2].getInputCols() == ["I1", "I2", "C2_rate", "C1_rate"]
+    # Swapped categories swap their features and nothing else.
+    swapped = encode.fit_features(log, ["I1", "I2"], ["C1", "C2"])
+    assert sorted((l, [*f[:2], f[3], f[2]]) for l, f in features(model, log)) == features(swapped, log)
+
+
+def test_saved_encoding_gives_the_same_features(log, tmp_path):
+    model = encode.fit_features(log, ["I1", "I2"], ["C1", "C2"], "round")
+    model.write().overwrite().save(str(tmp_path / "m"))
+    loaded = PipelineModel.load(str(tmp_path / "m"))
+    assert features(loaded, log) == features(model, log)
+    assert loaded.stages[1].sizes == model.stages[1].sizes
