@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import decimal
+import math
 from collections.abc import Sequence
 
 from pyspark import keyword_only
@@ -21,7 +22,7 @@ from pyspark.ml.util import (
     MLWritable,
     MLWriter,
 )
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,16 +82,17 @@ class FrequencyEncoder(Estimator, _EncoderParams, DefaultParamsReadable, Default
 
 
 def _sizes(counts: DataFrame) -> dict[str, dict[str, int]]:
-    """Per column: rows seen, distinct values and their text bytes (one row per column)."""
+    """Per column: rows seen, distinct values, text bytes of all and of the longest.
+
+    One row per column reaches the driver.
+    """
     rows = counts.groupBy("column").agg(
         F.sum("count").alias("rows"),
         F.count(F.lit(1)).alias("values"),
         F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).alias("bytes"),
+        F.coalesce(F.max(F.octet_length("value")), F.lit(0)).alias("longest"),
     )
-    return {
-        row["column"]: {"rows": row["rows"], "values": row["values"], "bytes": row["bytes"]}
-        for row in rows.collect()
-    }
+    return {row["column"]: row.asDict() for row in rows.collect()}
 
 
 class FrequencyEncoderModel(Model, _EncoderParams, MLReadable, MLWritable):
@@ -98,6 +100,8 @@ class FrequencyEncoderModel(Model, _EncoderParams, MLReadable, MLWritable):
 
     # Hash-table entry of a broadcast row beside its text.
     ENTRY_BYTES = 96
+    # Most that the hot values of a column may take on an executor.
+    HOT_BYTES = 64 * 1024 * 1024
 
     def __init__(self, counts: DataFrame | None = None, sizes: dict | None = None):
         super().__init__()
@@ -122,43 +126,54 @@ class FrequencyEncoderModel(Model, _EncoderParams, MLReadable, MLWritable):
         estimate = size["bytes"] + self.ENTRY_BYTES * size["values"]
         return estimate <= self.getOrDefault(self.broadcastBytes)
 
+    def hot_count(self, column: str) -> int:
+        """Count from which a value of the column is hot.
+
+        Counts add up to the rows seen, so at most 1 / share values reach a share of them:
+        the size of the hot table is bounded before it is known.
+        """
+        size = self.sizes[column]
+        share = max(
+            self.getOrDefault(self.hotShare),
+            (size["longest"] + self.ENTRY_BYTES) / self.HOT_BYTES,
+        )
+        return max(math.ceil(share * size["rows"]), 1)
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         for name in self.getInputCols():
-            rates = self.rates.where(F.col("column") == name).select("value", "rate")
-            lookup = _broadcast_lookup if self.fits_broadcast(name) else self._split_lookup
-            dataset = lookup(dataset, name, rates)
+            rates = self.rates.where(F.col("column") == name)
+            if self.fits_broadcast(name):
+                dataset = _broadcast_lookup(dataset, name, rates)
+            else:
+                dataset = self._split_lookup(dataset, name, rates)
         return dataset
 
     def _split_lookup(self, dataset: DataFrame, name: str, rates: DataFrame) -> DataFrame:
         """Lookup in a rate table too large to broadcast.
 
-        Values with a share of ``hotShare`` or more number at most 1 / ``hotShare``,
-        whatever the data, and are broadcast. The others are joined by a shuffle in which
-        no key holds more than that share. Rows that are done already go through the same
-        shuffle under the number of their input partition, which no rate has, so that
-        they spread over all tasks.
+        The hot values are broadcast. The others are joined by a shuffle in which no key
+        holds more than the hot share of the rows. Rows that are done already go through
+        the same shuffle under the number of their input partition, which no rate has, so
+        that they spread over all tasks.
         """
-        share = self.getOrDefault(self.hotShare)
-        hot = rates.where(F.col("rate") >= share)
-        cold = rates.where(F.col("rate") < share).select(
-            F.coalesce("value", F.lit("")).alias("_text"),
-            F.col("value").isNull().alias("_null"),
-            F.lit(-1).alias("_spread"),
-            F.col("rate").alias("_cold"),
+        limit = self.hot_count(name)
+        hot = rates.where(F.col("count") >= limit)
+        cold = rates.where(F.col("count") < limit).select(
+            _shuffle_key(F.col("value")).alias("_key"), F.col("rate").alias("_cold")
         )
         target = rate_column(name)
         columns = [column for column in dataset.columns if column != target]
         marked = _broadcast_lookup(dataset, name, hot, missing=None)
-        done = F.col(target).isNotNull()
-        value = F.col(name).cast("string")
+        # Text, as a constant column beside the key would be taken out of the shuffle.
+        done = F.concat(F.lit("d"), F.spark_partition_id().cast("string"))
         keyed = marked.select(
             *columns,
             target,
-            F.when(done, "").otherwise(F.coalesce(value, F.lit(""))).alias("_text"),
-            (~done & value.isNull()).alias("_null"),
-            F.when(done, F.spark_partition_id()).otherwise(-1).alias("_spread"),
+            F.when(F.col(target).isNotNull(), done)
+            .otherwise(_shuffle_key(F.col(name).cast("string")))
+            .alias("_key"),
         )
-        return keyed.join(cold, ["_text", "_null", "_spread"], "left").select(
+        return keyed.join(cold, "_key", "left").select(
             *columns, F.coalesce(target, "_cold", F.lit(0.0)).alias(target)
         )
 
@@ -170,6 +185,11 @@ class FrequencyEncoderModel(Model, _EncoderParams, MLReadable, MLWritable):
         return _EncoderReader(cls)
 
 
+def _shuffle_key(value: Column) -> Column:
+    """Value as a join key that is never null."""
+    return F.coalesce(F.concat(F.lit("v"), value), F.lit("n"))
+
+
 def _broadcast_lookup(
     dataset: DataFrame, name: str, rates: DataFrame, missing: float | None = 0.0
 ) -> DataFrame:

@@ -110,7 +110,7 @@ def clicks_sql() -> str:
 
 
 def clicks_with_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    rows = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), *KEYS)
     return rows.selectExpr(*clicks_select("spark"))
 
 

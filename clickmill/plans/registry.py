@@ -713,9 +713,11 @@ def _(spark, sf_dir):
 # --- models ---------------------------------------------------------------------------
 
 
-def _trained(spark: SparkSession, sf_dir: str, models: tuple[str, ...]) -> workflow.Run:
+def _trained(
+    spark: SparkSession, sf_dir: str, models: tuple[str, ...], evaluated: bool = True
+) -> workflow.Run:
     train, test = _train_rows(clicks_with_keys(spark, sf_dir))
-    return workflow.run(train, test, models, dataset_name="test")
+    return workflow.run(train, test, models, dataset_name="test", evaluated=evaluated)
 
 
 def _plain(predictions: DataFrame) -> DataFrame:
@@ -733,18 +735,18 @@ def _plain(predictions: DataFrame) -> DataFrame:
 
 @_query("lr_predictions")
 def _(spark, sf_dir):
-    return _plain(_trained(spark, sf_dir, ("lr",)).predictions["lr"])
+    return _plain(_trained(spark, sf_dir, ("lr",), False).predictions["lr"])
 
 
 @_query("rf_predictions")
 def _(spark, sf_dir):
-    return _plain(_trained(spark, sf_dir, ("rf",)).predictions["rf"])
+    return _plain(_trained(spark, sf_dir, ("rf",), False).predictions["rf"])
 
 
 @_query("predictions_preview")
 def _(spark, sf_dir):
     """A look at 100 predictions of the forest; the limit is the feature."""
-    shown = model.preview(_trained(spark, sf_dir, ("rf",)).predictions["rf"])
+    shown = model.preview(_trained(spark, sf_dir, ("rf",), False).predictions["rf"])
     return shown.withColumns(
         {name: vector_to_array(name) for name in ("features", "probability")}
     )

@@ -40,16 +40,18 @@ def run(
     cat_columns: Sequence[str] = ENCODED_CAT_COLS,
     impute: str = "truncate",
     dataset_name: str = "",
+    evaluated: bool = True,
 ) -> Run:
     """Encode, train the named models and evaluate each on ``test``.
 
-    Encoded training rows are written once: every model reads them several times.
+    Encoded training rows are written once: every model reads them several times. Without
+    ``evaluated`` no row of ``test`` is read before its predictions are asked for.
     """
     used = [LABEL, *int_columns, *cat_columns]
     encoding = fit_features(train.select(*used), int_columns, cat_columns, impute)
     train_features = materialize(to_features(encoding, train.select(*used)), "train-features")
     test_features = to_features(encoding, test.select(*used))
-    if len(models) > 1:
+    if evaluated and len(models) > 1:
         test_features = materialize(test_features, "test-features")
     result = Run(encoding)
     for short in models:
@@ -59,7 +61,8 @@ def run(
         result.predictions[short] = scored.select(
             FEATURES, LABEL, "prediction", "probability", "score"
         )
-        result.evaluations[short] = evaluate(scored, MODEL_NAMES[short], dataset_name)
+        if evaluated:
+            result.evaluations[short] = evaluate(scored, MODEL_NAMES[short], dataset_name)
     return result
 
 

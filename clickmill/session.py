@@ -39,14 +39,15 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal the rows of a scan with fewer tasks than cores out to all cores.
 
     A gzip file or a parquet file with one row group is one task however large it is.
-    A scan with enough tasks, as any large table has, is returned as it is.
+    A scan with enough tasks, as any large table has, is returned as it is. Rows are dealt
+    in turn, which sorts them first to be repeatable, or by ``keys`` that name each row.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
 def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:

@@ -49,13 +49,31 @@ def test_lookup_equals_brute_force(spark, options):
 
 
 def test_rows_that_are_done_spread_over_the_shuffle(spark):
-    train = spark.range(10000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("C1"))
-    model = encode.FrequencyEncoder(inputCols=["C1"], broadcastBytes=0).fit(train)
-    joined = model.transform(train.repartition(16))
-    # No key of the shuffle holds the hot rows: they are keyed by their input partition.
-    plan = joined._jdf.queryExecution().toString()
-    assert "_spread" in plan and "SPARK_PARTITION_ID" in plan
-    assert joined.where("C1 = 'hot'").agg(F.min("C1_rate"), F.max("C1_rate")).first() == (0.6666, 0.6666)
+    ids = spark.range(9000)
+    value = F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string"))
+    rows = ids.select(value.alias("C1")).repartition(16)
+    model = encode.FrequencyEncoder(inputCols=["C1"], broadcastBytes=0).fit(rows)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, setting in settings.items():
+        spark.conf.set(key, setting)
+    try:
+        joined = model.transform(rows)
+        hot = joined.where("C1 = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for key, setting in before.items():
+            spark.conf.set(key, setting)
+    assert len(hot) == 4 and max(row["count"] for row in hot) < 6000 * 0.6
+    assert joined.where("C1 = 'hot'").select("C1_rate").distinct().collect() == [(6000 / 9000,)]
+
+
+def test_hot_table_is_bounded(spark):
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("C1"))
+    model = encode.FrequencyEncoder(inputCols=["C1"], broadcastBytes=0, hotShare=0.01).fit(rows)
+    assert model.hot_count("C1") == 10
+    model.HOT_BYTES = 990
+    # Only ten entries of 99 bytes fit, so a tenth of the rows makes a value hot.
+    assert model.hot_count("C1") == 100
 
 
 def test_rates_sum_to_one(spark):
