@@ -82,15 +82,16 @@ class FrequencyEncoder(Estimator, _EncoderParams, DefaultParamsReadable, Default
 
 
 def _sizes(counts: DataFrame) -> dict[str, dict[str, int]]:
-    """Per column: rows seen, distinct values, text bytes of all and of the longest.
-
-    One row per column reaches the driver.
+    """Per column: rows seen, distinct values, text bytes of all and of the longest, and the
+    smallest and largest count. One row per column reaches the driver.
     """
     rows = counts.groupBy("column").agg(
         F.sum("count").alias("rows"),
         F.count(F.lit(1)).alias("values"),
         F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).alias("bytes"),
         F.coalesce(F.max(F.octet_length("value")), F.lit(0)).alias("longest"),
+        F.min("count").alias("rarest"),
+        F.max("count").alias("commonest"),
     )
     return {row["column"]: row.asDict() for row in rows.collect()}
 
@@ -116,10 +117,10 @@ class FrequencyEncoderModel(Model, _EncoderParams, MLReadable, MLWritable):
 
     def rate_bounds(self) -> dict[str, tuple[float, float]]:
         """Smallest and largest rate that a row seen in fit can get, per column."""
-        bounds = self.rates.groupBy("column").agg(
-            F.min("rate").alias("lo"), F.max("rate").alias("hi")
-        )
-        return {row["column"]: (row["lo"], row["hi"]) for row in bounds.collect()}
+        return {
+            name: (size["rarest"] / size["rows"], size["commonest"] / size["rows"])
+            for name, size in self.sizes.items()
+        }
 
     def fits_broadcast(self, column: str) -> bool:
         size = self.sizes.get(column, {"values": 0, "bytes": 0})

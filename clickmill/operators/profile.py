@@ -108,6 +108,8 @@ def top_categories(counts: DataFrame, n: int = 10) -> DataFrame:
     the rest has rank ``n + 1``, value null and ``is_other`` true, so neither a null
     category nor one called "Other" can be mistaken for it. Ties go by value, null last.
     """
+    if n < 1:
+        raise ValueError("n must be at least 1")
     by_count = Window.partitionBy("column").orderBy(
         F.desc("count"), F.asc_nulls_last("value")
     )
@@ -165,11 +167,13 @@ def numeric_stats(df: DataFrame, columns: Sequence[str] = INT_COLS) -> DataFrame
     return _union(parts)
 
 
+def _is_float(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType))
+
+
 def _without_nan(df: DataFrame, name: str):
     column = F.col(name)
-    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
-        return F.when(~F.isnan(column), column)
-    return column
+    return F.when(~F.isnan(column), column) if _is_float(df, name) else column
 
 
 def histograms(
@@ -201,13 +205,15 @@ def _histograms(df: DataFrame, columns: list[str], bins: int, labels: bool) -> D
         if not all(math.isfinite(bound) for bound in bounds[name]):
             raise ValueError(f"column {name!r} has infinite values: its range has no bins")
 
+    def index_of(name: str):
+        numbers = [F.col(name), F.lit(bounds[name][0]), F.lit(bounds[name][1])]
+        if not _is_float(df, name) and bounds[name][1] - bounds[name][0] >= 2**63:
+            # The difference of two such integers is none.
+            numbers = [number.cast("decimal(20,0)") for number in numbers]
+        return equal_width_bin(*numbers, bins).alias(name)
+
     # 13 columns x 10 bins are 130 groups, reduced to as many rows within each task.
-    indexes = values.select(
-        *[
-            equal_width_bin(F.col(c), F.lit(bounds[c][0]), F.lit(bounds[c][1]), bins).alias(c)
-            for c in filled
-        ]
-    )
+    indexes = values.select(*[index_of(name) for name in filled])
     edges = "column string, bin int, lower double, upper double"
     grid = df.sparkSession.createDataFrame(
         [

@@ -5,6 +5,7 @@ A query without SQL trains a model or draws a random split; only its rows are ch
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -22,7 +23,7 @@ from clickmill.plans.clicks_view import (
     uniform_sql,
 )
 from clickmill.schema import CAT_COLS, ENCODED_CAT_COLS, INT_COLS, LABEL
-from clickmill.session import materialize, shared_folder
+from clickmill.session import materialize, shared_folder, spread
 from clickmill.sources import (
     parse_lines,
     read_clicks,
@@ -74,8 +75,6 @@ def _union_all(parts: list[str]) -> str:
 
 def _scratch(spark: SparkSession, name: str) -> str:
     """New folder for files that a query writes and reads back."""
-    import uuid
-
     return f"{shared_folder(spark)}/clickmill/{name}-{uuid.uuid4().hex}"
 
 
@@ -387,7 +386,8 @@ def _(spark, sf_dir):
     """Lines written as gzip text, one folder per part, and read back."""
     columns = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
     path = _scratch(spark, "split")
-    split.write_splits(to_lines(_table(spark, sf_dir, "lineitem").select(*columns)), path)
+    rows = spread(_table(spark, sf_dir, "lineitem").select(*columns), *KEYS)
+    split.write_splits(to_lines(rows), path)
     return read_lines(spark, path).select("part", "value")
 
 

@@ -66,12 +66,32 @@ def run(
     return result
 
 
-def run_mode(spark: SparkSession, root: str, mode: str = "test", exact: bool = True, **options) -> Run:
-    """``run`` on the named datasets of a mode below ``root``."""
+def run_mode(
+    spark: SparkSession,
+    root: str,
+    mode: str = "test",
+    exact: bool = True,
+    int_columns: Sequence[str] = INT_COLS,
+    cat_columns: Sequence[str] = ENCODED_CAT_COLS,
+    **options,
+) -> Run:
+    """``run`` on the named datasets of a mode below ``root``.
+
+    The training log is parsed once, into a table of the columns that the passes of the
+    fit read.
+    """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}; known: {', '.join(MODES)}")
     train_name, test_name, models = MODES[mode]
-    train = read_dataset(spark, root, train_name, exact)
+    used = [LABEL, *int_columns, *cat_columns]
+    train = materialize(read_dataset(spark, root, train_name, exact).select(*used), "train")
     test = read_dataset(spark, root, test_name, exact)
     options.setdefault("models", models)
-    return run(train, test, dataset_name=test_name, **options)
+    return run(
+        train,
+        test,
+        int_columns=int_columns,
+        cat_columns=cat_columns,
+        dataset_name=test_name,
+        **options,
+    )

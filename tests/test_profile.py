@@ -74,6 +74,13 @@ def test_histogram_special_columns(spark):
         profile.histograms(column(spark, [0.0, float("inf")], "double"), ["x"])
 
 
+def test_histogram_of_a_range_beyond_64_bits(spark):
+    ends = [-(2**63), -(2**62), 0, 2**63 - 1]
+    assert counts_of(profile.histograms(column(spark, ends), ["x"], 2)) == [2, 2]
+    wide = column(spark, [-1e300, 0.0, 1e300], "double")
+    assert counts_of(profile.histograms(wide, ["x"], 2)) == [1, 2]
+
+
 def test_histogram_labels(spark):
     row = profile.histograms(column(spark, [0, 2344]), ["x"], labels=True).where("bin = 0").first()
     assert row["bin_label"] == "0.0E+00---2.34E+02"
