@@ -1,5 +1,4 @@
 from clickmill.functions.columns import (
-    bin_label,
     equal_width_bin,
     md5_uniform,
     rate_column,
@@ -8,7 +7,6 @@ from clickmill.functions.columns import (
 )
 
 __all__ = [
-    "bin_label",
     "equal_width_bin",
     "md5_uniform",
     "rate_column",

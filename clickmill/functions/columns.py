@@ -50,11 +50,6 @@ def equal_width_bin(value: Column, lo: Column, hi: Column, bins: int) -> Column:
     return F.when(value.isNotNull(), found)
 
 
-def bin_label(lower: Column, upper: Column) -> Column:
-    """Axis text of a bin, as in ``0.0E+00---2.34E+02``."""
-    return F.format_string("%.1E---%.2E", lower, upper)
-
-
 def md5_uniform(key: Column) -> Column:
     """Number in [0, 1) that depends on the text of ``key`` alone.
 

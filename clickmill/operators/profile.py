@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickmill.functions import (
-    bin_label,
     equal_width_bin,
     text_value,
     value_rate,
@@ -176,21 +175,34 @@ def _without_nan(df: DataFrame, name: str):
     return F.when(~F.isnan(column), column) if _is_float(df, name) else column
 
 
+# Text of a bin by its edges, short for axes or with thousands grouped.
+BIN_LABELS = {
+    "scientific": "{lower:.1E}---{upper:.2E}",
+    "grouped": "{lower:,.3f} - {upper:,.0f}",
+}
+
+
 def histograms(
-    df: DataFrame, columns: Sequence[str] = INT_COLS, bins: int = 10, labels: bool = False
+    df: DataFrame,
+    columns: Sequence[str] = INT_COLS,
+    bins: int = 10,
+    labels: str | None = None,
 ) -> DataFrame:
     """Equal-width histograms ``(column, bin, lower, upper, count, total)``.
 
     Bins span the range of each column, are half-open with a closed last one, and appear
     even when empty. Nulls and NaN are skipped; a constant column has one bin and a
-    column without values none.
+    column without values none. ``labels`` names a form of ``BIN_LABELS`` for one more
+    column ``bin_label``.
     """
     if bins < 1:
         raise ValueError("bins must be at least 1")
     return _union([_histograms(df, group, bins, labels) for group in _groups(columns, BOUNDS_GROUP)])
 
 
-def _histograms(df: DataFrame, columns: list[str], bins: int, labels: bool) -> DataFrame:
+def _histograms(
+    df: DataFrame, columns: list[str], bins: int, labels: str | None
+) -> DataFrame:
     values = df.select(*[_without_nan(df, name).alias(name) for name in columns])
     # Two numbers per column, whatever the number of rows.
     row = values.agg(
@@ -214,10 +226,11 @@ def _histograms(df: DataFrame, columns: list[str], bins: int, labels: bool) -> D
 
     # 13 columns x 10 bins are 130 groups, reduced to as many rows within each task.
     indexes = values.select(*[index_of(name) for name in filled])
-    edges = "column string, bin int, lower double, upper double"
+    text = BIN_LABELS[labels] if labels else ""
+    edges = "column string, bin int, lower double, upper double, bin_label string"
     grid = df.sparkSession.createDataFrame(
         [
-            (name, index, float(lower), float(upper))
+            (name, index, float(lower), float(upper), text.format(lower=lower, upper=upper))
             for name in filled
             for index, (lower, upper) in enumerate(
                 pairwise(histogram_edges(*bounds[name], bins))
@@ -236,13 +249,16 @@ def _histograms(df: DataFrame, columns: list[str], bins: int, labels: bool) -> D
         joined = grid.join(found, ["column", "bin"], "left")
     else:
         joined = grid.withColumn("count", F.lit(0).cast("bigint"))
-    result = joined.select(
-        "column", "bin", "lower", "upper", F.coalesce("count", F.lit(0)).alias("count")
+    count = F.coalesce("count", F.lit(0))
+    return joined.select(
+        "column",
+        "bin",
+        "lower",
+        "upper",
+        count.alias("count"),
+        F.sum(count).over(Window.partitionBy("column")).alias("total"),
+        *(["bin_label"] if labels else []),
     )
-    result = result.withColumn("total", F.sum("count").over(Window.partitionBy("column")))
-    if labels:
-        result = result.withColumn("bin_label", bin_label(F.col("lower"), F.col("upper")))
-    return result
 
 
 def histogram_edges(lo: float, hi: float, bins: int = 10) -> list[float]:

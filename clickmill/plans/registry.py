@@ -217,11 +217,15 @@ def _(spark, sf_dir):
     return profile.numeric_means(clicks(spark, sf_dir), rounded=True)
 
 
-def _histogram_sql(column: str, table: str, bins: int = 10) -> str:
-    return f"""select '{column}' as "column", k::int as bin,
-      round(lo + k * ((hi - lo)::double / {bins}), 6) as lower,
-      round(case when k = {bins - 1} or lo = hi then hi::double
-        else lo + (k + 1) * ((hi - lo)::double / {bins}) end, 6) as upper,
+def _histogram_sql(column: str, table: str, bins: int = 10, rounded: bool = True) -> str:
+    lower = f"lo + k * ((hi - lo)::double / {bins})"
+    upper = (
+        f"case when k = {bins - 1} or lo = hi then hi::double "
+        f"else lo + (k + 1) * ((hi - lo)::double / {bins}) end"
+    )
+    if rounded:
+        lower, upper = f"round({lower}, 6)", f"round({upper}, 6)"
+    return f"""select '{column}' as "column", k::int as bin, {lower} as lower, {upper} as upper,
       (select count(*) from {table} where {column} is not null and
         (case when lo = hi then 0 else least(floor(({column} - lo) / ((hi - lo)::double / {bins})),
           {bins - 1}) end) = k)::bigint as "count",
@@ -239,6 +243,19 @@ def _(spark, sf_dir):
     return _rounded_edges(profile.histograms(clicks(spark, sf_dir)))
 
 
+@_query(
+    "int_histogram_labels",
+    _union_all(
+        f"""select "column", bin, printf('%.1E---%.2E', lower, upper) as bin_label, "count"
+        from ({_histogram_sql(name, "clicks", rounded=False)})"""
+        for name in INT_COLS
+    ),
+)
+def _(spark, sf_dir):
+    bins = profile.histograms(clicks(spark, sf_dir), labels="scientific")
+    return bins.select("column", "bin", "bin_label", "count")
+
+
 @_query("int_histograms_documents", _histogram_sql("n_chars", "documents"), on_clicks=False)
 def _(spark, sf_dir):
     return _rounded_edges(profile.histograms(_table(spark, sf_dir, "documents"), ["n_chars"]))

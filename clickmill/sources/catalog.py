@@ -17,6 +17,7 @@ def split_path(root: str, name: str) -> str:
 
 def dataset_paths(root: str) -> dict[str, str]:
     """Paths of the source log, its four splits and the small debug log."""
+    # Names of the datasets and of the two files.
     paths = {"train": f"{root}/train.txt", "debug": f"{root}/small-train.txt"}
     for name in ("train_5m", "validation_2m", "test_3m", "test"):
         paths[name] = split_path(root, name)

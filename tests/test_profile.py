@@ -48,7 +48,7 @@ def reference_histogram(values, bins):
 def test_histogram_equals_brute_force(spark, bins):
     rng = random.Random(bins)
     values = [rng.choice([None, 0, 29019, rng.randrange(29020)]) for _ in range(2000)]
-    result = profile.histograms(column(spark, values), ["x"], bins, labels=True)
+    result = profile.histograms(column(spark, values), ["x"], bins, labels="grouped")
     assert counts_of(result) == reference_histogram(values, bins)
     totals = {row["total"] for row in result.collect()}
     assert totals == {sum(v is not None for v in values)}
@@ -82,8 +82,16 @@ def test_histogram_of_a_range_beyond_64_bits(spark):
 
 
 def test_histogram_labels(spark):
-    row = profile.histograms(column(spark, [0, 2344]), ["x"], labels=True).where("bin = 0").first()
-    assert row["bin_label"] == "0.0E+00---2.34E+02"
+    def labels(values, form):
+        bins = profile.histograms(column(spark, values), ["x"], labels=form)
+        return [row["bin_label"] for row in bins.orderBy("bin").collect()]
+
+    assert labels([0, 2344], "scientific")[:2] == ["0.0E+00---2.34E+02", "2.3E+02---4.69E+02"]
+    # Halves go to the even digit: 1250 is 1.2E+03.
+    assert labels([0, 12500], "scientific")[1] == "1.2E+03---2.50E+03"
+    assert labels([0, 12345], "grouped")[1] == "1,234.500 - 2,469"
+    with pytest.raises(KeyError):
+        labels([0, 1], "other")
 
 
 def test_histograms_of_many_columns(spark):
