@@ -39,16 +39,21 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+# Scans of fewer tasks hold little data unless their files cannot be split.
+FEW_TASKS = 1000
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal the rows of a scan that would leave most cores idle out to all of them.
+    """Deal the rows of a scan that would leave cores idle out to all of them.
 
     A gzip file or a parquet file with one row group is one task however large it is.
-    A scan with tasks for more than a quarter of the cores, as any large table has, is
+    A scan with a task for every core, or with many tasks as any large table has, is
     returned as it is. Rows are dealt in turn, which sorts them first to be repeatable, or
     by ``keys`` that name each row.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() * 4 <= cores else df
+    few = df.rdd.getNumPartitions() < min(cores, FEW_TASKS)
+    return df.repartition(cores, *keys) if few else df
 
 
 def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
