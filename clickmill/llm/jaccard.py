@@ -281,3 +281,11 @@ def jaccard_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
         F.coalesce("n", F.lit(0)).cast("long").alias("n_shingles"),
         F.when(empty, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
     )
+
+
+def keep_one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The documents without those whose component has a smaller doc_id, all columns kept."""
+    found = jaccard_components(docs, words, percent)
+    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    gone = bounded_broadcast(store(gone, "near-copies"), 8)
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickmill.llm import jaccard, quality, rules
+from clickmill.llm import jaccard, mixing, packing, quality, rules, sharding
 from clickmill.llm.common import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,19 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("op3_sampled_splitters")
+def sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its shard and its slot there."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard_documents(docs, shards=40)
+
+
+@_query("op4_source_mixing", mixing.SQL)
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the target of its source and the words that the mix takes of it."""
+    return mixing.mix_sources(_table(spark, sf_dir, "documents")).drop("copies")
+
+
 @_query("op7_jaccard_join")
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its near-duplicate component at 4 words and 0.85."""
@@ -58,3 +71,9 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = rules.fit_rules(docs, _table(spark, sf_dir, "labels"), fold("doc_id", 5) == 0)
     return rules.apply_rules(docs, model, ["doc_id"])
+
+
+@_query("op10_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its bin of 2048 words."""
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickmill.llm import quality, rules
+from clickmill.llm import jaccard, mixing, packing, quality, rules
 from clickmill.llm.common import store
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,9 +22,27 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group, at 5 words and 0.8."""
+    return jaccard.keep_one_of_each(docs)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.repeat_mixed(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their bins."""
+    return packing.pack_documents(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
     ("quality_classifier", quality_classifier),
+    ("jaccard_join", jaccard_join),
+    ("source_mixing", source_mixing),
+    ("best_fit_packing", best_fit_packing),
 ]
 
 # Trained models decide which documents stay, which SQL cannot express.
