@@ -5,8 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from clickmill.llm import jaccard, mixing, packing, quality, rules, sharding
+from pyspark.sql import functions as F
+
+from clickmill.llm import (
+    chat,
+    jaccard,
+    licences,
+    mixing,
+    neighbours,
+    packing,
+    pages,
+    quality,
+    rules,
+    sharding,
+)
 from clickmill.llm.common import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +58,22 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+@_query("op2_prefix_tree_chat")
+def prefix_tree_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one made of control strings, as read back from the packs."""
+    said = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    made = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_TEXT).alias("text"),
+    )
+    return chat.conversation_digests(said.union(made))
+
+
 @_query("op3_sampled_splitters")
 def sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its shard and its slot there."""
@@ -59,12 +87,31 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents")).drop("copies")
 
 
+@_query("op5_adaptive_neighbours")
+def adaptive_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+@_query("op6_tag_path_ratios")
+def tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return pages.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 @_query("op7_jaccard_join")
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its near-duplicate component at 4 words and 0.85."""
     return jaccard.jaccard_components(_table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+@_query("op8_licence_scan")
+def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the licence families that its paragraphs name."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licences.scan_licences(docs, licences.fit_licences(docs))
+
+
 @_query("op9_quality_rules")
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its base counts and the verdict of rules and model."""
