@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Text bytes that one round of array work takes, unless one text alone is longer.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
