@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmill.llm.text import Texts, chunks
@@ -19,6 +20,18 @@ BROADCAST_BYTES = 32 << 20
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers that share this machine's files import the package from here.
+
+    A cluster without them gets the package with the job (``--py-files``).
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(":"):
+        environment["PYTHONPATH"] = f"{root}:{known}".rstrip(":")
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write once below the shared folder and scan the written table from then on."""
     return materialize(df, name)

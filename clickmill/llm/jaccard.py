@@ -11,11 +11,14 @@ all tokens. So candidates must share such a prefix token under three different o
 * Two more orders rank all tokens by other hashes. They are looked at for the candidates
   only, and what passes all filters is verified on the whole sets.
 
-Candidates are not expanded into all pairs of the documents that share a token. First every
-document is compared with two documents of each of its tokens. Links found so join most of
-each group of near copies; only documents of a token that are still in different components
-are then compared with each other, all of them. So no link between components is missed, and
-a group of copies costs about as many comparisons as it has members.
+Candidates are not expanded into all pairs of the documents that share a token. Every token
+has a pivot, the document with the fewest tokens of its own, and each document is compared
+with the pivots of its tokens. Links found so join most of each group of near copies. What
+is left are documents of a token in different components. Near their pivot they are known by
+what they differ in, and the differences must overlap for two of them to link: a join on the
+rarest tokens of the differences finds those pairs. Documents far from their pivot are paired
+by shared tokens. So no link between components is missed, and a group of near copies costs
+about as many comparisons as it has members and changes in common.
 
 Equal texts (after lower-casing) are one document here until the end.
 
@@ -39,6 +42,11 @@ from clickmill.llm.common import bounded_broadcast, list_column, store
 from clickmill.llm.components import connected_components
 from clickmill.llm.text import Texts, chunks
 
+# Differences of up to this share of both sets (Jaccard 0.4) make a document near its pivot.
+NEAR_PERCENT = 43
+# Ratio of the sizes of differences that one prefix length serves.
+BAND = 1.15
+
 _LOWER_FROM, _LOWER_TO = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -112,21 +120,20 @@ def _class_tokens(docs: DataFrame, words: int, percent: int, classes: int) -> Da
 
 
 def _prefix_tokens(tokens: DataFrame, percent: int) -> DataFrame:
-    """(token, doc_id, n) of the tokens in the prefix of the first order, seen in other sets."""
-    rows = tokens.select("doc_id", "n", "class", "before", "here", F.explode("tokens").alias("token"))
-    counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("documents"))
-    shared = rows.join(counts.filter("documents > 1"), "token")
+    """Tokens in the prefix of the first order that other sets have too.
+
+    (token, doc_id, n, lone), where ``lone`` counts the tokens of the class no other set has.
+    """
+    sets = tokens.select("doc_id", "n", "class", "before", "here", F.explode("tokens").alias("token"))
+    counts = sets.groupBy("token").agg(F.count(F.lit(1)).alias("documents"))
+    shared = sets.join(counts.filter("documents > 1"), "token")
     own = Window.partitionBy("doc_id", "class")
-    rank = (
-        F.col("before")
-        + F.col("here")
-        - F.count(F.lit(1)).over(own)
-        + F.row_number().over(own.orderBy("documents", "token"))
-    )
+    lone = F.col("here") - F.count(F.lit(1)).over(own)
+    place = F.row_number().over(own.orderBy("documents", "token"))
+    ranked = shared.withColumns({"lone": lone, "place": place})
     prefix = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
-    return shared.withColumn("rank", rank).filter(F.col("rank") <= prefix).select(
-        "token", "doc_id", "n"
-    )
+    within = F.col("before") + F.col("lone") + F.col("place") <= prefix
+    return ranked.filter(within).select("token", "doc_id", "n", "lone")
 
 
 def _long_enough(percent: int, n: str = "n", m: str = "m") -> Column:
@@ -134,57 +141,142 @@ def _long_enough(percent: int, n: str = "n", m: str = "m") -> Column:
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
-def _star_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """Each document with the first and the last document of each of its tokens."""
-    own = F.struct("doc_id", "n")
-    ends = entries.groupBy("token").agg(
-        F.min(own).alias("low"), F.max(own).alias("high"), F.count(F.lit(1)).alias("documents")
+def _posted(entries: DataFrame) -> DataFrame:
+    """Documents of each token with its pivot, the document with the fewest lone tokens.
+
+    In a group of near copies that is one close to what they were copied from.
+    """
+    own = F.min(F.struct("lone", "doc_id", "n"))
+    pivots = entries.groupBy("token").agg(own.alias("p"), F.count(F.lit(1)).alias("documents"))
+    pivots = pivots.filter("documents > 1").select(
+        "token", F.col("p.doc_id").alias("pivot"), F.col("p.n").alias("m")
     )
-    ends = ends.filter("documents > 1").drop("documents")
-    partners = entries.join(ends, "token").select(
-        "doc_id", "n", F.explode(F.array("low", "high")).alias("other")
+    return entries.join(pivots, "token").filter("doc_id <> pivot").drop("lone")
+
+
+def _ordered(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _open_postings(posted: DataFrame, components: DataFrame) -> DataFrame:
+    """Postings, with components, of the tokens that lead to more than one component."""
+    placed = posted.join(components, posted["doc_id"] == components["node"], "left").select(
+        *posted.columns, F.coalesce("component", "doc_id").alias("component")
     )
-    pairs = partners.filter(F.col("doc_id") != F.col("other.doc_id"))
-    pairs = pairs.select("doc_id", "n", F.col("other.doc_id").alias("o"), F.col("other.n").alias("m"))
-    return _ordered(pairs.filter(_long_enough(percent))).distinct()
+    several = placed.groupBy("token").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    return placed.join(several.filter("low < high").select("token"), "token")
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("doc_id", "o").alias("a"), F.greatest("doc_id", "o").alias("b"))
+def _differences(groups: DataFrame, profiles: DataFrame) -> DataFrame:
+    """What sets the documents of a pivot apart from it, where they are near it.
 
+    ``x`` is the number of tokens in only one of the two, ``apart`` their Jaccard distance.
+    """
+    sets = profiles.select("id", "tokens")
+    own, pivot = sets.alias("own"), sets.alias("other")
+    x = F.col("n") + F.col("m") - 2 * F.size(F.array_intersect("own.tokens", "other.tokens"))
+    met = (
+        groups.join(own, F.col("doc_id") == F.col("own.id"))
+        .join(pivot, F.col("pivot") == F.col("other.id"))
+        .withColumn("x", x)
+        .withColumn("near", 100 * F.col("x") <= NEAR_PERCENT * (F.col("n") + F.col("m")))
+    )
+    change = F.concat(
+        F.array_except("own.tokens", "other.tokens"), F.array_except("other.tokens", "own.tokens")
+    )
+    return met.select(
+        *groups.columns,
+        "x",
+        (2 * F.col("x") / (F.col("n") + F.col("m") + F.col("x"))).alias("apart"),
+        "near",
+        F.when(F.col("near"), change).alias("change"),
+    )
 
-def _rest_pairs(entries: DataFrame, components: DataFrame, percent: int) -> DataFrame:
-    """Documents that share a token and are in different components, all pairs of them.
 
-    Of each token the largest component is paired with the others only, so tokens that lie
-    in one component alone make no rows.
+def _near_pairs(differences: DataFrame, percent: int) -> DataFrame:
+    """Pairs of documents near one pivot whose differences from it overlap enough.
+
+    With x and y tokens of difference, two sets are apart in x + y tokens less twice those
+    common to both differences, and at most in ``alpha`` times the sum of their sizes, which
+    is at most 2 m + x + y. So the differences must share a number of tokens that follows
+    from x and y, which calls for the prefix filter again, tokens rarest in the group first.
+    The filter is set for y in bands, so that the smaller difference has short prefixes. If
+    nothing need be shared, both documents link with the pivot, and are done with.
     """
-    placed = entries.join(components, entries["doc_id"] == components["node"], "left").select(
-        "token", "doc_id", "n", F.coalesce("component", "doc_id").alias("component")
+    alpha = (100 - percent) / (100 + percent)
+    free = F.lit(2 * alpha) * F.col("m")
+    tokens = differences.filter("near").select(
+        "pivot", "m", "doc_id", "component", "x", F.explode("change").alias("token")
     )
-    sizes = placed.groupBy("token", "component").agg(
-        F.count(F.lit(1)).alias("size"),
-        F.min("doc_id").alias("low"),
-        F.max("doc_id").alias("high"),
+    counts = tokens.groupBy("pivot", "token").agg(F.count(F.lit(1)).alias("documents"))
+    shared = tokens.join(counts.filter("documents > 1"), ["pivot", "token"])
+    own = Window.partitionBy("pivot", "doc_id")
+    ranked = shared.withColumn(
+        "rank",
+        F.col("x")
+        - F.count(F.lit(1)).over(own)
+        + F.row_number().over(own.orderBy("documents", "token")),
     )
-    main = sizes.groupBy("token").agg(
-        F.max_by("component", F.struct("size", "component")).alias("main"),
-        F.count(F.lit(1)).alias("components"),
-        F.min("low").alias("low"),
-        F.max("high").alias("high"),
+    ranked = store(ranked.drop("documents"), "difference-tokens")
+
+    def band(size: Column) -> Column:
+        return F.floor(F.log(size.cast("double")) / F.lit(float(np.log(BAND)))).cast("int")
+
+    def reach(common: Column) -> Column:
+        """Prefix that holds one of ``common`` shared tokens at least."""
+        return F.col("x") - F.greatest(F.ceil(common - 1e-6), F.lit(1)) + 1
+
+    larger = ranked.filter(
+        F.col("rank") <= reach(((1 - alpha) * F.col("x") - free) / (1 + alpha))
+    ).select("pivot", "token", band(F.col("x")).alias("band"), "doc_id", "component", "x")
+    # The smaller difference holds all that is shared, which bounds the larger.
+    most = F.floor((2 * F.col("x") + free) / (1 - alpha) - F.col("x") + 1e-6)
+    bands = F.sequence(band(F.col("x")), band(F.greatest(most, F.col("x"))))
+    least = F.greatest(F.floor(F.pow(F.lit(BAND), F.col("band")) - 1e-6), F.col("x"))
+    smaller = ranked.withColumn("band", F.explode(bands)).filter(
+        F.col("rank") <= reach(((1 - alpha) * (F.col("x") + least) - free) / 2)
+    )
+    smaller = smaller.select(
+        "pivot",
+        "token",
+        "band",
+        F.col("doc_id").alias("o"),
+        F.col("component").alias("other"),
+        F.col("x").alias("y"),
+    )
+    met = larger.join(smaller, ["pivot", "token", "band"]).filter(
+        (F.col("component") != F.col("other"))
+        & ((F.col("y") < F.col("x")) | ((F.col("y") == F.col("x")) & (F.col("o") < F.col("doc_id"))))
     )
-    # The first and the last document of a token have been compared with all others.
-    open_ = placed.join(main.filter("components > 1"), "token")
-    open_ = store(open_.filter("doc_id > low and doc_id < high"), "open-tokens")
-    side = open_.filter(F.col("component") != F.col("main")).select(
-        "token", F.col("doc_id").alias("o"), F.col("n").alias("m"), F.col("component").alias("other")
+    return met.select(*_ordered("doc_id", "o"))
+
+
+def _far_pairs(postings: DataFrame, differences: DataFrame, percent: int) -> DataFrame:
+    """Pairs of documents that share a token, of which one at least is far from its pivot.
+
+    Jaccard distance is a metric, so the distances to the pivot may not differ by more than
+    the distance allowed.
+    """
+    known = differences.select("pivot", "doc_id", "near", "apart")
+    placed = postings.join(known, ["pivot", "doc_id"])
+    placed = store(placed, "far-postings")
+    far = placed.filter(~F.col("near")).select(
+        "token",
+        F.col("doc_id").alias("o"),
+        F.col("n").alias("m2"),
+        F.col("component").alias("other"),
+        F.col("apart").alias("apart2"),
     )
-    met = open_.join(side, "token").filter(
+    allowed = (100 - percent) / 100 + 1e-9
+    met = placed.join(far, "token").filter(
         (F.col("component") != F.col("other"))
-        & ((F.col("component") == F.col("main")) | (F.col("doc_id") < F.col("o")))
-        & _long_enough(percent)
+        & (F.col("near") | (F.col("doc_id") < F.col("o")))
+        & (F.abs(F.col("apart") - F.col("apart2")) <= allowed)
+        & _long_enough(percent, "n", "m2")
     )
-    return _ordered(met).distinct()
+    return met.select(*_ordered("doc_id", "o"))
 
 
 def _profiles(docs: DataFrame, ids: DataFrame, words: int, percent: int) -> DataFrame:
@@ -217,17 +309,17 @@ def _profiles(docs: DataFrame, ids: DataFrame, words: int, percent: int) -> Data
     return wanted.select(F.col("doc_id").cast("long"), "text").mapInArrow(compute, schema)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def _ids(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    both = pairs.select(F.col(a).alias("id")).union(pairs.select(b))
+    return store(both.distinct(), "candidate-ids")
+
+
+def _verified(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that share prefix tokens under all orders and are similar enough."""
-    pairs = store(pairs, "candidates")
-    ids = store(
-        pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "candidate-ids"
-    )
-    profiles = store(_profiles(docs, ids, words, percent), "profiles")
     brief = profiles.select("id", "second", "third")
     a, b = brief.alias("x"), brief.alias("y")
     passed = (
-        pairs.join(a, pairs["a"] == F.col("x.id"))
+        pairs.join(a, F.col("a") == F.col("x.id"))
         .join(b, F.col("b") == F.col("y.id"))
         .filter(
             F.arrays_overlap("x.second", "y.second") & F.arrays_overlap("x.third", "y.third")
@@ -243,7 +335,31 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
         .join(b, F.col("b") == F.col("y.id"))
         .select("a", "b", (F.col("x.n") + F.col("y.n")).alias("total"), common.alias("common"))
     )
-    return checked.filter(100 * F.col("common") >= percent * (F.col("total") - F.col("common")))
+    similar = 100 * F.col("common") >= percent * (F.col("total") - F.col("common"))
+    return store(checked.filter(similar).select("a", "b"), "links")
+
+
+def _links(docs: DataFrame, entries: DataFrame, words: int, percent: int) -> DataFrame:
+    """Components of the documents that any link joins."""
+    posted = store(_posted(entries), "postings")
+    star = posted.filter(_long_enough(percent)).select(*_ordered("doc_id", "pivot")).distinct()
+    star = store(star, "candidates")
+    profiles = _profiles(docs, _ids(star, "a", "b"), words, percent)
+    links = _verified(star, store(profiles, "profiles"), percent)
+    components = connected_components(links)
+
+    postings = store(_open_postings(posted, components), "open-postings")
+    groups = postings.select("pivot", "m", "doc_id", "n", "component").distinct()
+    groups = store(groups, "pivot-groups")
+    profiles = _profiles(docs, _ids(groups, "doc_id", "pivot"), words, percent)
+    profiles = store(profiles, "profiles")
+    differences = store(_differences(groups, profiles), "differences")
+    rest = _near_pairs(differences, percent).union(_far_pairs(postings, differences, percent))
+    rest = store(rest.distinct(), "candidates")
+    more = _verified(rest, profiles, percent)
+    if not more.limit(1).collect():
+        return components
+    return connected_components(links.union(more))
 
 
 def jaccard_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -258,14 +374,8 @@ def jaccard_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     copies, distinct = _representatives(docs)
     tokens = store(_class_tokens(distinct, words, percent, classes), "class-tokens")
     entries = store(_prefix_tokens(tokens, percent), "prefix-tokens")
-    star = _verified(_star_pairs(entries, percent), distinct, words, percent)
-    star = store(star.select("a", "b"), "links")
-    components = connected_components(star)
-    rest = _verified(_rest_pairs(entries, components, percent), distinct, words, percent)
-    rest = store(rest.select("a", "b"), "links")
+    components = _links(distinct, entries, words, percent)
     sizes = tokens.groupBy(F.col("doc_id").alias("rep")).agg(F.max("n").alias("n"))
-    if rest.limit(1).collect():
-        components = connected_components(star.union(rest))
     joined = components.select(F.col("node").alias("rep"), "component")
     known = sizes.join(joined, "rep", "left").select(
         "rep", "n", F.coalesce("component", "rep").alias("component")

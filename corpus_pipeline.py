@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clickmill.llm import jaccard, mixing, packing, quality, rules
-from clickmill.llm.common import store
+from clickmill.llm.common import reach_workers, store
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -51,6 +51,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each written and read again."""
+    reach_workers(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
