@@ -22,7 +22,7 @@ from pyspark.ml.util import (
     MLWritable,
     MLWriter,
 )
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,7 +49,7 @@ class _EncoderParams(HasInputCols):
     broadcastBytes = Param(
         Params._dummy(),
         "broadcastBytes",
-        "largest estimated size of a column's rates that is sent to every executor",
+        "largest estimated size of all rates together that are sent to every executor",
         typeConverter=TypeConverters.toInt,
     )
     hotShare = Param(
@@ -92,6 +92,7 @@ def _sizes(counts: DataFrame) -> dict[str, dict[str, int]]:
         F.coalesce(F.max(F.octet_length("value")), F.lit(0)).alias("longest"),
         F.min("count").alias("rarest"),
         F.max("count").alias("commonest"),
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("count"))), F.lit(0)).alias("nulls"),
     )
     return {row["column"]: row.asDict() for row in rows.collect()}
 
@@ -101,7 +102,7 @@ class FrequencyEncoderModel(Model, _EncoderParams, MLReadable, MLWritable):
 
     # Hash-table entry of a broadcast row beside its text.
     ENTRY_BYTES = 96
-    # Most that the hot values of a column may take on an executor.
+    # Most that the hot values of all columns may take on an executor.
     HOT_BYTES = 64 * 1024 * 1024
 
     def __init__(self, counts: DataFrame | None = None, sizes: dict | None = None):
@@ -122,56 +123,84 @@ class FrequencyEncoderModel(Model, _EncoderParams, MLReadable, MLWritable):
             for name, size in self.sizes.items()
         }
 
-    def fits_broadcast(self, column: str) -> bool:
-        size = self.sizes.get(column, {"values": 0, "bytes": 0})
-        estimate = size["bytes"] + self.ENTRY_BYTES * size["values"]
-        return estimate <= self.getOrDefault(self.broadcastBytes)
-
-    def hot_count(self, column: str) -> int:
-        """Count from which a value of the column is hot.
+    def broadcast_columns(self) -> list[str]:
+        """Columns whose whole rate tables are sent to every executor.
 
-        Counts add up to the rows seen, so at most 1 / share values reach a share of them:
-        the size of the hot table is bounded before it is known.
+        The smallest first, as long as all of them together stay below the limit.
         """
-        size = self.sizes[column]
-        share = max(
-            self.getOrDefault(self.hotShare),
-            (size["longest"] + self.ENTRY_BYTES) / self.HOT_BYTES,
-        )
-        return max(math.ceil(share * size["rows"]), 1)
+        sent, chosen = 0, []
+        for name in sorted(self.getInputCols(), key=self._table_bytes):
+            sent += self._table_bytes(name)
+            if sent <= self.getOrDefault(self.broadcastBytes):
+                chosen.append(name)
+        return chosen
+
+    def _table_bytes(self, column: str) -> int:
+        size = self.sizes.get(column, {"values": 0, "bytes": 0})
+        return size["bytes"] + self.ENTRY_BYTES * size["values"]
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
+        whole = self.broadcast_columns()
+        split = [name for name in self.getInputCols() if name not in whole]
         for name in self.getInputCols():
             rates = self.rates.where(F.col("column") == name)
-            if self.fits_broadcast(name):
+            if name in whole:
                 dataset = _broadcast_lookup(dataset, name, rates)
             else:
-                dataset = self._split_lookup(dataset, name, rates)
+                dataset = self._split_lookup(dataset, name, rates, self.HOT_BYTES // len(split))
         return dataset
 
-    def _split_lookup(self, dataset: DataFrame, name: str, rates: DataFrame) -> DataFrame:
+    def _hot_values(self, dataset: DataFrame, name: str, most_bytes: int) -> DataFrame:
+        """Values that hold the hot share of the rows of ``dataset`` each.
+
+        They are counted in the rows to be scored, so that a value that was rare or unseen in
+        fit is found too. Counts add up to the rows, so there are at most 1 / share; the most
+        frequent are taken while their text fits into ``most_bytes``.
+        """
+        values = dataset.select(F.col(name).cast("string").alias("value")).where("value is not null")
+        counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("seen"))
+        counts = materialize(counts, "seen-counts")
+        rows = counts.agg(F.coalesce(F.sum("seen"), F.lit(0))).first()[0]
+        limit = max(math.ceil(self.getOrDefault(self.hotShare) * rows), 2)
+        hot = counts.where(F.col("seen") >= limit)
+        size = F.octet_length("value") + self.ENTRY_BYTES
+        most_first = Window.orderBy(F.desc("seen"), "value")
+        return hot.withColumn("upto", F.sum(size).over(most_first)).where(
+            F.col("upto") <= most_bytes
+        ).select("value")
+
+    def _split_lookup(
+        self, dataset: DataFrame, name: str, rates: DataFrame, hot_bytes: int
+    ) -> DataFrame:
         """Lookup in a rate table too large to broadcast.
 
-        The hot values are broadcast. The others are joined by a shuffle in which no key
-        holds more than the hot share of the rows. Rows that are done already go through
-        the same shuffle under the number of their input partition, which no rate has, so
-        that they spread over all tasks.
+        Null has its rate as a constant, hot values are broadcast with theirs. The others
+        are joined by a shuffle in which no key holds more than the hot share of the rows.
+        Rows that are done already go through the same shuffle under a hash of the whole row
+        and their input partition, which no rate has, so that they spread over all tasks.
         """
-        limit = self.hot_count(name)
-        hot = rates.where(F.col("count") >= limit)
-        cold = rates.where(F.col("count") < limit).select(
-            _shuffle_key(F.col("value")).alias("_key"), F.col("rate").alias("_cold")
+        hot = self._hot_values(dataset, name, hot_bytes)
+        hot = hot.join(rates.select("value", "rate"), "value", "left").select(
+            "value", F.coalesce("rate", F.lit(0.0)).alias("rate")
+        )
+        cold = rates.where("value is not null").select(
+            F.concat(F.lit("v"), F.col("value")).alias("_key"), F.col("rate").alias("_cold")
         )
         target = rate_column(name)
         columns = [column for column in dataset.columns if column != target]
         marked = _broadcast_lookup(dataset, name, hot, missing=None)
+        size = self.sizes.get(name, {"rows": 0})
+        of_null = size.get("nulls", 0) / size["rows"] if size["rows"] else 0.0
+        found = F.when(F.col(name).isNull(), F.lit(of_null)).otherwise(F.col(target))
+        marked = marked.withColumn(target, found)
+        atomic = [c for c, kind in dataset.dtypes if c != target and _is_atomic(kind)]
         # Text, as a constant column beside the key would be taken out of the shuffle.
-        done = F.concat(F.lit("d"), F.spark_partition_id().cast("string"))
+        done = F.concat_ws("-", F.lit("d"), F.xxhash64(*atomic), F.spark_partition_id())
         keyed = marked.select(
             *columns,
             target,
             F.when(F.col(target).isNotNull(), done)
-            .otherwise(_shuffle_key(F.col(name).cast("string")))
+            .otherwise(F.concat(F.lit("v"), F.col(name).cast("string")))
             .alias("_key"),
         )
         return keyed.join(cold, "_key", "left").select(
@@ -186,9 +215,8 @@ class FrequencyEncoderModel(Model, _EncoderParams, MLReadable, MLWritable):
         return _EncoderReader(cls)
 
 
-def _shuffle_key(value: Column) -> Column:
-    """Value as a join key that is never null."""
-    return F.coalesce(F.concat(F.lit("v"), value), F.lit("n"))
+def _is_atomic(kind: str) -> bool:
+    return not kind.startswith(("map", "array", "struct", "vector", "variant", "udt"))
 
 
 def _broadcast_lookup(

@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,15 +44,17 @@ def score_counts(
     )
 
 
-def _bucketed(points: DataFrame, scores_per_task: int) -> DataFrame:
-    """Add ``bucket``: score ranges of about equal numbers of distinct scores."""
+def _in_ranges(points: DataFrame, scores_per_task: int) -> DataFrame:
+    """Points with ``bucket``: ranges of about equal numbers of distinct scores.
+
+    Spark's range partitioning draws the cuts; the partition number is written with the
+    points, so every later step reads the same ranges.
+    """
     buckets = math.ceil(points.count() / scores_per_task)
     if buckets <= 1:
-        return points.withColumn("bucket", F.lit(0.0))
-    shares = [position / buckets for position in range(1, buckets)]
-    cuts = points.approxQuantile("threshold", shares, 0.25 / buckets)
-    splits = [-math.inf, *sorted(set(cuts) - {-math.inf, math.inf}), math.inf]
-    return Bucketizer(splits=splits, inputCol="threshold", outputCol="bucket").transform(points)
+        return points.withColumn("bucket", F.lit(0))
+    ranged = points.repartitionByRange(buckets, "threshold")
+    return materialize(ranged.withColumn("bucket", F.spark_partition_id()), "score-ranges")
 
 
 def _cumulated(points: DataFrame, scores_per_task: int) -> DataFrame:
@@ -62,7 +63,7 @@ def _cumulated(points: DataFrame, scores_per_task: int) -> DataFrame:
     Running sums start within ranges of scores and are shifted by the sums of the ranges
     above. Where the cuts lie changes the distribution of the work, not the result.
     """
-    bucketed = _bucketed(points, scores_per_task)
+    bucketed = _in_ranges(points, scores_per_task)
     # One row per range: as many as there are sort tasks.
     falling = Window.orderBy(F.desc("bucket"))
     above = falling.rowsBetween(Window.unboundedPreceding, -1)
@@ -188,7 +189,8 @@ class Evaluation:
     summary: DataFrame
     curve: DataFrame
 
-    def write(self, results_path: str, mode: str = "overwrite") -> None:
+    def write(self, results_path: str, mode: str = "errorifexists") -> None:
+        """Write both tables; earlier results of the same name stay unless ``mode`` says so."""
         self.summary.write.mode(mode).parquet(f"{results_path}/{self.name}/summary")
         self.curve.write.mode(mode).parquet(f"{results_path}/{self.name}/roc")
 
@@ -199,37 +201,43 @@ def evaluate(
     dataset_name: str = "",
     positive_label: float = 1.0,
     thin: bool = False,
+    scores_per_task: int = SCORES_PER_TASK,
 ) -> Evaluation:
-    """Curve, area, area of hard predictions and counts from one pass over the predictions."""
-    scored = predictions.withColumn(
-        "_said", (F.col("prediction") == F.lit(float(positive_label))).cast("int")
+    """Curve, area, area of hard predictions and counts from one pass over the predictions.
+
+    Rows are grouped by score once, with the labels that the predictions said yes to beside
+    all labels. That table, and the running sums over it, are computed once.
+    """
+    positive = F.lit(float(positive_label))
+    label = F.col("_label")
+    scored = predictions.select(
+        _required("score").alias("threshold"),
+        (F.col("prediction") == positive).alias("_said"),
+        _required(LABEL).alias("_label"),
     )
     counts = materialize(
-        scored.select(
-            _required("score").alias("threshold"), "_said", _required(LABEL).alias("_label")
-        )
-        .groupBy("threshold", "_said")
-        .agg(
-            _positives(F.col("_label"), positive_label),
-            _negatives(F.col("_label"), positive_label),
+        scored.groupBy("threshold").agg(
+            _positives(label, positive_label),
+            _negatives(label, positive_label),
+            F.count_if(F.col("_said") & (label == positive)).alias("hits"),
+            F.count_if(~F.col("_said") & (label != positive)).alias("rejections"),
         ),
-        "prediction-counts",
-    )
-    # A score says the same for all its rows unless a threshold varies by row.
-    points = counts.groupBy("threshold").agg(
-        F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
+        "score-counts",
     )
-    hits = F.sum(F.when(F.col("_said") == 1, F.col("pos")).otherwise(0))
-    rejections = F.sum(F.when(F.col("_said") == 0, F.col("neg")).otherwise(0))
     positives, negatives = F.sum("pos"), F.sum("neg")
     hard = counts.agg(
         (positives + negatives).alias("rows"),
         positives.alias("positives"),
         (
-            (F.try_divide(hits, positives) + F.try_divide(rejections, negatives)) / 2
+            (
+                F.try_divide(F.sum("hits"), positives)
+                + F.try_divide(F.sum("rejections"), negatives)
+            )
+            / 2
         ).alias("hard_auc"),
     )
-    cumulated = _cumulated(points, SCORES_PER_TASK)
+    points = counts.select("threshold", "pos", "neg")
+    cumulated = materialize(_cumulated(points, scores_per_task), "score-sums")
     auc = _area(cumulated).scalar()
     name = f"{model_name}-{dataset_name}" if dataset_name else model_name
     summary = hard.select(

@@ -39,7 +39,11 @@ def train_lr(
 
 
 def train_rf(
-    features: DataFrame, trees: int = RF_TREES, depth: int = RF_DEPTH, seed: int = RF_SEED
+    features: DataFrame,
+    trees: int = RF_TREES,
+    depth: int = RF_DEPTH,
+    seed: int = RF_SEED,
+    bootstrap: bool = True,
 ) -> PipelineModel:
     """Random forest on two indexed labels, kept together with the index it was trained on.
 
@@ -50,9 +54,11 @@ def train_rf(
     of a 0/1 variable is half its Gini impurity, and keep every leaf; the mean of a leaf is
     the probability of index 1.
     """
+    # Before the index, which collects every label there is.
+    seen = features.select(LABEL).distinct().limit(3).collect()
+    if len(seen) > 2:
+        raise ValueError(f"expected two labels, found {', '.join(str(row[0]) for row in seen)}")
     indexer = index_labels(features)
-    if len(indexer.labels) > 2:
-        raise ValueError(f"expected two labels, found {', '.join(indexer.labels)}")
     estimator = RandomForestRegressor(
         featuresCol=FEATURES,
         labelCol=INDEXED,
@@ -60,6 +66,7 @@ def train_rf(
         numTrees=trees,
         maxDepth=depth,
         seed=seed,
+        bootstrap=bootstrap,
         featureSubsetStrategy="sqrt" if trees > 1 else "all",
     )
     forest = estimator.fit(indexer.transform(features))
@@ -68,7 +75,8 @@ def train_rf(
 
 
 TRAINERS = {"lr": train_lr, "rf": train_rf}
-MODEL_NAMES = {"lr": "LogisticRegression", "rf": "RandomForestClassifier"}
+# The forest is one of regression trees, see train_rf.
+MODEL_NAMES = {"lr": "LogisticRegression", "rf": "RandomForestOfRegressionTrees"}
 
 
 def class_labels(model: PipelineModel) -> list[float]:
@@ -114,8 +122,10 @@ def preview(predictions: DataFrame, n: int = 100) -> DataFrame:
     return predictions.select(FEATURES, LABEL, "prediction", "probability").limit(n)
 
 
-def save_model(model: Transformer, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: Transformer, path: str, overwrite: bool = False) -> None:
+    """Save a model; an existing one is replaced only if asked for."""
+    writer = model.write()
+    (writer.overwrite() if overwrite else writer).save(path)
 
 
 def load_model(path: str) -> PipelineModel:

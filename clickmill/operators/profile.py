@@ -10,7 +10,7 @@ import math
 from collections.abc import Sequence
 from itertools import pairwise
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,7 @@ from clickmill.functions import (
     value_rate,
 )
 from clickmill.schema import CAT_COLS, INT_COLS, LABEL
+from clickmill.session import materialize
 
 # An aggregate over more than spark.sql.codegen.maxFields (default 100) buffers runs
 # without generated code, about ten times slower. The four moments of a column take 14
@@ -27,6 +28,8 @@ from clickmill.schema import CAT_COLS, INT_COLS, LABEL
 # Each group scans its own columns only: a columnar source reads every byte once.
 MOMENT_GROUP = 7
 BOUNDS_GROUP = 45
+# Parts of a column that its most frequent values are first ranked in.
+TOP_PARTS = 64
 
 
 def _groups(columns: Sequence[str], size: int) -> list[list[str]]:
@@ -64,9 +67,16 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def _stacked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows ``(column, value)`` with the values as text."""
-    texts = df.select(*[text_value(df, name).alias(name) for name in columns])
-    return texts.unpivot([], list(columns), "column", "value")
+    """Rows ``(position, value)`` with the values as text.
+
+    Columns go by their number, which is shorter in every row and key than their name.
+    """
+    texts = F.array(*[text_value(df, name) for name in columns])
+    return df.select(F.posexplode(texts).alias("position", "value"))
+
+
+def _name_at(columns: Sequence[str]) -> Column:
+    return F.array(*map(F.lit, columns))[F.col("position")].alias("column")
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -75,8 +85,10 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     Every task first reduces its rows to distinct pairs, so a value that fills the
     table still crosses the shuffle once per task.
     """
-    pairs = _stacked(df, columns or df.columns).distinct()
-    return pairs.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
+    columns = list(columns or df.columns)
+    pairs = _stacked(df, columns).distinct()
+    counts = pairs.groupBy("position").agg(F.count(F.lit(1)).alias("n_distinct"))
+    return counts.select(_name_at(columns), "n_distinct")
 
 
 def category_counts(
@@ -85,8 +97,9 @@ def category_counts(
     """``(column, value, count)`` for all columns in one shuffle; null is a value."""
     counts = (
         _stacked(df, columns)
-        .groupBy("column", "value")
+        .groupBy("position", "value")
         .agg(F.count(F.lit(1)).alias("count"))
+        .select(_name_at(list(columns)), "value", "count")
     )
     if ordered:
         return counts.orderBy("column", F.desc("count"), F.asc_nulls_last("value"))
@@ -95,8 +108,9 @@ def category_counts(
 
 def value_rates(df: DataFrame, columns: Sequence[str] = CAT_COLS) -> DataFrame:
     """``(column, value, count, rate)``; the rate is a share of all rows."""
-    rows = row_count(df).scalar()
-    counts = category_counts(df, columns)
+    # The counts of any one column add up to the rows, so the rows are not counted again.
+    counts = materialize(category_counts(df, columns), "category-counts")
+    rows = counts.where(F.col("column") == list(columns)[0]).agg(F.sum("count")).scalar()
     return counts.withColumn("rate", value_rate(F.col("count"), rows))
 
 
@@ -109,11 +123,16 @@ def top_categories(counts: DataFrame, n: int = 10) -> DataFrame:
     """
     if n < 1:
         raise ValueError("n must be at least 1")
-    by_count = Window.partitionBy("column").orderBy(
-        F.desc("count"), F.asc_nulls_last("value")
-    )
-    # The rank filter lets Spark cut every task to n rows per column before the shuffle.
-    top = counts.withColumn("rank", F.row_number().over(by_count)).where(F.col("rank") <= n)
+    def ranked(rows: DataFrame, *keys: str) -> DataFrame:
+        by_count = Window.partitionBy(*keys).orderBy(F.desc("count"), F.asc_nulls_last("value"))
+        return rows.withColumn("rank", F.row_number().over(by_count)).where(F.col("rank") <= n)
+
+    # Ranked in parts of a column first, so that no task sorts all its values; the final
+    # rank sees n values of each part. For small n, Spark cuts every task to n rows of a
+    # part before the shuffle.
+    part = F.pmod(F.xxhash64("value"), F.lit(TOP_PARTS)).cast("int")
+    best = ranked(counts.withColumn("part", part), "column", "part").drop("part", "rank")
+    top = ranked(best, "column")
     top = top.withColumn("top_count", F.sum("count").over(Window.partitionBy("column")))
     # One row per column.
     totals = counts.groupBy("column").agg(F.sum("count").alias("total"))
@@ -240,10 +259,13 @@ def _histograms(
     )
     if filled:
         found = (
-            indexes.unpivot([], filled, "column", "bin")
+            indexes.select(
+                F.posexplode(F.array(*map(F.col, filled))).alias("position", "bin")
+            )
             .where(F.col("bin").isNotNull())
-            .groupBy("column", "bin")
+            .groupBy("position", "bin")
             .agg(F.count(F.lit(1)).alias("count"))
+            .select(_name_at(filled), "bin", "count")
         )
         # At most one row per column and bin on either side.
         joined = grid.join(found, ["column", "bin"], "left")

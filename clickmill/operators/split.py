@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmill.functions import md5_uniform
+from clickmill.session import materialize
 from clickmill.sources.catalog import SPLIT_COLUMN
 from clickmill.sources.clicks import write_lines
 
@@ -23,18 +24,33 @@ ALL_WEIGHTS = {
 }
 
 
+def mark_random(
+    df: DataFrame,
+    weights: Mapping[str, float] = TRAIN_TEST_WEIGHTS,
+    seed: int = 0,
+    column: str = "split",
+) -> DataFrame:
+    """Add the name of a random part to each row: one number drawn per row, no sort.
+
+    Which rows a part gets depends on the partitioning of ``df``.
+    """
+    # As a column first: every mention of rand in an expression draws numbers of its own.
+    drawn = df.withColumn("_drawn", F.rand(seed))
+    return drawn.withColumn(column, pick_by_weight(F.col("_drawn"), weights)).drop("_drawn")
+
+
 def random_split(
     df: DataFrame, weights: Mapping[str, float] = TRAIN_TEST_WEIGHTS, seed: int = 0
 ) -> dict[str, DataFrame]:
-    """Named random parts. Sizes depend on the partitioning of ``df``."""
-    parts = df.randomSplit([float(weight) for weight in weights.values()], seed=seed)
-    return dict(zip(weights, parts))
+    """Named random parts. Rows are marked in one pass, and every part reads its own."""
+    column = "_part"
+    marked = materialize(mark_random(df, weights, seed, column), "random-parts")
+    return {name: marked.where(F.col(column) == name).drop(column) for name in weights}
 
 
 def split_all(df: DataFrame, seed: int = 0) -> dict[str, DataFrame]:
     """Both levels: final test, and train / validation / test of the training part."""
-    outer = random_split(df, TRAIN_TEST_WEIGHTS, seed)
-    return {**random_split(outer["train"], TRAIN_PART_WEIGHTS, seed), "test": outer["test"]}
+    return random_split(df, ALL_WEIGHTS, seed)
 
 
 def pick_by_weight(uniform: Column, weights: Mapping[str, float]) -> Column:
@@ -92,7 +108,7 @@ def write_splits(
     if assign == "hash":
         marked = hash_split(lines, weights, salt=str(seed) if seed else "", column=SPLIT_COLUMN)
     elif assign == "random":
-        marked = lines.withColumn(SPLIT_COLUMN, pick_by_weight(F.rand(seed), weights))
+        marked = mark_random(lines, weights, seed, SPLIT_COLUMN)
     else:
         raise ValueError(f"assign must be 'hash' or 'random', not {assign!r}")
     write_lines(marked, path, partition_by=SPLIT_COLUMN, mode=mode)

@@ -8,8 +8,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickmill.functions import rate_column
@@ -20,15 +21,17 @@ from clickmill.plans.clicks_view import (
     clicks,
     clicks_sql,
     clicks_with_keys,
+    read_spread,
     uniform_sql,
 )
 from clickmill.schema import CAT_COLS, ENCODED_CAT_COLS, INT_COLS, LABEL
-from clickmill.session import materialize, shared_folder, spread
+from clickmill.session import materialize, shared_folder
 from clickmill.sources import (
     parse_lines,
     read_clicks,
     read_lines,
     to_lines,
+    validate_log,
     write_clicks,
     write_lines,
 )
@@ -111,9 +114,18 @@ def _(spark, sf_dir):
     return profile.category_counts(clicks(spark, sf_dir))
 
 
-@_query("category_counts_ordered", _COUNTS_SQL)
+@_query(
+    "category_counts_ordered",
+    f"""with counts as ({_COUNTS_SQL})
+    select *, row_number() over (partition by "column"
+      order by "count" desc, value asc nulls last)::int as rank from counts""",
+)
 def _(spark, sf_dir):
-    return profile.category_counts(clicks(spark, sf_dir), ordered=True)
+    """Counts in order; ``rank`` numbers the rows of a column as they come."""
+    rows = profile.category_counts(clicks(spark, sf_dir), ordered=True)
+    come = rows.withColumn("at", F.monotonically_increasing_id())
+    rank = F.row_number().over(Window.partitionBy("column").orderBy("at"))
+    return come.withColumn("rank", rank).drop("at")
 
 
 @_query(
@@ -156,6 +168,20 @@ def _(spark, sf_dir):
     return profile.top_categories(counts, 10)
 
 
+@_query(
+    "top_categories_many",
+    _top_sql(
+        "select 'o_custkey' as \"column\", o_custkey::varchar as value, "
+        "count(*)::bigint as \"count\" from orders group by o_custkey",
+        2000,
+    ),
+    on_clicks=False,
+)
+def _(spark, sf_dir):
+    counts = profile.category_counts(_table(spark, sf_dir, "orders"), ["o_custkey"])
+    return profile.top_categories(counts, 2000)
+
+
 _DOCUMENT_COUNTS_SQL = _union_all(
     f"select '{name}' as \"column\", {name}::varchar as value, count(*)::bigint as \"count\" "
     f"from {table} group by {name}"
@@ -319,11 +345,39 @@ def _(spark, sf_dir):
     return read_clicks(spark, path)
 
 
-@_query("tsv_roundtrip_csv_reader", _ALL_SQL)
+@_query(
+    "tsv_roundtrip_empty_lines",
+    f"""select * from ({_ALL_SQL}) union all
+      select {", ".join("null" for _ in [LABEL, *INT_COLS, *CAT_COLS])} from lineitem
+      where l_linenumber = 3""",
+)
 def _(spark, sf_dir):
+    """A log in which some lines have empty fields only."""
+    rows = clicks_with_keys(spark, sf_dir).where("l_linenumber = 3")
+    names = [LABEL, *INT_COLS, *CAT_COLS]
+    kinds = dict(rows.dtypes)
+    empty = rows.select(*[F.lit(None).cast(kinds[name]).alias(name) for name in names])
     path = _scratch(spark, "clicks.txt")
-    write_clicks(clicks(spark, sf_dir), path)
-    return read_clicks(spark, path, exact=False)
+    write_clicks(clicks(spark, sf_dir).unionAll(empty), path)
+    return read_clicks(spark, path, validate=True)
+
+
+@_query(
+    "validate_log",
+    """select count(*)::bigint as n_lines,
+      sum(case when l_linenumber = 1 then 1 else 0 end)::bigint as wrong_width,
+      sum(case when l_linenumber = 2 then 1 else 0 end)::bigint as malformed from lineitem""",
+    on_clicks=False,
+)
+def _(spark, sf_dir):
+    """Lines of the view, some cut short and some with text for a number."""
+    rows = clicks_with_keys(spark, sf_dir)
+    columns = [LABEL, *INT_COLS, *CAT_COLS]
+    texts = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in columns]
+    spoiled = F.when(F.col("l_linenumber") == 2, F.lit("x")).otherwise(texts[1])
+    line = F.concat_ws("\t", texts[0], spoiled, *texts[2:])
+    cut = F.when(F.col("l_linenumber") == 1, F.substring_index(line, "\t", 5)).otherwise(line)
+    return validate_log(rows.select(cut.alias("value")))
 
 
 # --- splits ---------------------------------------------------------------------------
@@ -365,31 +419,69 @@ def _(spark, sf_dir):
     return _hash_split(spark, sf_dir).groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def _sizes(parts: dict[str, DataFrame]) -> DataFrame:
-    """Rows per part, read from the parts themselves."""
-    frames = [part.select(F.lit(name).alias("split")) for name, part in parts.items()]
-    rows = frames[0]
-    for frame in frames[1:]:
-        rows = rows.unionAll(frame)
-    return rows.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
+def _random_split_sql(parts: int) -> str:
+    return (
+        f"select count(*)::bigint as n_rows, {parts}::bigint as n_parts, "
+        "0::bigint as rows_changed, true as shares_near from lineitem"
+    )
+
+
+def _split_checks(
+    spark: SparkSession, sf_dir: str, split_rows: Callable, weights: dict[str, float]
+) -> DataFrame:
+    """What holds for a random split: rows, parts, rows lost or doubled, shares near weights."""
+    rows = read_spread(spark, f"{sf_dir}/lineitem.parquet", *KEYS)
+    parts = split_rows(rows)
+    marked = None
+    for name, part in parts.items():
+        named = part.select(F.lit(name).alias("split"), F.xxhash64(*part.columns).alias("row"))
+        marked = named if marked is None else marked.unionAll(named)
+    kept = marked.groupBy("row").agg(F.count(F.lit(1)).alias("kept"))
+    given = rows.select(F.xxhash64(*rows.columns).alias("row"))
+    given = given.groupBy("row").agg(F.count(F.lit(1)).alias("given"))
+    changed = F.abs(F.coalesce("given", F.lit(0)) - F.coalesce("kept", F.lit(0)))
+    lost = given.join(kept, "row", "full").agg(F.sum(changed).alias("rows_changed"))
+    sizes = marked.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    total = float(sum(weights.values()))
+    expected = F.create_map(*[F.lit(x) for k, w in weights.items() for x in (k, w / total)])
+    # Five standard errors of a share.
+    share, n_rows = expected[F.col("split")], F.sum("n").over(Window.partitionBy())
+    near = F.abs(F.col("n") / n_rows - share) <= 5 * F.sqrt(share * (1 - share) / n_rows)
+    summary = sizes.select("n", near.alias("near")).agg(
+        F.sum("n").alias("n_rows"),
+        F.count(F.lit(1)).alias("n_parts"),
+        F.every("near").alias("shares_near"),
+    )
+    # One row on either side.
+    return summary.crossJoin(lost).select("n_rows", "n_parts", "rows_changed", "shares_near")
 
 
-@_query("random_split_train_test")
+@_query("random_split_train_test", _random_split_sql(2), on_clicks=False)
 def _(spark, sf_dir):
-    return _sizes(split.random_split(_table(spark, sf_dir, "lineitem"), split.TRAIN_TEST_WEIGHTS))
+    weights = split.TRAIN_TEST_WEIGHTS
+    return _split_checks(spark, sf_dir, lambda rows: split.random_split(rows, weights), weights)
 
 
-@_query("random_split_train_val_test")
+@_query("random_split_train_val_test", _random_split_sql(3), on_clicks=False)
 def _(spark, sf_dir):
-    return _sizes(split.random_split(_table(spark, sf_dir, "lineitem"), split.TRAIN_PART_WEIGHTS))
+    weights = split.TRAIN_PART_WEIGHTS
+    return _split_checks(spark, sf_dir, lambda rows: split.random_split(rows, weights), weights)
 
 
-@_query("random_split_all")
+@_query("random_split_all", _random_split_sql(4), on_clicks=False)
 def _(spark, sf_dir):
-    return _sizes(split.split_all(_table(spark, sf_dir, "lineitem")))
+    return _split_checks(spark, sf_dir, split.split_all, split.ALL_WEIGHTS)
 
 
-_ROW_LINE_SQL = "concat_ws(chr(9), l_orderkey, l_partkey, l_suppkey, l_linenumber)"
+_ROW_LINE_SQL = (
+    "concat_ws(chr(9), l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, "
+    "l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)"
+)
+
+
+def _row_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the table, with all its columns, as a line."""
+    return to_lines(read_spread(spark, f"{sf_dir}/lineitem.parquet", *KEYS))
 
 
 @_query(
@@ -401,24 +493,17 @@ _ROW_LINE_SQL = "concat_ws(chr(9), l_orderkey, l_partkey, l_suppkey, l_linenumbe
 )
 def _(spark, sf_dir):
     """Lines written as gzip text, one folder per part, and read back."""
-    columns = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
     path = _scratch(spark, "split")
-    rows = spread(_table(spark, sf_dir, "lineitem").select(*columns), *KEYS)
-    split.write_splits(to_lines(rows), path)
+    split.write_splits(_row_lines(spark, sf_dir), path)
     return read_lines(spark, path).select("part", "value")
 
 
-@_query(
-    "split_lines_write",
-    "select count(*)::bigint as n_rows from lineitem",
-    on_clicks=False,
-)
+@_query("split_lines_write", f"select {_ROW_LINE_SQL} as value from lineitem", on_clicks=False)
 def _(spark, sf_dir):
     """All parts of a random one-pass split together hold every line once."""
     path = _scratch(spark, "split")
-    lines = to_lines(_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"))
-    split.write_splits(lines, path, assign="random")
-    return read_lines(spark, path).agg(F.count(F.lit(1)).alias("n_rows"))
+    split.write_splits(_row_lines(spark, sf_dir), path, assign="random")
+    return read_lines(spark, path).select("value")
 
 
 # --- encoding -------------------------------------------------------------------------
@@ -492,6 +577,27 @@ def _(spark, sf_dir):
     return _encoded(spark, sf_dir, broadcastBytes=0)
 
 
+_UNSEEN = "case when l_orderkey % 10 < 7 then 'never-seen' else C9 end"
+
+
+@_query(
+    "freq_encode_transform_unseen",
+    f"""with train as (select * from clicks where {_TRAIN_SQL}),
+    rates as (select C9 as value, count(*)::double / (select count(*) from train) as rate
+      from train group by C9),
+    scored as (select l_orderkey, l_linenumber, l_partkey, {_UNSEEN} as value from clicks)
+    {_KEY_SQL}, coalesce(round(rate, 12), 0.0::double) as C9_rate
+    from scored left join rates on scored.value is not distinct from rates.value""",
+)
+def _(spark, sf_dir):
+    """The large lookup where most scored rows hold a value that fit never saw."""
+    rows = clicks_with_keys(spark, sf_dir).select(*KEYS, "C9")
+    train, _ = _train_rows(rows)
+    fitted = encode.FrequencyEncoder(inputCols=["C9"], broadcastBytes=0).fit(train)
+    encoded = fitted.transform(rows.withColumn("C9", F.expr(_UNSEEN)))
+    return encoded.select(*KEYS, F.round("C9_rate", 12).alias("C9_rate"))
+
+
 def _impute_sql(fill: str) -> str:
     filled = ", ".join(
         f"coalesce({name}, (select {fill.format(mean=f'avg({name})')} from clicks)) as {name}"
@@ -795,3 +901,203 @@ def _(spark, sf_dir):
     loaded = model.load_model(f"{path}/encoding")
     scored = model.score(model.load_model(f"{path}/forest"), encode.to_features(loaded, test))
     return scored.select(LABEL, "prediction", F.round("score", 6).alias("score"))
+
+
+# --- models and evaluation that SQL can follow ----------------------------------------
+
+# One yes/no feature: both models then answer with the click rates of its two values.
+_BINARY = "case when I2 >= 25 then 1.0 else 0.0 end"
+
+
+def _binary_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feature = F.expr(_BINARY).cast("double")
+    return clicks(spark, sf_dir).select(
+        F.col(LABEL).cast("double").alias(LABEL),
+        array_to_vector(F.array(feature)).alias(encode.FEATURES),
+    )
+
+
+def _rates_by_value(scored: DataFrame, digits: int) -> DataFrame:
+    value = vector_to_array(encode.FEATURES)[0].alias("value")
+    return scored.groupBy(value).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.max("score"), digits).alias("score")
+    )
+
+
+def _rate_sql(digits: int) -> str:
+    return (
+        f"select ({_BINARY})::double as value, count(*)::bigint as n_rows, "
+        f"round(avg(label), {digits}) as score from clicks group by 1"
+    )
+
+
+@_query("lr_rate_by_value", _rate_sql(4))
+def _(spark, sf_dir):
+    """Unregularised logistic regression on one yes/no feature."""
+    rows = materialize(_binary_features(spark, sf_dir), "binary-features")
+    fitted = model.train_lr(rows, max_iter=100, reg_param=0.0)
+    return _rates_by_value(model.score(fitted, rows), 4)
+
+
+def _stump(rows: DataFrame):
+    return model.train_rf(rows, trees=1, depth=1, bootstrap=False)
+
+
+@_query("rf_rate_by_value", _rate_sql(9))
+def _(spark, sf_dir):
+    """One tree of one split on all rows: its leaves are group rates."""
+    rows = materialize(_binary_features(spark, sf_dir), "binary-features")
+    return _rates_by_value(model.score(_stump(rows), rows), 9)
+
+
+@_query("model_roundtrip_rates", _rate_sql(9))
+def _(spark, sf_dir):
+    """The same tree, saved and loaded again."""
+    rows = materialize(_binary_features(spark, sf_dir), "binary-features")
+    path = _scratch(spark, "models")
+    model.save_model(_stump(rows), path)
+    return _rates_by_value(model.score(model.load_model(path), rows), 9)
+
+
+@_query(
+    "model_roundtrip_scores",
+    f"select count(*)::bigint as n_rows, 0::bigint as n_changed from clicks where not ({_TRAIN_SQL})",
+)
+def _(spark, sf_dir):
+    """Scores of the real forest that change when it is saved and loaded: none."""
+    train, test = _train_rows(clicks_with_keys(spark, sf_dir))
+    encoding = encode.fit_features(train)
+    forest = model.train_rf(materialize(encode.to_features(encoding, train), "train-features"))
+    path = _scratch(spark, "models")
+    model.save_model(encoding, f"{path}/encoding")
+    model.save_model(forest, f"{path}/forest")
+    features = encode.to_features(model.load_model(f"{path}/encoding"), test)
+    once = model.score(forest, encode.to_features(encoding, test)).groupBy("score").count()
+    again = model.score(model.load_model(f"{path}/forest"), features).groupBy("score").count()
+    again = again.select(F.col("score").alias("other"), F.col("count").alias("n"))
+    both = once.join(again, F.col("score") == F.col("other"), "full")
+    n, m = F.coalesce("count", F.lit(0)), F.coalesce("n", F.lit(0))
+    return both.agg(F.sum(n).alias("n_rows"), F.sum(F.abs(n - m)).alias("n_changed"))
+
+
+@_query(
+    "predictions_preview_rows",
+    "select least(100, count(*))::bigint as n_rows, true as all_in_predictions from clicks",
+)
+def _(spark, sf_dir):
+    """Every previewed row is one of the predictions; the limit is the feature."""
+    rows = materialize(_binary_features(spark, sf_dir), "binary-features")
+    scored = model.score(_stump(rows), rows)
+    plain = [vector_to_array(encode.FEATURES)[0], LABEL, "prediction"]
+    known = scored.select(*plain).distinct().withColumn("known", F.lit(True))
+    shown = materialize(model.preview(scored), "preview").select(*plain)
+    names = known.columns[:-1]
+    found = shown.join(known, names, "left")
+    return found.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.every(F.coalesce("known", F.lit(False))).alias("all_in_predictions"),
+    )
+
+
+def _half_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions that SQL can make as well: a price as the score, a quantity for the say."""
+    return clicks(spark, sf_dir).select(
+        F.coalesce("I3", F.lit(-1)).cast("double").alias("score"),
+        (F.col("I2") >= 25).cast("double").alias("prediction"),
+        LABEL,
+    )
+
+
+def _said_sql(positive: int) -> str:
+    """Summary row of an evaluation."""
+    return f"""with said as (select coalesce(I3, -1) as score, label,
+        case when I2 >= 25 then 1 else 0 end as prediction from clicks)
+    select 'm' as model, 'd' as dataset, count(*)::bigint as rows,
+      sum(case when label = {positive} then 1 else 0 end)::bigint as positives,
+      (select auc from ({_area_sql("said")})) as auc,
+      round((sum(case when label = 1 and prediction = 1 then 1 else 0 end)::double
+          / sum(case when label = 1 then 1 else 0 end)
+        + sum(case when label = 0 and prediction = 0 then 1 else 0 end)::double
+          / sum(case when label = 0 then 1 else 0 end)) / 2, 9) as hard_auc from said"""
+
+
+@_query("evaluate_summary", _said_sql(1))
+def _(spark, sf_dir):
+    """The evaluation bundle on scores that SQL knows, cut into ranges of a thousand scores."""
+    found = evaluate.evaluate(_half_scores(spark, sf_dir), "m", "d", scores_per_task=1000)
+    return found.summary.withColumns(
+        {name: F.round(name, 9) for name in ("auc", "hard_auc")}
+    )
+
+
+@_query("evaluate_curve", _curve_sql(_SCORED_SQL))
+def _(spark, sf_dir):
+    found = evaluate.evaluate(_half_scores(spark, sf_dir), "m", "d", scores_per_task=1000)
+    return _rounded_curve(found.curve)
+
+
+@_query(
+    "model_roc_auc_checks",
+    f"""select name as model, count(*)::bigint as rows, sum(label)::bigint as positives,
+      true as auc_agrees, true as hard_auc_agrees
+    from clicks, (select unnest(['LogisticRegression', 'RandomForestOfRegressionTrees']) as name)
+    where not ({_TRAIN_SQL}) group by name""",
+)
+def _(spark, sf_dir):
+    """Areas of both real models against Spark's own evaluator and the closed form."""
+    run = _trained(spark, sf_dir, ("lr", "rf"))
+    checks = None
+    for short in ("lr", "rf"):
+        scored = run.predictions[short]
+        theirs = BinaryClassificationEvaluator(
+            rawPredictionCol="score", labelCol=LABEL, numBins=0
+        ).evaluate(scored)
+        hard = evaluate.hard_auc(scored).select(F.col("auc").alias("closed"))
+        # One row on either side.
+        row = run.evaluations[short].summary.crossJoin(hard).select(
+            "model",
+            "rows",
+            "positives",
+            (F.abs(F.col("auc") - theirs) < 1e-9).alias("auc_agrees"),
+            (F.abs(F.col("hard_auc") - F.col("closed")) < 1e-9).alias("hard_auc_agrees"),
+        )
+        checks = row if checks is None else checks.unionAll(row)
+    return checks
+
+
+@_query(
+    "model_roc_curve_checks",
+    """select true as starts_at_origin, true as ends_at_one, true as rises, true as area_agrees
+    from (select 1)""",
+    on_clicks=False,
+)
+def _(spark, sf_dir):
+    """The curve of the real forest: ends, rise, and the area below it."""
+    found = _trained(spark, sf_dir, ("rf",)).evaluations["rf"]
+    # A forest has few distinct scores.
+    before = Window.orderBy(F.desc("threshold"))
+    points = found.curve.select(
+        "fpr",
+        "tpr",
+        F.lag("fpr").over(before).alias("fpr_before"),
+        F.lag("tpr").over(before).alias("tpr_before"),
+    )
+    strip = (F.col("fpr") - F.col("fpr_before")) * (F.col("tpr") + F.col("tpr_before")) / 2
+    rising = F.col("fpr_before").isNull() | (
+        (F.col("fpr") >= F.col("fpr_before")) & (F.col("tpr") >= F.col("tpr_before"))
+    )
+    first = F.col("fpr_before").isNull()
+    checks = points.agg(
+        F.every(~first | ((F.col("fpr") == 0) & (F.col("tpr") == 0))).alias("starts_at_origin"),
+        ((F.max("fpr") == 1) & (F.max("tpr") == 1)).alias("ends_at_one"),
+        F.every(rising).alias("rises"),
+        F.sum(strip).alias("area"),
+    )
+    area = found.summary.select("auc")
+    # One row on either side.
+    return checks.crossJoin(area).select(
+        "starts_at_origin",
+        "ends_at_one",
+        "rises",
+        (F.abs(F.col("area") - F.col("auc")) < 1e-9).alias("area_agrees"),
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
@@ -44,12 +44,14 @@ def run(
 ) -> Run:
     """Encode, train the named models and evaluate each on ``test``.
 
-    Encoded training rows are written once: every model reads them several times. Without
+    The columns used and the encoded training rows are computed once: the fit and every
+    model read them several times. Without
     ``evaluated`` no row of ``test`` is read before its predictions are asked for.
     """
     used = [LABEL, *int_columns, *cat_columns]
-    encoding = fit_features(train.select(*used), int_columns, cat_columns, impute)
-    train_features = materialize(to_features(encoding, train.select(*used)), "train-features")
+    train = materialize(train.select(*used), "train")
+    encoding = fit_features(train, int_columns, cat_columns, impute)
+    train_features = materialize(to_features(encoding, train), "train-features")
     test_features = to_features(encoding, test.select(*used))
     if evaluated and len(models) > 1:
         test_features = materialize(test_features, "test-features")
@@ -70,7 +72,8 @@ def run_mode(
     spark: SparkSession,
     root: str,
     mode: str = "test",
-    exact: bool = True,
+    files: Mapping[str, str] | None = None,
+    validate: bool = False,
     int_columns: Sequence[str] = INT_COLS,
     cat_columns: Sequence[str] = ENCODED_CAT_COLS,
     **options,
@@ -78,14 +81,14 @@ def run_mode(
     """``run`` on the named datasets of a mode below ``root``.
 
     The training log is parsed once, into a table of the columns that the passes of the
-    fit read.
+    fit read. ``files`` names datasets that lie elsewhere, see ``dataset_paths``. Within
+    ``session.intermediate_tables`` the tables go when the block ends.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}; known: {', '.join(MODES)}")
     train_name, test_name, models = MODES[mode]
-    used = [LABEL, *int_columns, *cat_columns]
-    train = materialize(read_dataset(spark, root, train_name, exact).select(*used), "train")
-    test = read_dataset(spark, root, test_name, exact)
+    train = read_dataset(spark, root, train_name, files, validate)
+    test = read_dataset(spark, root, test_name, files, validate)
     options.setdefault("models", models)
     return run(
         train,

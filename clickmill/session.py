@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,11 +23,17 @@ def build_session(app_name: str = "clickmill", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def has_shared_folder(spark: SparkSession) -> bool:
+    """Whether the session names a folder that driver and executors share."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    return bool(configured or spark.sparkContext.getCheckpointDir())
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 
-    A temporary folder stands in only in local mode, where driver and executors
-    share one disk.
+    For files that are written and read back. A temporary folder stands in only in local
+    mode, where driver and executors share one disk; intermediate results do not use it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -35,29 +43,57 @@ def shared_folder(spark: SparkSession) -> str:
         return context.getCheckpointDir()
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="clickmill-"))
-    return context.getCheckpointDir()
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="clickmill-")
+    return _local_folders[context.applicationId]
 
 
-# Scans of fewer tasks hold little data unless their files cannot be split.
-FEW_TASKS = 1000
+_local_folders: dict[str, str] = {}
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal the rows of a scan that would leave cores idle out to all of them.
+def spread(df: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
+    """Deal the rows of a scan out to ``tasks`` tasks; ``None`` leaves it as it is.
 
-    A gzip file or a parquet file with one row group is one task however large it is.
-    A scan with a task for every core, or with many tasks as any large table has, is
-    returned as it is. Rows are dealt in turn, which sorts them first to be repeatable, or
-    by ``keys`` that name each row.
+    For inputs that are one task however large they are, as a gzip file or a parquet file
+    with one row group. Rows are dealt in turn, which sorts them first to be repeatable, or
+    by ``keys`` that name each row. Results that depend on the partitioning, as random
+    splits do, depend on ``tasks``, not on the size of the cluster.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    few = df.rdd.getNumPartitions() < min(cores, FEW_TASKS)
-    return df.repartition(cores, *keys) if few else df
+    return df.repartition(tasks, *keys) if tasks else df
 
 
-def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write ``df`` once to the shared folder and return a scan of the written table.
+_scopes: list[list[str | DataFrame]] = []
+
+
+@contextmanager
+def intermediate_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end of the block, the tables that ``materialize`` made in it.
+
+    Results that read such tables must be written or collected within the block.
+    """
+    made: list[str | DataFrame] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for table in made:
+            if isinstance(table, DataFrame):
+                table.unpersist()
+            else:
+                path = spark._jvm.org.apache.hadoop.fs.Path(table)
+                path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(
+                    path, True
+                )
+
+
+def _remember(table: str | DataFrame) -> None:
+    if _scopes:
+        _scopes[-1].append(table)
+
+
+def write_table(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` once below the shared folder and return a scan of the written table.
 
     The table survives lost executors and gives later steps column pruning,
     pushed filters and real sizes, which a cached plan would not.
@@ -66,6 +102,23 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     path = f"{shared_folder(spark)}/clickmill/{name}-{uuid.uuid4().hex}"
     writer = df.write
     if partition_by:
-        writer = writer.partitionBy(partition_by)
+        # Rows of one value meet in few tasks, so that they fill few files.
+        writer = df.hint("rebalance", partition_by).write.partitionBy(partition_by)
     writer.parquet(path)
+    _remember(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """Compute ``df`` once for several readers.
+
+    Written as a table where the session has a shared folder. Without one the rows are
+    cached in the executors: a lost executor costs computing its part again, but no file
+    lies where only one machine sees it.
+    """
+    spark = df.sparkSession
+    if has_shared_folder(spark):
+        return write_table(df, name, partition_by)
+    kept = df.persist()
+    _remember(kept)
+    return kept

@@ -1,20 +1,23 @@
-from clickmill.sources.catalog import dataset_paths, read_dataset
+from clickmill.sources.catalog import TEXT_SPLITS, dataset_paths, read_dataset
 from clickmill.sources.clicks import (
     parse_lines,
     read_clicks,
     read_lines,
     to_lines,
+    validate_log,
     write_clicks,
     write_lines,
 )
 
 __all__ = [
+    "TEXT_SPLITS",
     "dataset_paths",
     "parse_lines",
     "read_clicks",
     "read_dataset",
     "read_lines",
     "to_lines",
+    "validate_log",
     "write_clicks",
     "write_lines",
 ]

@@ -67,13 +67,42 @@ def test_rows_that_are_done_spread_over_the_shuffle(spark):
     assert joined.where("C1 = 'hot'").select("C1_rate").distinct().collect() == [(6000 / 9000,)]
 
 
-def test_hot_table_is_bounded(spark):
-    rows = spark.range(1000).select(F.col("id").cast("string").alias("C1"))
-    model = encode.FrequencyEncoder(inputCols=["C1"], broadcastBytes=0, hotShare=0.01).fit(rows)
-    assert model.hot_count("C1") == 10
-    model.HOT_BYTES = 990
-    # Only ten entries of 99 bytes fit, so a tenth of the rows makes a value hot.
-    assert model.hot_count("C1") == 100
+def test_hot_values_are_bounded_by_their_own_bytes(spark):
+    rows = spark.range(1000).select((F.col("id") % 4).cast("string").alias("C1"))
+    long = spark.createDataFrame([("x" * 100_000,)], "C1 string")
+    model = encode.FrequencyEncoder(inputCols=["C1"], broadcastBytes=0, hotShare=0.1).fit(rows)
+    hot = model._hot_values(rows.union(long), "C1", 10_000).collect()
+    assert sorted(row["value"] for row in hot) == ["0", "1", "2", "3"]
+    # Entries of 97 bytes: only two of them fit.
+    assert model._hot_values(rows, "C1", 200).count() == 2
+
+
+def test_value_unseen_in_fit_on_most_rows_spreads_over_all_tasks(spark):
+    fit = spark.range(2000).select(F.col("id").cast("string").alias("C1"))
+    value = F.when(F.col("id") % 10 < 7, "unseen").when(F.col("id") % 10 == 7, F.lit(None))
+    rows = spark.range(20000).select("id", value.otherwise(F.col("id").cast("string")).alias("C1"))
+    model = encode.FrequencyEncoder(inputCols=["C1"], broadcastBytes=0).fit(fit)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, setting in settings.items():
+        spark.conf.set(key, setting)
+    try:
+        joined = model.transform(rows)
+        tasks = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert len(tasks) == 4 and max(row["count"] for row in tasks) < 20000 * 0.35
+    finally:
+        for key, setting in before.items():
+            spark.conf.set(key, setting)
+    rates = {r["C1"]: r["C1_rate"] for r in joined.where("id < 20").collect()}
+    assert rates["unseen"] == 0.0 and rates[None] == 0.0 and rates["8"] == 1 / 2000
+
+
+def test_broadcasts_share_one_limit(spark):
+    rows = spark.range(100).select(*[F.col("id").cast("string").alias(c) for c in ("C1", "C2")])
+    model = encode.FrequencyEncoder(inputCols=["C1", "C2"], broadcastBytes=15_000).fit(rows)
+    assert model.broadcast_columns() == ["C1"]
+    encoded = model.transform(rows).select("C1_rate", "C2_rate").distinct().collect()
+    assert [tuple(row) for row in encoded] == [(0.01, 0.01)]
 
 
 def test_rates_sum_to_one(spark):

@@ -73,7 +73,7 @@ def test_thin_curve_equals_brute_force(spark, tied_rows, scores_per_task):
 
 def test_ranges_hold_similar_numbers_of_scores(spark, tied_rows):
     points = evaluate.score_counts(scored(spark, tied_rows))
-    sizes = [r["count"] for r in evaluate._bucketed(points, 10).groupBy("bucket").count().collect()]
+    sizes = [r["count"] for r in evaluate._in_ranges(points, 10).groupBy("bucket").count().collect()]
     assert len(sizes) > 5 and max(sizes) <= 30
 
 

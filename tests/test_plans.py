@@ -1,3 +1,4 @@
+import os
 import random
 
 import duckdb
@@ -5,18 +6,17 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_point
+from clickmill import session
 from clickmill.operators.split import write_splits
 from clickmill.plans import workflow
 from clickmill.schema import CAT_COLS, INT_COLS
-from clickmill.session import materialize, shared_folder
+from clickmill.session import intermediate_tables, materialize, shared_folder
 from clickmill.sources import read_lines
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
 ).split()
-# Sort order is not part of the compared result, and the twin is checked under its plain name.
-SLOW = {"category_counts_ordered"}
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +36,7 @@ def plain(rows, columns):
     return sorted(tuple(text(row[name]) for name in columns) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_point.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
 def test_query_equals_its_sql(spark, sf_dir, duck, name):
     result = entry_point.queries()[name](spark, sf_dir)
     cursor = duck.execute(entry_point.oracle_sql()[name])
@@ -53,7 +53,7 @@ def test_registered_sql_has_queries():
 
 def test_models_find_the_signal(spark, sf_dir):
     rows = entry_point.entry(spark).collect()
-    assert [row["model"] for row in rows] == ["LogisticRegression", "RandomForestClassifier"]
+    assert [row["model"] for row in rows] == ["LogisticRegression", "RandomForestOfRegressionTrees"]
     for row in rows:
         assert row["auc"] > 0.7 and 0.5 <= row["hard_auc"] <= 1.0 and row["rows"] > 2000
 
@@ -78,7 +78,7 @@ def test_log_to_evaluation(spark, tmp_path):
         assert evaluation.summary.first()["auc"] > 0.9
     production = workflow.run_mode(spark, root, "production")
     assert set(production.models) == {"rf"}
-    assert production.evaluations["rf"].name == "RandomForestClassifier-test"
+    assert production.evaluations["rf"].name == "RandomForestOfRegressionTrees-test"
     assert production.evaluations["rf"].summary.first()["rows"] > 2900
     with pytest.raises(ValueError):
         workflow.run_mode(spark, root, "other")
@@ -89,3 +89,22 @@ def test_intermediate_tables_go_to_the_configured_folder(spark):
     assert shared_folder(spark) == configured
     table = materialize(spark.range(3), "three")
     assert all(configured in path for path in table.inputFiles())
+
+
+def test_intermediate_tables_are_deleted_at_the_end_of_their_block(spark):
+    with intermediate_tables(spark):
+        table = materialize(spark.range(3), "three")
+        files = [path.removeprefix("file://") for path in table.inputFiles()]
+        assert files and all(os.path.exists(path) for path in files)
+    assert not any(os.path.exists(path) for path in files)
+    kept = materialize(spark.range(3), "three")
+    assert kept.count() == 3
+
+
+def test_without_a_shared_folder_rows_are_cached(spark, monkeypatch):
+    monkeypatch.setattr(session, "has_shared_folder", lambda _: False)
+    with intermediate_tables(spark):
+        table = materialize(spark.range(3), "three")
+        assert table.is_cached and table.inputFiles() == []
+        assert entry_point.queries()["roc_auc"](spark, "/root/testdata/sf0.001").count() == 1
+    assert not table.is_cached

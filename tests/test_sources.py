@@ -3,14 +3,17 @@ import gzip
 import pytest
 from pyspark.sql import types as T
 
+from clickmill.operators.profile import row_count
 from clickmill.schema import CAT_COLS, CLICK_SCHEMA, INT_COLS, role_of_position
 from clickmill.sources import (
+    TEXT_SPLITS,
     dataset_paths,
     parse_lines,
     read_clicks,
     read_dataset,
     read_lines,
     to_lines,
+    validate_log,
     write_clicks,
 )
 
@@ -62,27 +65,45 @@ def test_parse_lines(spark, ansi):
         spark.conf.set("spark.sql.ansi.enabled", before)
 
 
-@pytest.mark.parametrize("exact", [True, False])
-def test_read_plain_and_gzip(spark, tmp_path, exact):
-    # The CSV reader skips a line of empty fields.
-    lines = [line for line in LINES if exact or line.strip()]
+@pytest.mark.parametrize("options", [{}, {"validate": True}, {"tasks": 3}])
+def test_read_plain_and_gzip(spark, tmp_path, options):
+    lines = [*LINES, "\t" * 4]
     text = "".join(line + "\n" for line in lines)
     (tmp_path / "plain.txt").write_text(text)
     with gzip.open(tmp_path / "packed.txt.gz", "wt") as file:
         file.write(text)
-    expected = sorted((LINES[line] for line in lines), key=repr)
+    expected = sorted([*LINES.values(), (None,) * 5], key=repr)
     for name in ("plain.txt", "packed.txt.gz"):
-        rows = read_clicks(spark, str(tmp_path / name), SMALL, exact).collect()
+        rows = read_clicks(spark, str(tmp_path / name), SMALL, **options).collect()
         assert sorted((tuple(row) for row in rows), key=repr) == expected
 
 
-@pytest.mark.parametrize("exact", [True, False])
-def test_read_fails_on_malformed_rows(spark, tmp_path, exact):
-    for number, bad in enumerate(("1\tx\t5\tab\t", "1\t2\t5")):
+BROKEN = ("1\tx\t5\tab\t", "1\t2\t5")
+
+
+@pytest.mark.parametrize("validate", [True, False])
+def test_read_fails_on_malformed_rows(spark, tmp_path, validate):
+    for number, bad in enumerate(BROKEN):
         path = tmp_path / f"{number}.txt"
         path.write_text(bad + "\n")
         with pytest.raises(Exception):
-            read_clicks(spark, str(path), SMALL, exact).collect()
+            read_clicks(spark, str(path), SMALL, validate=validate).collect()
+
+
+@pytest.mark.parametrize("bad", BROKEN)
+def test_validated_lines_fail_where_the_broken_column_is_not_read(spark, bad):
+    lines = frame(spark, ["1\t2\t3\ta\tb", bad])
+    other = parse_lines(lines, SMALL, validate=True)
+    for job in (row_count(other), other.select(SMALL[0].name)):
+        with pytest.raises(Exception):
+            job.collect()
+    assert row_count(parse_lines(lines, SMALL)).first()[0] == 2
+
+
+def test_validate_log_counts_broken_lines(spark):
+    lines = frame(spark, ["1\t2\t3\ta\tb", *BROKEN, "", "\t" * 4, "y\t\t\t\t"])
+    assert tuple(validate_log(lines, SMALL).first()) == (6, 2, 2)
+    assert tuple(validate_log(lines.limit(0), SMALL).first()) == (0, 0, 0)
 
 
 def test_write_and_read_back(spark, tmp_path):
@@ -116,6 +137,15 @@ def test_catalog(spark, tmp_path):
         read_dataset(spark, str(tmp_path), "other")
 
 
-def test_small_scan_is_dealt_out(spark, tmp_path):
+def test_lines_are_dealt_out_as_asked(spark, tmp_path):
     (tmp_path / "one.txt").write_text("a\nb\n")
-    assert read_lines(spark, str(tmp_path / "one.txt")).rdd.getNumPartitions() == 4
+    path = str(tmp_path / "one.txt")
+    assert read_lines(spark, path).rdd.getNumPartitions() == 1
+    assert read_lines(spark, path, tasks=4).rdd.getNumPartitions() == 4
+
+
+def test_catalog_reads_splits_that_lie_elsewhere(spark, tmp_path):
+    (tmp_path / "split").mkdir()
+    (tmp_path / "split" / "test_3m.txt").write_text("0" + "\t" * 39 + "\n")
+    rows = read_dataset(spark, str(tmp_path), "test_3m", TEXT_SPLITS).collect()
+    assert [row["label"] for row in rows] == [0]
