@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmill.llm.text import Texts, chunks
-from clickmill.session import materialize
+from clickmill.session import write_table
 
 # A set of rows is sent to every executor only below this size; beyond it, rows are shuffled.
 BROADCAST_BYTES = 32 << 20
@@ -34,7 +34,7 @@ def reach_workers(spark: SparkSession) -> None:
 
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write once below the shared folder and scan the written table from then on."""
-    return materialize(df, name)
+    return write_table(df, name)
 
 
 def fold(column: str, n: int) -> Column:
