@@ -16,8 +16,8 @@ has a pivot, the document with the fewest tokens of its own, and each document i
 with the pivots of its tokens. Links found so join most of each group of near copies. What
 is left are documents of a token in different components. Near their pivot they are known by
 what they differ in, and the differences must overlap for two of them to link: a join on the
-rarest tokens of the differences finds those pairs. Documents far from their pivot are paired
-by shared tokens. So no link between components is missed, and a group of near copies costs
+rarest tokens of the differences finds those pairs. Documents far from their pivot are joined
+on their own rarest tokens. So no link between components is missed, and a group of near copies costs
 about as many comparisons as it has members and changes in common.
 
 Equal texts (after lower-casing) are one document here until the end.
@@ -253,28 +253,42 @@ def _near_pairs(differences: DataFrame, percent: int) -> DataFrame:
     return met.select(*_ordered("doc_id", "o"))
 
 
-def _far_pairs(postings: DataFrame, differences: DataFrame, percent: int) -> DataFrame:
-    """Pairs of documents that share a token, of which one at least is far from its pivot.
+def _far_pairs(differences: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+    """Pairs of which one document at least is far from a pivot that both have.
 
-    Jaccard distance is a metric, so the distances to the pivot may not differ by more than
-    the distance allowed.
+    Jaccard distance is a metric, so the other is nearly as far from the pivot. Those
+    documents are few enough to rank all their tokens, rarest first, for the prefix filter.
     """
-    known = differences.select("pivot", "doc_id", "near", "apart")
-    placed = postings.join(known, ["pivot", "doc_id"])
-    placed = store(placed, "far-postings")
-    far = placed.filter(~F.col("near")).select(
+    edge = 2 * NEAR_PERCENT / (100 + NEAR_PERCENT) - (100 - percent) / 100 - 1e-6
+    some = differences.filter(F.col("apart") >= edge).select("doc_id", "n", "component").distinct()
+    sets = profiles.select("id", "tokens")
+    tokens = some.join(sets, F.col("doc_id") == F.col("id")).select(
+        "doc_id", "n", "component", F.explode("tokens").alias("token")
+    )
+    tokens = store(tokens, "far-tokens")
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("documents"))
+    shared = tokens.join(counts.filter("documents > 1"), "token")
+    own = Window.partitionBy("doc_id")
+    rank = (
+        F.col("n")
+        - F.count(F.lit(1)).over(own)
+        + F.row_number().over(own.orderBy("documents", "token"))
+    )
+    prefix = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
+    ranked = store(
+        shared.withColumn("rank", rank).filter(F.col("rank") <= prefix).drop("rank", "documents"),
+        "far-prefixes",
+    )
+    other = ranked.select(
         "token",
         F.col("doc_id").alias("o"),
-        F.col("n").alias("m2"),
+        F.col("n").alias("m"),
         F.col("component").alias("other"),
-        F.col("apart").alias("apart2"),
     )
-    allowed = (100 - percent) / 100 + 1e-9
-    met = placed.join(far, "token").filter(
+    met = ranked.join(other, "token").filter(
         (F.col("component") != F.col("other"))
-        & (F.col("near") | (F.col("doc_id") < F.col("o")))
-        & (F.abs(F.col("apart") - F.col("apart2")) <= allowed)
-        & _long_enough(percent, "n", "m2")
+        & (F.col("doc_id") < F.col("o"))
+        & _long_enough(percent)
     )
     return met.select(*_ordered("doc_id", "o"))
 
@@ -354,7 +368,7 @@ def _links(docs: DataFrame, entries: DataFrame, words: int, percent: int) -> Dat
     profiles = _profiles(docs, _ids(groups, "doc_id", "pivot"), words, percent)
     profiles = store(profiles, "profiles")
     differences = store(_differences(groups, profiles), "differences")
-    rest = _near_pairs(differences, percent).union(_far_pairs(postings, differences, percent))
+    rest = _near_pairs(differences, percent).union(_far_pairs(differences, profiles, percent))
     rest = store(rest.distinct(), "candidates")
     more = _verified(rest, profiles, percent)
     if not more.limit(1).collect():
