@@ -27,6 +27,7 @@ from clickmill.llm.common import array_column, filter_texts, fold, store, sum_ar
 from clickmill.llm.text import Texts, chunks, mix, run_sums
 
 THRESHOLD = 0.3
+PAD_CHARS, PAD_WORDS = 100, 10
 
 
 def _table(characters: bytes | range) -> np.ndarray:
@@ -46,10 +47,11 @@ _OTHER = _table(b"{}[]()/\\=_+~^@\"'`-")
 
 def statistics(texts: Texts) -> np.ndarray:
     """Transformed statistics of each text: one row per text, bounded and about symmetric."""
-    size = np.diff(texts.offsets)
     n_words = texts.n_words
     words = np.maximum(n_words, 1)
-    chars = np.maximum(size, 1)
+    # Shares of short texts are drawn towards 0: one number is no sign of a bad text.
+    chars = np.diff(texts.offsets) + PAD_CHARS
+    padded = n_words + PAD_WORDS
     lengths = texts.ends - texts.starts
     lines, repeated_lines = texts.duplicate_lines()
     per_line = np.maximum(lines, 1)
@@ -63,7 +65,7 @@ def statistics(texts: Texts) -> np.ndarray:
     long_word = run_sums(lengths > 20, texts.first_word)
     squares = run_sums(lengths.astype(np.float64) ** 2, texts.first_word)
     mean_length = run_sums(lengths, texts.first_word) / words
-    spread = np.sqrt(np.maximum(squares / words - mean_length**2, 0))
+    spread = np.sqrt(np.maximum(squares / words - mean_length**2, 0) * n_words / padded)
     marked = run_sums(
         _SYMBOL[texts.data[texts.ends - 1]] | _BANG[texts.data[texts.ends - 1]], texts.first_word
     )
@@ -77,18 +79,18 @@ def statistics(texts: Texts) -> np.ndarray:
         np.log1p(n_words / per_line),
         mean_length,
         spread,
-        np.log1p(200 * long_word / words),
+        np.log1p(200 * long_word / padded),
         share(_UPPER),
         share(_DIGIT),
         share(_SYMBOL),
-        share(_STOP, words),
-        share(_COMMA, words),
+        share(_STOP, padded),
+        share(_COMMA, padded),
         share(_BANG),
         share(_OTHER),
-        np.log1p(200 * marked / words),
-        np.log1p(200 * texts.repeated_words() / words),
+        np.log1p(200 * marked / padded),
+        np.log1p(200 * texts.repeated_words() / padded),
         np.log1p(200 * repeated_lines / per_line),
-        np.log1p(200 * doubled / words),
+        np.log1p(200 * doubled / padded),
         distinct / np.sqrt(words),
     ]
     return np.column_stack(columns).astype(np.float64)
@@ -190,7 +192,7 @@ def _logistic_curve(x: np.ndarray, ones: np.ndarray, zeros: np.ndarray) -> tuple
     return max(float(beta[0]), 1e-3), float(beta[1])
 
 
-def fit_quality(labelled: DataFrame, shrinkage: float = 0.05, ridge: float = 0.1) -> QualityModel:
+def fit_quality(labelled: DataFrame, shrinkage: float = 0.6, ridge: float = 0.1) -> QualityModel:
     """Model of rows ``label`` (0 or 1), ``features`` and ``calibrate`` (boolean).
 
     Rows to calibrate fit the logistic curve, all others the densities. A class covariance
