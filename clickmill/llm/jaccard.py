@@ -20,7 +20,7 @@ rarest tokens of the differences finds those pairs. Documents far from their piv
 on their own rarest tokens. So no link between components is missed, and a group of near copies costs
 about as many comparisons as it has members and changes in common.
 
-Equal texts (after lower-casing) are one document here until the end.
+Equal texts are one document here until the end.
 
 Defined results: null and empty texts and texts without words have the empty set, which links
 with nothing; a text with fewer words than a shingle has its whole word sequence as its only
@@ -47,8 +47,6 @@ NEAR_PERCENT = 43
 # Ratio of the sizes of differences that one prefix length serves.
 BAND = 1.15
 
-_LOWER_FROM, _LOWER_TO = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
 
 def _prefix(n: int, percent: int) -> int:
     return n - (n * percent + 99) // 100 + 1
@@ -61,8 +59,8 @@ def _lower_sets(column: pa.Array, words: int) -> Iterator[tuple[slice, list[np.n
 
 
 def _text_classes(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and two hashes of the lower-cased text."""
-    text = F.translate(F.coalesce("text", F.lit("")), _LOWER_FROM, _LOWER_TO)
+    """``doc_id`` and two hashes of the text."""
+    text = F.coalesce("text", F.lit(""))
     return docs.select("doc_id", F.xxhash64(text).alias("h1"), F.hash(text).alias("h2"))
 
 

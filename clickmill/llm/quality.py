@@ -23,7 +23,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import array_column, filter_texts, fold, store, sum_arrays
+from clickmill.llm.common import (
+    array_column,
+    bounded_broadcast,
+    filter_texts,
+    fold,
+    store,
+    sum_arrays,
+)
 from clickmill.llm.text import Texts, chunks, mix, run_sums
 
 THRESHOLD = 0.3
@@ -284,8 +291,8 @@ def classify_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier predicts good, all columns kept."""
     held_out = fold("doc_id", 5) == 0
-    known = labels.select("doc_id").distinct()
-    trained = features(docs, ["doc_id"]).join(known, "doc_id", "left_semi")
+    known = bounded_broadcast(labels.select("doc_id").distinct(), 8)
+    trained = features(docs.join(known, "doc_id", "left_semi"), ["doc_id"])
     trained = store(trained, "quality-features")
     model = fit_quality(label_features(trained, labels, held_out))
     return filter_texts(docs, lambda texts: model.score(statistics(texts)) >= THRESHOLD)
