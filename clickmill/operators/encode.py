@@ -241,7 +241,8 @@ class _EncoderWriter(MLWriter):
         DefaultParamsWriter.saveMetadata(
             self.model, path, self.sparkSession, extraMetadata={"sizes": self.model.sizes}
         )
-        self.model.counts.write.partitionBy("column").parquet(f"{path}/counts")
+        counts = self.model.counts.hint("rebalance", "column")
+        counts.write.partitionBy("column").parquet(f"{path}/counts")
 
 
 class _EncoderReader(MLReader):
