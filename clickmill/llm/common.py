@@ -16,15 +16,23 @@ from clickmill.session import write_table
 # A set of rows is sent to every executor only below this size; beyond it, rows are shuffled.
 BROADCAST_BYTES = 32 << 20
 
+ARROW_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ARROW_ROWS = 1000
+
 # Words of a text, as SQL functions see them.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def reach_workers(spark: SparkSession) -> None:
-    """Let Python workers that share this machine's files import the package from here.
+def prepare_session(spark: SparkSession) -> None:
+    """What the registered queries and the pipeline ask of their session.
 
-    A cluster without them gets the package with the job (``--py-files``).
+    Batches between executors and Python workers hold fewer rows than Spark's default: rows
+    are whole documents, and a batch is held several times over. Python workers that share
+    this machine's files import the package from here; a cluster without them gets it with
+    the job (``--py-files``).
     """
+    if int(spark.conf.get(ARROW_ROWS_KEY)) > ARROW_ROWS:
+        spark.conf.set(ARROW_ROWS_KEY, ARROW_ROWS)
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "")
@@ -83,8 +91,8 @@ def filter_texts(
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            passed = [keep(texts) for _, texts in chunks(batch.column(at))]
-            mask = np.concatenate(passed) if passed else np.zeros(0, dtype=bool)
-            yield batch.filter(pa.array(mask))
+            for rows, texts in chunks(batch.column(at)):
+                piece = batch.slice(rows.start, rows.stop - rows.start)
+                yield piece.filter(pa.array(keep(texts)))
 
     return docs.mapInArrow(compute, docs.schema)

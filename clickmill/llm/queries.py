@@ -19,7 +19,7 @@ from clickmill.llm import (
     rules,
     sharding,
 )
-from clickmill.llm.common import fold, reach_workers
+from clickmill.llm.common import fold, prepare_session
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,7 +46,7 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    reach_workers(spark)
+    prepare_session(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -151,9 +152,9 @@ def fit_rules(
         return RuleModel(None)
     regression = LogisticRegression(maxIter=40, regParam=1e-3, standardization=False)
     model = regression.fit(rows.filter(~part))
-    raw = F.udf(lambda v: Vectors.dense([float(v[1])]), VectorUDT())
+    margin = F.array(vector_to_array("rawPrediction")[1])
     margins = model.transform(rows.filter(part)).select(
-        "label", raw("rawPrediction").alias("features")
+        "label", array_to_vector(margin).alias("features")
     )
     margins = margins.persist()
     try:

@@ -66,14 +66,18 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[slice, Texts]]:
-    """Rows of a column in pieces of bounded bytes; a longer text is a piece of its own."""
-    data, offsets = utf8(column)
-    first, n = 0, len(offsets) - 1
+    """Rows of a column in pieces of bounded bytes; a longer text is a piece of its own.
+
+    Only the rows of a piece are copied, not the column.
+    """
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    offsets = np.zeros(len(column) + 1, dtype=np.int64)
+    np.cumsum(lengths, out=offsets[1:])
+    first, n = 0, len(column)
     while first < n:
         last = int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1
         last = min(max(last, first + 1), n)
-        part = offsets[first : last + 1]
-        yield slice(first, last), Texts(data[part[0] : part[-1]], part - part[0])
+        yield slice(first, last), Texts(*utf8(column.slice(first, last - first)))
         first = last
 
 

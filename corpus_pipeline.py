@@ -7,33 +7,38 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clickmill.llm import jaccard, mixing, packing, quality, rules
-from clickmill.llm.common import reach_workers, store
+from clickmill.llm.common import prepare_session, store
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the n-gram model."""
+    prepare_session(spark)
     return rules.keep_passed(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the discriminant predicts good."""
+    prepare_session(spark)
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, at 5 words and 0.8."""
+    prepare_session(spark)
     return jaccard.keep_one_of_each(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
+    prepare_session(spark)
     return mixing.repeat_mixed(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their bins."""
+    prepare_session(spark)
     return packing.pack_documents(docs)
 
 
@@ -51,7 +56,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each written and read again."""
-    reach_workers(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
