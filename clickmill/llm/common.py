@@ -31,7 +31,8 @@ def prepare_session(spark: SparkSession) -> None:
     this machine's files import the package from here; a cluster without them gets it with
     the job (``--py-files``).
     """
-    if int(spark.conf.get(ARROW_ROWS_KEY)) > ARROW_ROWS:
+    # 0 and less mean no limit.
+    if not 0 < int(spark.conf.get(ARROW_ROWS_KEY)) <= ARROW_ROWS:
         spark.conf.set(ARROW_ROWS_KEY, ARROW_ROWS)
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
