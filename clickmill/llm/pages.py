@@ -3,11 +3,12 @@
 A page is a row of text blocks, each with the path of tags from the root to it. For every
 path, text length and punctuation are added up and divided by its number of blocks. The
 ratios are smoothed over neighbouring blocks, fused by their product, and paths above a
-threshold carry content. The content's container is the innermost element that holds nearly
-all of the fused score; all its blocks are the text, but for those in parts that are not the
-article by their tag, class or role: menus, headers, footers, sidebars, notices, adverts,
-forms, comments, scripts and styles. If no path reaches the threshold, as on pages with a few
-words, the path with the highest ratio carries the content.
+threshold carry content. The content's container is the smallest element around all blocks
+with such a path; it is never a part of an article (or, without one, of the main element), and
+grows to take in headings beside it. All its blocks are the text, but for those in parts that
+are not the article by their tag, class or role: menus, headers, footers, sidebars, notices,
+adverts, forms, comments, scripts and styles. If no path reaches the threshold, as on pages
+with a few words, the path with the highest ratio carries the content.
 
 Character references are decoded, white space inside a block becomes one space, blocks are
 joined by a newline.
@@ -30,8 +31,6 @@ from pyspark.sql import functions as F
 
 # Paths whose fused ratio is above this many standard deviations carry content.
 THRESHOLD = 0.2
-# An element is the container while it holds this share of the fused score.
-CONTAINER_SHARE = 0.8
 _KERNEL = np.exp(-np.arange(-2, 3) ** 2 / 2.0)
 
 _TOKEN = re.compile(
@@ -73,8 +72,10 @@ SIBLINGS = {
     "option": ({"option"}, {"select"}),
     "body": ({"head"}, set()),
 }
-OUTSIDE = {"head", "nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "search",
-           "object", "label", "fieldset", "datalist"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+NO_CONTAINER = HEADINGS | {"p", "li", "ul", "ol", "blockquote", "pre", "tr"}
+OUTSIDE = {"head", "title", "nav", "footer", "aside", "form", "button", "select", "dialog", "menu",
+           "search", "object", "label", "fieldset", "datalist"}
 OUTSIDE_NAMES = {
     "ad", "ads", "advert", "adverts", "advertisement", "adbox", "banner", "sponsor", "sponsored",
     "promo", "promotion", "cookie", "cookies", "consent", "notice", "notices", "notification",
@@ -90,12 +91,11 @@ COMMENT_NAMES = {"comment", "comments", "reply", "replies", "ad", "ads", "advert
 class Element:
     """An open tag: its parent, and whether the article can lie in it."""
 
-    __slots__ = ("tag", "parent", "outside", "inside_article", "path", "score")
+    __slots__ = ("tag", "parent", "outside", "inside_article", "path")
 
     def __init__(self, tag: str, parent: Element | None, names: frozenset[str], hidden: bool):
         self.tag = tag
         self.parent = parent
-        self.score = 0.0
         self.inside_article = tag in ("article", "main") or bool(parent and parent.inside_article)
         self.path = f"{parent.path if parent else ''}/{tag}"
         if names:
@@ -232,29 +232,40 @@ def path_scores(found: list[tuple[Element, str]]) -> np.ndarray:
     return np.array([means[p][0] / means[p][1] for p in paths])
 
 
-def _container(found: list[tuple[Element, str]], scores: np.ndarray, seeds: np.ndarray) -> Element:
-    """Innermost element that holds nearly all of the score of the seeds."""
-    elements: dict[int, Element] = {}
-    for (element, _), score, seed in zip(found, scores, seeds, strict=True):
+def _container(found: list[tuple[Element, str]], usable: np.ndarray, seeds: np.ndarray) -> Element:
+    """Smallest element around all seeds that cuts off no part of an article and no heading."""
+    first = found[int(np.argmax(seeds))][0]
+    chain = [first]
+    while chain[-1].parent is not None:
+        chain.append(chain[-1].parent)
+    chain.reverse()
+    place = {id(e): i for i, e in enumerate(chain)}
+
+    def shared(at: Element) -> int:
+        """Place in the chain of the innermost element that holds ``at``."""
+        while id(at) not in place:
+            at = at.parent
+        return place[id(at)]
+
+    end = min(shared(e) for (e, _), seed in zip(found, seeds, strict=True) if seed)
+    # A lone paragraph is no container; its parent has the headings and lists beside it.
+    while end and (chain[end].tag not in BLOCKS or chain[end].tag in NO_CONTAINER):
+        end -= 1
+    for tag in ("main", "article"):
+        end = next((i for i, e in enumerate(chain[: end + 1]) if e.tag == tag), end)
+    headings = []
+    for (element, _), ok in zip(found, usable, strict=True):
         at: Element | None = element
-        while at is not None:
-            if id(at) not in elements:
-                elements[id(at)] = at
-                at.score = 0.0
-            at.score += score if seed else 0.0
+        while at is not None and at.tag not in BLOCKS:
             at = at.parent
-    root = next(e for e in elements.values() if e.parent is None)
-    best = root
-    while True:
-        inner = [
-            e
-            for e in elements.values()
-            if e.parent is best and e.tag in BLOCKS and e.score >= CONTAINER_SHARE * root.score
-        ]
-        # A lone paragraph is no container; its parent has the headings and lists beside it.
-        if not inner or inner[0].tag in ("p", "li", "ul", "ol", "blockquote", "pre", "h1", "h2", "h3", "tr"):
-            return best
-        best = inner[0]
+        if ok and at is not None and at.tag in HEADINGS:
+            headings.append((shared(at), at))
+    # A container with a title of its own leaves the site's alone, but no heading beside it.
+    titled = any(i >= end and h.tag == "h1" for i, h in headings)
+    beside = [
+        i for i, h in headings if (h.tag == "h1" and not titled) or h.parent is chain[i]
+    ]
+    return chain[min([end, *beside])]
 
 
 def main_text(page: str | None) -> str:
@@ -267,7 +278,7 @@ def main_text(page: str | None) -> str:
     seeds = usable & (scores >= THRESHOLD * scores[usable].std()) & (scores > 0)
     if not seeds.any():
         seeds = usable & (scores == scores[usable].max())
-    container = _container(found, scores, seeds)
+    container = _container(found, usable, seeds)
     lines = []
     for element, text in found:
         if element.outside:

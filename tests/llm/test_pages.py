@@ -64,6 +64,28 @@ def test_page_without_article_element():
     assert pages.main_text(page) == "\n".join(wanted)
 
 
+LONG = "<p>A sentence, with marks. And another one, somewhat longer, to read.</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<article><h1>T</h1><div class=body>{LONG * 6}</div></article>",
+        f"<article><section>{LONG * 9}</section><section><p>Short.</p></section></article>",
+        f"<div class=page><p class=lead>Lead.</p><div class=body>{LONG * 6}</div></div>",
+        f"<div class=page><div class=body>{LONG * 6}</div><h2>Appendix</h2><p>End.</p></div>",
+        f"<article><div class=body>{LONG * 9}</div><div class=appendix><p>a</p><p>b</p></div></article>",
+        f"<main><h1>T</h1><article>{LONG * 6}</article></main>",
+        f"<div><div class=title><h1>T</h1></div><div class=body>{LONG * 9}</div></div>",
+        f"<div><section>{LONG * 9}</section><section>{LONG}</section></div>",
+    ],
+)
+def test_all_parts_of_an_article_are_kept(page):
+    wanted = [x for x in re.sub("<[^>]*>", "\n", page).split("\n") if x]
+    page = f"<html><body>{SURROUNDINGS[0]}{page}{SURROUNDINGS[2]}</body></html>"
+    assert pages.main_text(page).split("\n") == wanted
+
+
 @pytest.mark.parametrize(
     ("page", "wanted"),
     [
