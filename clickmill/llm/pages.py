@@ -7,7 +7,8 @@ threshold carry content. The content's container is the smallest element around
 with such a path; it is never a part of an article (or, without one, of the main element), and
 grows to take in headings beside it. All its blocks are the text, but for those in parts that
 are not the article by their tag, class or role: menus, headers, footers, sidebars, notices,
-adverts, forms, comments, scripts and styles. If no path reaches the threshold, as on pages
+adverts, forms, comments, scripts and styles. Names count as a whole (``has-sidebar`` is no
+sidebar), and not for elements that hold the article or most of the page's score. If no path reaches the threshold, as on pages
 with a few words, the path with the highest ratio carries the content.
 
 Character references are decoded, white space inside a block becomes one space, blocks are
@@ -39,16 +40,16 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
     re.DOTALL,
 )
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(
-    r"\bhidden\b(?!\s*=\s*[\"']?until)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I
+_ATTRIBUTE = re.compile(
+    r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?"
 )
-_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 _PARTS = re.compile(r"[A-Za-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？]")
 
-RAW = {"script", "style", "textarea", "noscript", "template", "iframe", "svg", "canvas", "math"}
+RAW = {"script", "style", "textarea", "noscript", "template", "iframe", "svg", "canvas",
+       "annotation", "annotation-xml"}
 VOID = {
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
     "source", "track", "wbr",
@@ -86,46 +87,89 @@ OUTSIDE_NAMES = {
     "search", "login", "copyright", "disclaimer", "contentinfo", "complementary",
 }
 COMMENT_NAMES = {"comment", "comments", "reply", "replies", "ad", "ads", "advert", "sponsored"}
+# What may stand beside such a word in a class or id that still says the same.
+NEUTRAL = {
+    "site", "page", "main", "top", "bottom", "left", "right", "global", "primary", "secondary",
+    "mobile", "desktop", "sticky", "fixed", "inner", "outer", "list", "box", "bar", "container",
+    "wrapper", "wrap", "area", "block", "panel", "column", "col", "group", "item", "items", "link",
+    "links", "button", "buttons", "icon", "icons", "form", "section", "thread", "body", "text", "slot",
+}
+# Never the article, however much of the page they hold.
+NEVER_ARTICLE = COMMENT_NAMES | {
+    "adverts", "advertisement", "adbox", "disqus", "respond", "cookie", "cookies", "consent",
+}
+# A named element with this share of the page's score is the article in spite of its name.
+OVERRIDE_SHARE = 0.8
+# Only these, inside an article, are told by their ids; others' are places to link to.
+_TOLD_BY_ID = {"div", "ul", "ol"}
 
 
 class Element:
-    """An open tag: its parent, and whether the article can lie in it."""
+    """An open tag: its parent, and whether the article can lie in it.
 
-    __slots__ = ("tag", "parent", "outside", "inside_article", "path")
+    It cannot by ``removed`` (its tag or a hidden attribute) or ``named`` (its class, id or
+    role), of its own or of an element around it.
+    """
 
-    def __init__(self, tag: str, parent: Element | None, names: frozenset[str], hidden: bool):
+    __slots__ = ("tag", "parent", "outside", "inside_article", "path", "removed", "named", "never")
+
+    def __init__(self, tag: str, parent: Element | None, attributes: dict[str, str]):
         self.tag = tag
         self.parent = parent
         self.inside_article = tag in ("article", "main") or bool(parent and parent.inside_article)
         self.path = f"{parent.path if parent else ''}/{tag}"
+        self.named = self.never = False
+        self.removed = bool(parent and parent.removed) or _hidden(attributes)
+        names = [attributes[x] for x in ("class", "id", "role") if x in attributes]
         if names:
-            self.path += "." + ".".join(sorted(names))
-        if tag in ("html", "body", "main"):
-            unwanted = False
-        elif tag == "article":
-            unwanted = bool(names & COMMENT_NAMES)
-        else:
-            unwanted = tag in OUTSIDE or bool(names & OUTSIDE_NAMES)
-            unwanted |= tag == "header" and not self.inside_article
-        self.outside = unwanted or hidden or bool(parent and parent.outside)
-
-
-def _names(attributes: str) -> frozenset[str]:
-    found = [a or b or c for a, b, c in _NAMES.findall(attributes)]
-    return frozenset(p.lower() for f in found for p in _PARTS.findall(_CAMEL.sub(" ", f)))
+            parts = {p.lower() for n in names for p in _PARTS.findall(_CAMEL.sub(" ", n))}
+            self.path += "".join(f".{p}" for p in sorted(parts))
+        if tag not in ("html", "body", "main"):
+            told = self._told(attributes) if names else frozenset()
+            if tag == "article":
+                told &= COMMENT_NAMES
+            else:
+                self.removed |= tag in OUTSIDE or tag == "header" and not self.inside_article
+            self.named = bool(told)
+            self.never = bool(told & NEVER_ARTICLE)
+        self.outside = self.removed or self.named or bool(parent and parent.outside)
+
+    def _told(self, attributes: dict[str, str]) -> frozenset[str]:
+        """Words for parts outside the article that whole names of the element say."""
+        names = f"{attributes.get('class', '')} {attributes.get('role', '')}".split()
+        section = self.tag == "section" or "section" in names
+        anchor = self.tag in HEADINGS or self.inside_article and (section or self.tag not in _TOLD_BY_ID)
+        if not anchor:
+            names += attributes.get("id", "").split()
+        found: set[str] = set()
+        for name in names:
+            words = {p.lower() for p in _PARTS.findall(_CAMEL.sub(" ", name))}
+            if words <= OUTSIDE_NAMES | NEUTRAL:
+                found |= words & OUTSIDE_NAMES
+        # The header inside an article holds its title.
+        return frozenset(found - {"header"} if self.inside_article else found)
+
+
+def _attributes(text: str) -> dict[str, str]:
+    """Attributes of a tag; the first of a name counts."""
+    found: dict[str, str] = {}
+    for name, a, b, c in _ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), a or b or c)
+    return found
 
 
-def _hidden(attributes: str) -> bool:
-    if "hidden" not in attributes and "none" not in attributes:
-        return False
-    bare = _QUOTED.sub(lambda m: m[0] if "none" in m[0] or m[0][1:-1] == "true" else '""', attributes)
-    return bool(_HIDDEN.search(bare))
+def _hidden(attributes: dict[str, str]) -> bool:
+    return (
+        attributes.get("hidden", "until-found").strip().lower() != "until-found"
+        or attributes.get("aria-hidden", "").strip().lower() == "true"
+        or bool(_NOT_SHOWN.search(attributes.get("style", "")))
+    )
 
 
 def blocks(page: str) -> list[tuple[Element, str]]:
     """Text blocks of a page in order, each with the innermost block element around it."""
     found: list[tuple[Element, str]] = []
-    stack = [Element("#root", None, frozenset(), False)]
+    stack = [Element("#root", None, {})]
     held: list[str] = []
     at = 0
 
@@ -189,7 +233,7 @@ def blocks(page: str) -> list[tuple[Element, str]]:
                 close(*SIBLINGS[tag])
         if tag in VOID:
             continue
-        element = Element(tag, stack[-1], _names(attributes), _hidden(attributes))
+        element = Element(tag, stack[-1], _attributes(attributes))
         if element.outside != stack[-1].outside:
             flush()
         stack.append(element)
@@ -232,6 +276,58 @@ def path_scores(found: list[tuple[Element, str]]) -> np.ndarray:
     return np.array([means[p][0] / means[p][1] for p in paths])
 
 
+def _override_names(found: list[tuple[Element, str]]) -> None:
+    """Take back in what only its name puts outside, if it holds nearly all of the score.
+
+    The score is that of the article and main elements, if there are any outside named
+    parts or they are most of the page, and that of the page otherwise.
+    """
+    # By block: the named elements around it, and whether it is in an article, and in one
+    # outside named parts. Nothing brings back blocks with none of the first.
+    around: list[list[Element]] = []
+    inside, free = np.zeros((2, len(found)), dtype=bool)
+    for i, (element, _) in enumerate(found):
+        own, above, never = [], 0, element.removed
+        at: Element | None = element
+        while at is not None and not never:
+            if at.named:
+                own.append(at)
+                never = at.never
+            if at.tag in ("article", "main"):
+                inside[i], above = True, len(own)
+            at = at.parent
+        around.append([] if never else own)
+        inside[i] &= not never
+        free[i] = inside[i] and len(own) == above
+    named = {id(e): e for own in around for e in own}
+    if not named:
+        return
+    held = np.array([e.outside for e, _ in found])
+    # Scores as if no name had been seen.
+    for (element, _), own in zip(found, around, strict=True):
+        element.outside = element.outside and not own
+    scores = path_scores(found)
+    scores[[e.outside for e, _ in found]] = 0
+    if free.any():
+        scores[~free] = 0
+    elif scores[inside].sum() > scores.sum() / 2:
+        scores[~inside] = 0
+    # If the names leave nothing, half of the score is enough.
+    least = scores.sum() * (0.5 if held.all() else OVERRIDE_SHARE)
+    share = dict.fromkeys(named, 0.0)
+    for own, score in zip(around, scores.tolist(), strict=True):
+        for e in own:
+            share[id(e)] += score
+    for key, element in named.items():
+        element.named = not 0 < least <= share[key]
+    for element, _ in found:
+        at = element
+        element.outside = element.removed
+        while at is not None and not element.outside:
+            element.outside = at.named
+            at = at.parent
+
+
 def _container(found: list[tuple[Element, str]], usable: np.ndarray, seeds: np.ndarray) -> Element:
     """Smallest element around all seeds that cuts off no part of an article and no heading."""
     first = found[int(np.argmax(seeds))][0]
@@ -271,6 +367,7 @@ def _container(found: list[tuple[Element, str]], usable: np.ndarray, seeds: np.n
 def main_text(page: str | None) -> str:
     """Article text of a page."""
     found = blocks(page or "")
+    _override_names(found)
     usable = np.array([not e.outside for e, _ in found], dtype=bool)
     if not usable.any():
         return ""

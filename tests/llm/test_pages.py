@@ -86,6 +86,49 @@ def test_all_parts_of_an_article_are_kept(page):
     assert pages.main_text(page).split("\n") == wanted
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div class='content has-sidebar'><article>{LONG * 3}</article></div>",
+        f"<div class='with-header no-sidebar'>{LONG * 3}</div>",
+        f"<div class='header'><article>{LONG * 3}</article></div>",
+        f"<div id=sidebar><div>{LONG * 3}</div></div>",
+        f"<article>{LONG * 3}<section id='related-work'><h2 id='search'>S</h2>{LONG}</section></article>",
+        f"<article>{LONG * 3}<section id=related><h2 id='search-algorithms'>S</h2>{LONG}</section></article>",
+        f"<div><h2 id='search-algorithms'>S</h2>{LONG * 3}</div>",
+        f"<div style='overflow:hidden;border:none'>{LONG * 3}</div>",
+        f"<div data-class='footer' data-state='hidden'>{LONG * 3}</div>",
+        f"<article><div class=widget>{LONG * 3}</div></article>",
+        f"<article><div class=header><h1>T</h1></div>{LONG * 3}</article>",
+    ],
+)
+@pytest.mark.parametrize("extra", ["", *SURROUNDINGS])
+def test_names_alone_do_not_drop_the_article(page, extra):
+    wanted = [x for x in re.sub("<[^>]*>", "\n", page).split("\n") if x]
+    page = f"<html><body>{extra}{page}{extra}</body></html>"
+    assert pages.main_text(page).split("\n") == wanted
+
+
+def test_formulas_and_elements_that_are_not_shown():
+    page = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn>"
+    page += "<annotation encoding='t'>x=1</annotation></math> hold.</p>"
+    page += "<p style='color:red; DISPLAY : none'>a</p><p aria-hidden=true>b</p><p HIDDEN>c</p>"
+    assert pages.main_text(page + "<p hidden=until-found>d</p></article>") == "Let x=1 hold.\nd"
+
+
+def test_long_comments_are_not_the_article():
+    for name in ("comments", "comment-list", "ad-box"):
+        page = f"<p>Short, but the article.</p><div class={name}>{LONG * 50}</div>"
+        assert pages.main_text(page) == "Short, but the article."
+        page = f"<article><p>Short.</p></article><div class={name}><article>{LONG * 50}</article></div>"
+        assert pages.main_text(page) == "Short."
+    page = f"<article><p>Short.</p></article><div class=sidebar>{LONG * 50}</div>"
+    assert pages.main_text(page) == "Short."
+    cards = f"<div class=related><article>{LONG}</article></div>"
+    assert pages.main_text(f"<article><p>Short.</p></article>{cards}") == "Short."
+    assert pages.main_text(f"<div class=text>{LONG * 9}</div>{cards}").count("\n") == 8
+
+
 @pytest.mark.parametrize(
     ("page", "wanted"),
     [
