@@ -6,7 +6,8 @@ of columns. After each block a test asks whether the distance seen so far, scale
 columns, is too large for the candidate to reach the query's threshold; what fails by more
 than chance allows is abandoned. Survivors are scored in double precision on the original
 vectors. The threshold of a query is its k-th best score among a sample, then that of its
-nearest list.
+nearest list. The sample's own best vectors are candidates of every query, and a query for which
+the probed lists give fewer than it asks for is searched in all other lists as well.
 
 Fitted on a sample of at most ``SAMPLE`` distinct vectors (drawn by a hash): centroids, the
 number of lists to probe (enough for ``PROBE_SHARE`` of the sample's own neighbours) and the
@@ -69,10 +70,11 @@ def _distinct(rows: DataFrame, k: int) -> DataFrame:
 class Index:
     """Centroids, rotation, probes per query and the sample that thresholds start from."""
 
-    def __init__(self, sample: np.ndarray, total: int, k: int, seed: int = 7):
+    def __init__(self, sample: np.ndarray, reps: np.ndarray, total: int, k: int, seed: int = 7):
         rng = np.random.default_rng(seed)
         dims = sample.shape[1]
         self.sample = sample
+        self.reps = reps
         self.k = k
         self.rotation = np.linalg.qr(rng.standard_normal((dims, dims)))[0]
         lists = int(np.clip(total // VECTORS_PER_LIST, 1, min(MAX_LISTS, len(sample))))
@@ -107,12 +109,21 @@ class Index:
         ranks = np.take_along_axis(place, self.list_of(self.sample)[near], axis=1)
         return int(np.quantile(ranks, PROBE_SHARE, method="higher")) + 1
 
-    def thresholds(self, q: np.ndarray) -> np.ndarray:
-        """Score that the k best other vectors reach at least, as far as the sample tells."""
-        if len(self.sample) <= self.k:
-            return np.full(len(q), -np.inf)
-        scores = q @ self.sample.T
-        return np.partition(scores, -(self.k + 1), axis=1)[:, -(self.k + 1)] - 1e-9
+    def sampled(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Score that the k best other vectors reach at least, as far as the sample tells, and
+        the ``k + 1`` best of the sample with their scores."""
+        keep = min(self.k + 1, len(self.sample))
+        least, exact = np.full(len(q), -np.inf), np.empty((len(q), keep))
+        best = np.empty((len(q), keep), dtype=np.int64)
+        for i in range(0, len(q), 128):
+            scores = q[i : i + 128] @ self.sample.T
+            best[i : i + 128] = np.argpartition(scores, -keep, axis=1)[:, -keep:]
+            if keep > self.k:
+                own = np.take_along_axis(scores, best[i : i + 128], axis=1)
+                least[i : i + 128] = own.min(axis=1) - 1e-9
+        for i, own in enumerate(best):
+            exact[i] = (q[i] * self.sample[own]).sum(axis=1)
+        return least, self.reps[best], exact
 
 
 def scan(q: np.ndarray, x: np.ndarray, least: np.ndarray, rotation: np.ndarray):
@@ -223,24 +234,33 @@ def _assigned(vectors: DataFrame, index: Index) -> DataFrame:
 
 
 def _probing(queries: DataFrame, index: Index) -> DataFrame:
-    """One row per query and probed list, nearest list at ``turn`` 0, with its threshold."""
+    """One row per query: its threshold, all lists, nearest first, and the sample's best."""
 
     def compute(batches):
         for batch in batches:
             q = _matrix(batch.column(1)) if len(batch) else np.zeros((0, index.sample.shape[1]))
-            lists = index.ranked_lists(q)[:, : index.probes].astype(np.int32)
+            least, near, scores = index.sampled(q)
             columns = [
                 batch.column(0),
                 batch.column(1),
-                pa.array(index.thresholds(q)),
-                array_column(lists),
+                pa.array(least),
+                array_column(index.ranked_lists(q).astype(np.int32)),
+                array_column(near),
+                array_column(scores),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["query", "v", "least", "lists"])
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    found = queries.select(F.col("rep").alias("query"), "v").mapInArrow(
-        compute, "query long, v array<double>, least double, lists array<int>"
+    names = ["query", "v", "least", "lists", "near", "scores"]
+    return queries.select(F.col("rep").alias("query"), "v").mapInArrow(
+        compute,
+        "query long, v array<double>, least double, lists array<int>, near array<long>, "
+        "scores array<double>",
     )
-    return found.select("query", "v", "least", F.posexplode("lists").alias("turn", "list"))
+
+
+def _in_lists(probing: DataFrame, start: int, n: int) -> DataFrame:
+    """Queries with each of the ``n`` lists from ``start`` (0 is the nearest)."""
+    return probing.select("query", "v", "least", F.explode(F.slice("lists", start + 1, n)).alias("list"))
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -266,7 +286,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     sample = table.filter(drawn | (F.lit(share) == 1)).select("rep", "v").limit(SAMPLE).toArrow()
     sample = sample if len(sample) else table.select("rep", "v").limit(SAMPLE).toArrow()
     order = np.argsort(sample["rep"].to_numpy())
-    index = Index(_matrix(sample["v"])[order], total, k)
+    index = Index(_matrix(sample["v"])[order], sample["rep"].to_numpy()[order], total, k)
 
     lists = store(_assigned(table, index), "ann-lists")
     asked = rows.filter(is_query).select(F.col("id").alias("query_id"), "h1", "h2")
@@ -276,15 +296,26 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     )
     wanted = table.join(asked.select("rep").distinct(), "rep", "left_semi")
     probing = store(_probing(wanted, index), "ann-probes")
-    home = store(_best(_search(probing.filter("turn = 0"), lists, index), k), "ann-home")
+    home = store(_best(_search(_in_lists(probing, 0, 1), lists, index), k), "ann-home")
     # With k + 1 found in the nearest list, the last of them is the threshold elsewhere.
     raised = home.filter(F.col("place") == k + 1).select(
         "query", (F.col("score") - 1e-9 * (1 + F.abs("score"))).alias("reached")
     )
-    others = probing.filter("turn > 0").join(raised, "query", "left").withColumn(
+    others = _in_lists(probing, 1, index.probes - 1).join(raised, "query", "left").withColumn(
         "least", F.greatest("least", "reached")
     )
     found = home.drop("place").union(_search(others, lists, index))
+    found = store(_best(found, k).select("query", "rep", "score"), "ann-found")
+    if len(sample) < total and index.probes < len(index.centres):
+        # The sample's best are candidates below, so its threshold cuts off none of the k + 1 best.
+        full = found.groupBy("query").count().filter(F.col("count") > k)
+        short = store(probing.join(full, "query", "left_anti"), "ann-short")
+        if not short.isEmpty():
+            rest = _in_lists(short, 0, len(index.centres))
+            found = found.union(_search(rest, lists, index))
+    sampled = probing.select("query", F.explode(F.arrays_zip("near", "scores")).alias("hit"))
+    sampled = sampled.select("query", F.col("hit.near").alias("rep"), F.col("hit.scores").alias("score"))
+    found = found.union(sampled).groupBy("query", "rep").agg(F.max("score").alias("score"))
     best = _best(found, k).select("query", "rep", "score")
     ids = best.join(table.select("rep", "ids"), "rep").select(
         "query", "score", F.explode("ids").alias("vec_id")

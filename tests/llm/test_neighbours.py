@@ -61,6 +61,27 @@ def test_clustered_vectors_in_many_lists(spark, monkeypatch):
     assert hits >= 0.9 * 20 * len(expected)
 
 
+def test_small_clusters_get_all_their_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "VECTORS_PER_LIST", 100)
+    monkeypatch.setattr(neighbours, "SAMPLE", 400)
+    rng = np.random.default_rng(5)
+    data = []
+    for c in range(11):
+        centre = rng.standard_normal(16) * 3
+        data += [centre + 0.2 * rng.standard_normal(16) for _ in range(100 if c < 8 else 5)]
+    rows = [(k, [float(x) for x in v], 0) for k, v in enumerate(data)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    expected = brute([(r.vec_id, r.embedding) for r in df.collect()], every=1)
+    got = collect(df, every=1)
+    assert {q: len(v) for q, v in got.items()} == dict.fromkeys(range(len(data)), 20)
+    few = range(800, len(data))
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in expected[q]}) for q in few)
+    assert hits >= 0.9 * 20 * len(few)
+    for q in got:
+        scores = [float(np.float32(data[q]).astype(float) @ np.float32(data[i])) for i, _ in got[q]]
+        assert [s for _, s in got[q]] == pytest.approx(scores)
+
+
 def test_copies_ties_and_vectors_that_take_no_part(spark):
     rng = np.random.default_rng(6)
     base = [float(x) for x in rng.standard_normal(8)]
