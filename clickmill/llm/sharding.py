@@ -2,8 +2,8 @@
 
 Records are ordered by a hash of their text, then by document id. Keys are drawn with a
 chance in proportion to their size; quantiles of the draw cut the order into ranges of about
-equal bytes. A key that spans a quantile is heavy and gets a range of its own. Ranges are
-then measured, and those overfull are subdivided: heavy keys by a hash of the document id,
+equal bytes. A key that spans a quantile, or has a cell's rows, is heavy and gets a range of its own. Ranges are
+then measured, and those overfull in bytes or rows are subdivided: heavy keys by a hash of the document id,
 others by another hash of the key. Only within these small cells are records ordered; sums of
 whole cells tell where each cell starts, and so every record knows the bytes before it. Shard
 k takes the records of the k-th equal part of all bytes.
@@ -33,10 +33,13 @@ WHOLE_GROUP = 50
 
 
 def _splitters(rows: DataFrame, cells: int, total: int) -> DataFrame:
-    """``upper`` key of each range, whether it is ``heavy``, from a size-weighted sample."""
+    """``upper`` key of each range, whether it is ``heavy``, from a size-weighted sample.
+
+    A row counts for at least its part of a cell's rows, so many small rows are heavy too.
+    """
     rate = DRAWS_PER_CELL * cells / total
     chance = F.pmod("id_hash", F.lit(1 << 20)) / F.lit(float(1 << 20))
-    draws = F.floor(F.col("size") * F.lit(rate) + chance)
+    draws = F.floor(F.greatest(F.col("size") * F.lit(rate), F.lit(DRAWS_PER_CELL / CELL_ROWS)) + chance)
     drawn = rows.select("key", draws.alias("draws")).filter("draws > 0")
     keys = drawn.groupBy("key").agg(F.sum("draws").alias("draws"))
     upto = F.sum("draws").over(Window.orderBy("key"))
@@ -96,7 +99,9 @@ def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
     numbered = store(numbered, "shard-ranges")
 
     full = F.lit(2 * total // cells + 1)
-    parts = numbered.groupBy("range").agg(F.ceil(F.sum("size") / full).alias("parts"))
+    parts = numbered.groupBy("range").agg(
+        F.greatest(F.ceil(F.sum("size") / full), F.ceil(F.count(F.lit(1)) / CELL_ROWS)).alias("parts")
+    )
     parts = bounded_broadcast(store(parts, "range-parts"), 24)
     by_id = F.pmod("id_hash", F.col("parts"))
     by_key = F.pmod(F.xxhash64("key"), F.col("parts"))
@@ -112,7 +117,11 @@ def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
         F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("byte_start"),
         F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("row_start"),
     )
-    starts = bounded_broadcast(store(starts, "cell-starts"), 40)
+    ranges = sums.groupBy("range").agg(F.sum("bytes").alias("range_bytes"))
+    starts = starts.join(ranges, "range").withColumn(
+        "range_start", F.min("byte_start").over(Window.partitionBy("range"))
+    )
+    starts = bounded_broadcast(store(starts, "cell-starts"), 56)
     in_order = Window.partitionBy(*cell).orderBy("key", "doc_id", "text_crc32")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
     same = Window.partitionBy(*cell, "key")
@@ -126,7 +135,12 @@ def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
     middle = F.when(whole, 2 * F.col("group_upto") - F.col("group_bytes")).otherwise(
         2 * F.col("upto") - F.col("size")
     )
-    share = F.floor((2 * F.col("byte_start") + middle) * shards / (2 * total))
+    # A heavy key has its range for itself, so the range's bytes are the group's.
+    few = (F.col("range_bytes") * (WHOLE_GROUP * shards) <= total) & (F.col("range") % 2 == 1)
+    middle = F.when(few, 2 * F.col("range_start") + F.col("range_bytes")).otherwise(
+        2 * F.col("byte_start") + middle
+    )
+    share = F.floor(middle * shards / (2 * total))
     ended = ended.join(starts, cell).select(
         "doc_id",
         "size",

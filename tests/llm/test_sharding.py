@@ -67,3 +67,25 @@ def test_reruns_agree(sample):
     one = sharding.shard_documents(sample, 7).collect()
     two = sharding.shard_documents(sample.repartition(5), 7).collect()
     assert sorted(map(tuple, one), key=str) == sorted(map(tuple, two), key=str)
+
+
+def test_many_small_rows_of_one_key_are_split_but_stay_together(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "CELL_ROWS", 50)
+    kept = {}
+    monkeypatch.setattr(
+        sharding, "store", lambda df, name, f=sharding.store: kept.setdefault(name, f(df, name))
+    )
+    for long in (2_000, 80_000):
+        kept.clear()
+        rows = [(i, None if i % 3 == 0 else f"{i} " + "x" * long) for i in range(900)]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = sharding.shard_documents(df, 10).collect()
+        starts = sorted(r.row_start for r in kept["cell-starts"].collect())
+        assert max(b - a for a, b in zip(starts, [*starts[1:], 900], strict=True)) <= 120
+        assert sorted(r.doc_id for r in got) == list(range(900))
+        for shard in {r.shard for r in got}:
+            slots = sorted(r.slot for r in got if r.shard == shard)
+            assert slots == list(range(len(slots)))
+        # 4800 bytes: at 80 KB a text less than a fiftieth of a fair share.
+        if long == 80_000:
+            assert len({r.shard for r in got if r.size == 16}) == 1
