@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmill.llm import (
+    bitplanes,
     chat,
     jaccard,
+    language_model,
     licences,
     mixing,
     neighbours,
@@ -18,6 +20,7 @@ from clickmill.llm import (
     quality,
     rules,
     sharding,
+    spelling,
 )
 from clickmill.llm.common import fold, prepare_session
 
@@ -125,3 +128,22 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its bin of 2048 words."""
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
+@_query("op11_bit_plane_clusters", bitplanes.SQL)
+def bit_plane_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector of 64 components with its cluster after three rounds."""
+    return bitplanes.cluster_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+@_query("op12_log_frequency_filter")
+def log_frequency_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its exact unigram score and that of the filtered bigram model."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return language_model.score_documents(docs, fold("doc_id", 7) == 2)
+
+
+@_query("op13_spelling_variants", spelling.SQL)
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of seven letters or more with its commoner spelling one edit away."""
+    return spelling.group_variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))

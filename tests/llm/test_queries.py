@@ -28,6 +28,13 @@ COLUMNS = {
         "base_failed", "kept", "probability",
     ],
     "op10_best_fit_packing": ["doc_id", "piece", "n_words", "bin", "start"],
+    "op11_bit_plane_clusters": [
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256",
+    ],
+    "op12_log_frequency_filter": [
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score",
+    ],
+    "op13_spelling_variants": ["word", "form", "root", "n", "n_near", "form_n"],
 }
 
 
