@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import decimal
-import math
 from collections.abc import Sequence
 
 from pyspark import keyword_only
@@ -26,7 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickmill.functions import rate_column, value_rate
+from clickmill.functions import rate_column, text_value, value_rate
+from clickmill.operators.frequent import frequent_share
 from clickmill.operators.profile import _groups, category_counts
 from clickmill.schema import ENCODED_CAT_COLS, INT_COLS, LABEL
 from clickmill.session import materialize
@@ -142,69 +142,89 @@ class FrequencyEncoderModel(Model, _EncoderParams, MLReadable, MLWritable):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         whole = self.broadcast_columns()
         split = [name for name in self.getInputCols() if name not in whole]
-        for name in self.getInputCols():
+        targets = [rate_column(name) for name in self.getInputCols()]
+        columns = [name for name in dataset.columns if name not in targets]
+        for name in whole:
             rates = self.rates.where(F.col("column") == name)
-            if name in whole:
-                dataset = _broadcast_lookup(dataset, name, rates)
-            else:
-                dataset = self._split_lookup(dataset, name, rates, self.HOT_BYTES // len(split))
-        return dataset
-
-    def _hot_values(self, dataset: DataFrame, name: str, most_bytes: int) -> DataFrame:
-        """Values that hold the hot share of the rows of ``dataset`` each.
-
-        They are counted in the rows to be scored, so that a value that was rare or unseen in
-        fit is found too. Counts add up to the rows, so there are at most 1 / share; the most
-        frequent are taken while their text fits into ``most_bytes``.
+            dataset = _broadcast_lookup(dataset, name, rates)
+        if split:
+            dataset = self._split_lookup(dataset, split)
+        return dataset.select(*[dataset[name] for name in columns], *targets)
+
+    def _of_null(self, name: str) -> float:
+        size = self.sizes.get(name, {"rows": 0})
+        return size.get("nulls", 0) / size["rows"] if size["rows"] else 0.0
+
+    def _hot_values(self, dataset: DataFrame, names: Sequence[str]) -> DataFrame:
+        """``(position, value)`` of all columns that hold the hot share of ``dataset`` each.
+
+        They are found in the rows to be scored, so that a value that was rare or unseen in
+        fit is found too, by one summary per column of bounded size. The most frequent are
+        taken while their text fits into ``HOT_BYTES``.
         """
-        values = dataset.select(F.col(name).cast("string").alias("value")).where("value is not null")
-        counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("seen"))
-        counts = materialize(counts, "seen-counts")
-        rows = counts.agg(F.coalesce(F.sum("seen"), F.lit(0))).first()[0]
-        limit = max(math.ceil(self.getOrDefault(self.hotShare) * rows), 2)
-        hot = counts.where(F.col("seen") >= limit)
+        found = frequent_share(dataset, names, self.getOrDefault(self.hotShare))
         size = F.octet_length("value") + self.ENTRY_BYTES
-        most_first = Window.orderBy(F.desc("seen"), "value")
-        return hot.withColumn("upto", F.sum(size).over(most_first)).where(
-            F.col("upto") <= most_bytes
-        ).select("value")
-
-    def _split_lookup(
-        self, dataset: DataFrame, name: str, rates: DataFrame, hot_bytes: int
-    ) -> DataFrame:
-        """Lookup in a rate table too large to broadcast.
-
-        Null has its rate as a constant, hot values are broadcast with theirs. The others
-        are joined by a shuffle in which no key holds more than the hot share of the rows.
-        Rows that are done already go through the same shuffle under a hash of the whole row
-        and their input partition, which no rate has, so that they spread over all tasks.
+        # A few hundred to a few thousand rows a column.
+        most_first = Window.orderBy(F.desc("estimate"), "position", "value")
+        return found.withColumn("upto", F.sum(size).over(most_first)).where(
+            F.col("upto") <= self.HOT_BYTES
+        ).select("position", "value")
+
+    def _split_lookup(self, dataset: DataFrame, names: Sequence[str]) -> DataFrame:
+        """Lookup of several columns in rate tables too large to broadcast.
+
+        Rows are numbered and written. Of each row, one narrow row ``(row, column, value)``
+        per column looks for its rate: hot values find it in a broadcast table, null has a
+        constant, all others of all columns are joined by one shuffle in which no key holds
+        more than the hot share of the rows. The rates come back to their rows by one
+        aggregate on the row number, so the wide rows are shuffled once, however many
+        columns there are. Values that fit never saw come back with no rate.
         """
-        hot = self._hot_values(dataset, name, hot_bytes)
-        hot = hot.join(rates.select("value", "rate"), "value", "left").select(
-            "value", F.coalesce("rate", F.lit(0.0)).alias("rate")
+        row, rate = _free_name(dataset, "_row"), _free_name(dataset, "_rate")
+        numbered = materialize(
+            dataset.withColumn(row, F.monotonically_increasing_id()), "numbered-rows"
         )
-        cold = rates.where("value is not null").select(
-            F.concat(F.lit("v"), F.col("value")).alias("_key"), F.col("rate").alias("_cold")
+        places = F.create_map(
+            *[F.lit(x) for at, name in enumerate(names) for x in (name, at)]
         )
-        target = rate_column(name)
-        columns = [column for column in dataset.columns if column != target]
-        marked = _broadcast_lookup(dataset, name, hot, missing=None)
-        size = self.sizes.get(name, {"rows": 0})
-        of_null = size.get("nulls", 0) / size["rows"] if size["rows"] else 0.0
-        found = F.when(F.col(name).isNull(), F.lit(of_null)).otherwise(F.col(target))
-        marked = marked.withColumn(target, found)
-        atomic = [c for c, kind in dataset.dtypes if c != target and _is_atomic(kind)]
-        # Text, as a constant column beside the key would be taken out of the shuffle.
-        done = F.concat_ws("-", F.lit("d"), F.xxhash64(*atomic), F.spark_partition_id())
-        keyed = marked.select(
-            *columns,
-            target,
-            F.when(F.col(target).isNotNull(), done)
-            .otherwise(F.concat(F.lit("v"), F.col(name).cast("string")))
-            .alias("_key"),
+        rates = self.rates.where(F.col("column").isin(*names) & F.col("value").isNotNull()).select(
+            places[F.col("column")].alias("position"), "value", "rate"
         )
-        return keyed.join(cold, "_key", "left").select(
-            *columns, F.coalesce(target, "_cold", F.lit(0.0)).alias(target)
+        texts = F.array(*[text_value(numbered, name) for name in names])
+        asked = numbered.select(
+            F.col(row).alias("row"), F.posexplode(texts).alias("position", "value")
+        ).where(F.col("value").isNotNull())
+        hot = materialize(
+            self._hot_values(numbered, names)
+            .join(rates, ["position", "value"], "left")
+            .select("position", "value", F.coalesce("rate", F.lit(0.0)).alias("hot_rate")),
+            "hot-rates",
+        )
+        marked = asked.join(F.broadcast(hot), ["position", "value"], "left")
+        warm = marked.where("hot_rate is not null").select(
+            "row", "position", F.col("hot_rate").alias("rate")
+        )
+        cold = marked.where("hot_rate is null").join(rates, ["position", "value"])
+        found = (
+            warm.unionAll(cold.select("row", "position", "rate"))
+            .groupBy(F.col("row").alias(row))
+            .agg(
+                *[
+                    F.max(F.when(F.col("position") == at, F.col("rate"))).alias(f"{rate}{at}")
+                    for at in range(len(names))
+                ]
+            )
+        )
+        targets = {rate_column(name) for name in names}
+        kept = [name for name in dataset.columns if name not in targets]
+        return numbered.join(found, row, "left").select(
+            *[numbered[name] for name in kept],
+            *[
+                F.when(numbered[name].isNull(), F.lit(self._of_null(name)))
+                .otherwise(F.coalesce(f"{rate}{at}", F.lit(0.0)))
+                .alias(rate_column(name))
+                for at, name in enumerate(names)
+            ],
         )
 
     def write(self) -> MLWriter:
@@ -215,8 +235,11 @@ class FrequencyEncoderModel(Model, _EncoderParams, MLReadable, MLWritable):
         return _EncoderReader(cls)
 
 
-def _is_atomic(kind: str) -> bool:
-    return not kind.startswith(("map", "array", "struct", "vector", "variant", "udt"))
+def _free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column begins with it."""
+    while any(column.lower().startswith(name) for column in df.columns):
+        name = f"_{name}"
+    return name
 
 
 def _broadcast_lookup(

@@ -123,19 +123,25 @@ def top_categories(counts: DataFrame, n: int = 10) -> DataFrame:
     """
     if n < 1:
         raise ValueError("n must be at least 1")
-    def ranked(rows: DataFrame, *keys: str) -> DataFrame:
-        by_count = Window.partitionBy(*keys).orderBy(F.desc("count"), F.asc_nulls_last("value"))
-        return rows.withColumn("rank", F.row_number().over(by_count)).where(F.col("rank") <= n)
-
     # Ranked in parts of a column first, so that no task sorts all its values; the final
     # rank sees n values of each part. For small n, Spark cuts every task to n rows of a
     # part before the shuffle.
     part = F.pmod(F.xxhash64("value"), F.lit(TOP_PARTS)).cast("int")
-    best = ranked(counts.withColumn("part", part), "column", "part").drop("part", "rank")
-    top = ranked(best, "column")
-    top = top.withColumn("top_count", F.sum("count").over(Window.partitionBy("column")))
+    best = _ranked(counts.withColumn("part", part), n, "column", "part").drop("part", "rank")
     # One row per column.
     totals = counts.groupBy("column").agg(F.sum("count").alias("total"))
+    return _with_rest(_ranked(best, n, "column"), totals, n)
+
+
+def _ranked(counts: DataFrame, n: int, *keys: str) -> DataFrame:
+    """The ``n`` most frequent values of each key with their rank."""
+    by_count = Window.partitionBy(*keys).orderBy(F.desc("count"), F.asc_nulls_last("value"))
+    return counts.withColumn("rank", F.row_number().over(by_count)).where(F.col("rank") <= n)
+
+
+def _with_rest(top: DataFrame, totals: DataFrame, n: int) -> DataFrame:
+    """Ranked values and a row for the rest, by the ``total`` of each column."""
+    top = top.withColumn("top_count", F.sum("count").over(Window.partitionBy("column")))
     kept = F.struct("rank", "value", "count", F.lit(False).alias("is_other"))
     rest = F.struct(
         F.lit(n + 1).alias("rank"),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickmill.functions import rate_column
-from clickmill.operators import encode, evaluate, model, profile, split
+from clickmill.operators import encode, evaluate, frequent, model, profile, split
 from clickmill.plans import workflow
 from clickmill.plans.clicks_view import (
     KEYS,
@@ -154,6 +154,26 @@ def _(spark, sf_dir):
     return profile.top_categories(profile.category_counts(clicks(spark, sf_dir)), 10)
 
 
+@_query("top_categories_summaries", _top_sql(_COUNTS_SQL, 10))
+def _(spark, sf_dir):
+    """The same by frequent-items summaries, an exact recount and its proof."""
+    return frequent.frequent_categories(clicks(spark, sf_dir), CAT_COLS, 10)
+
+
+_EVENT_COLUMNS = ["user_id", "event_type"]
+_EVENT_COUNTS_SQL = _union_all(
+    f"select '{name}' as \"column\", {name}::varchar as value, count(*)::bigint as \"count\" "
+    f"from events group by {name}"
+    for name in _EVENT_COLUMNS
+)
+
+
+@_query("top_categories_summaries_events", _top_sql(_EVENT_COUNTS_SQL, 5), on_clicks=False)
+def _(spark, sf_dir):
+    """A column of few values, which the candidates cover, beside one of many."""
+    return frequent.frequent_categories(_table(spark, sf_dir, "events"), _EVENT_COLUMNS, 5)
+
+
 _ORDER_COUNTS_SQL = _union_all(
     f"select '{name}' as \"column\", {name}::varchar as value, count(*)::bigint as \"count\" "
     f"from orders group by {name}"

@@ -67,14 +67,52 @@ def test_rows_that_are_done_spread_over_the_shuffle(spark):
     assert joined.where("C1 = 'hot'").select("C1_rate").distinct().collect() == [(6000 / 9000,)]
 
 
-def test_hot_values_are_bounded_by_their_own_bytes(spark):
+def test_hot_values_are_bounded_by_their_own_bytes(spark, monkeypatch):
     rows = spark.range(1000).select((F.col("id") % 4).cast("string").alias("C1"))
     long = spark.createDataFrame([("x" * 100_000,)], "C1 string")
     model = encode.FrequencyEncoder(inputCols=["C1"], broadcastBytes=0, hotShare=0.1).fit(rows)
-    hot = model._hot_values(rows.union(long), "C1", 10_000).collect()
+    monkeypatch.setattr(encode.FrequencyEncoderModel, "HOT_BYTES", 10_000)
+    hot = model._hot_values(rows.union(long), ["C1"]).collect()
     assert sorted(row["value"] for row in hot) == ["0", "1", "2", "3"]
     # Entries of 97 bytes: only two of them fit.
-    assert model._hot_values(rows, "C1", 200).count() == 2
+    monkeypatch.setattr(encode.FrequencyEncoderModel, "HOT_BYTES", 200)
+    assert model._hot_values(rows, ["C1"]).count() == 2
+
+
+def test_wide_rows_are_shuffled_once_for_all_columns(spark):
+    names = [f"C{i}" for i in range(1, 7)]
+    rows = spark.range(3000).select(
+        "id",
+        F.lit(1).alias("_row"),
+        F.struct("id").alias("payload"),
+        *[
+            F.when(F.col("id") % (i + 2) > 0, F.xxhash64("id", F.lit(i)) % 50 * i).cast("string")
+            .alias(name)
+            for i, name in enumerate(names)
+        ],
+    )
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    whole = encode.FrequencyEncoder(inputCols=names).fit(rows)
+    want = sorted(map(tuple, whole.transform(rows).drop("payload").collect()))
+    for share in (0.0, 0.05, 2.0):
+        model = encode.FrequencyEncoder(inputCols=names, broadcastBytes=0, hotShare=share).fit(rows)
+        for key, setting in settings.items():
+            spark.conf.set(key, setting)
+        try:
+            encoded = model.transform(rows)
+            plan = encoded._jdf.queryExecution().executedPlan().toString()
+            got = sorted(map(tuple, encoded.drop("payload").collect()))
+        finally:
+            for key, setting in before.items():
+                spark.conf.set(key, setting)
+        assert encoded.columns == whole.transform(rows).columns
+        # Wide rows and their rates by row number, narrow rows and rates by value.
+        exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert len(exchanges) == 4
+        assert [r[:2] for r in got] == [r[:2] for r in want]
+        for a, b in zip(got, want, strict=True):
+            assert a == pytest.approx(b)
 
 
 def test_value_unseen_in_fit_on_most_rows_spreads_over_all_tasks(spark):
