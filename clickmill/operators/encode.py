@@ -21,12 +21,12 @@ from pyspark.ml.util import (
     MLWritable,
     MLWriter,
 )
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickmill.functions import rate_column, text_value, value_rate
-from clickmill.operators.frequent import frequent_share
+from clickmill.functions import rate_column, value_rate
+from clickmill.operators import lookup
 from clickmill.operators.profile import _groups, category_counts
 from clickmill.schema import ENCODED_CAT_COLS, INT_COLS, LABEL
 from clickmill.session import materialize
@@ -100,10 +100,9 @@ def _sizes(counts: DataFrame) -> dict[str, dict[str, int]]:
 class FrequencyEncoderModel(Model, _EncoderParams, MLReadable, MLWritable):
     """Adds ``<column>_rate`` for every input column; a value not seen in fit gets 0.0."""
 
-    # Hash-table entry of a broadcast row beside its text.
-    ENTRY_BYTES = 96
+    ENTRY_BYTES = lookup.ENTRY_BYTES
     # Most that the hot values of all columns may take on an executor.
-    HOT_BYTES = 64 * 1024 * 1024
+    HOT_BYTES = lookup.HOT_BYTES
 
     def __init__(self, counts: DataFrame | None = None, sizes: dict | None = None):
         super().__init__()
@@ -128,12 +127,8 @@ class FrequencyEncoderModel(Model, _EncoderParams, MLReadable, MLWritable):
 
         The smallest first, as long as all of them together stay below the limit.
         """
-        sent, chosen = 0, []
-        for name in sorted(self.getInputCols(), key=self._table_bytes):
-            sent += self._table_bytes(name)
-            if sent <= self.getOrDefault(self.broadcastBytes):
-                chosen.append(name)
-        return chosen
+        sizes = {name: self._table_bytes(name) for name in self.getInputCols()}
+        return lookup.fitting(sizes, self.getOrDefault(self.broadcastBytes))
 
     def _table_bytes(self, column: str) -> int:
         size = self.sizes.get(column, {"values": 0, "bytes": 0})
@@ -144,11 +139,23 @@ class FrequencyEncoderModel(Model, _EncoderParams, MLReadable, MLWritable):
         split = [name for name in self.getInputCols() if name not in whole]
         targets = [rate_column(name) for name in self.getInputCols()]
         columns = [name for name in dataset.columns if name not in targets]
+        unseen = F.lit(0.0)
         for name in whole:
             rates = self.rates.where(F.col("column") == name)
-            dataset = _broadcast_lookup(dataset, name, rates)
+            dataset = lookup.broadcast_lookup(
+                dataset, name, rates, "rate", rate_column(name), unseen
+            )
         if split:
-            dataset = self._split_lookup(dataset, split)
+            dataset = lookup.split_lookup(
+                dataset,
+                split,
+                self.rates,
+                "rate",
+                rate_column,
+                unseen,
+                {name: F.lit(self._of_null(name)) for name in split},
+                self._hot_values(dataset, split),
+            )
         return dataset.select(*[dataset[name] for name in columns], *targets)
 
     def _of_null(self, name: str) -> float:
@@ -156,76 +163,8 @@ class FrequencyEncoderModel(Model, _EncoderParams, MLReadable, MLWritable):
         return size.get("nulls", 0) / size["rows"] if size["rows"] else 0.0
 
     def _hot_values(self, dataset: DataFrame, names: Sequence[str]) -> DataFrame:
-        """``(position, value)`` of all columns that hold the hot share of ``dataset`` each.
-
-        They are found in the rows to be scored, so that a value that was rare or unseen in
-        fit is found too, by one summary per column of bounded size. The most frequent are
-        taken while their text fits into ``HOT_BYTES``.
-        """
-        found = frequent_share(dataset, names, self.getOrDefault(self.hotShare))
-        size = F.octet_length("value") + self.ENTRY_BYTES
-        # A few hundred to a few thousand rows a column.
-        most_first = Window.orderBy(F.desc("estimate"), "position", "value")
-        return found.withColumn("upto", F.sum(size).over(most_first)).where(
-            F.col("upto") <= self.HOT_BYTES
-        ).select("position", "value")
-
-    def _split_lookup(self, dataset: DataFrame, names: Sequence[str]) -> DataFrame:
-        """Lookup of several columns in rate tables too large to broadcast.
-
-        Rows are numbered and written. Of each row, one narrow row ``(row, column, value)``
-        per column looks for its rate: hot values find it in a broadcast table, null has a
-        constant, all others of all columns are joined by one shuffle in which no key holds
-        more than the hot share of the rows. The rates come back to their rows by one
-        aggregate on the row number, so the wide rows are shuffled once, however many
-        columns there are. Values that fit never saw come back with no rate.
-        """
-        row, rate = _free_name(dataset, "_row"), _free_name(dataset, "_rate")
-        numbered = materialize(
-            dataset.withColumn(row, F.monotonically_increasing_id()), "numbered-rows"
-        )
-        places = F.create_map(
-            *[F.lit(x) for at, name in enumerate(names) for x in (name, at)]
-        )
-        rates = self.rates.where(F.col("column").isin(*names) & F.col("value").isNotNull()).select(
-            places[F.col("column")].alias("position"), "value", "rate"
-        )
-        texts = F.array(*[text_value(numbered, name) for name in names])
-        asked = numbered.select(
-            F.col(row).alias("row"), F.posexplode(texts).alias("position", "value")
-        ).where(F.col("value").isNotNull())
-        hot = materialize(
-            self._hot_values(numbered, names)
-            .join(rates, ["position", "value"], "left")
-            .select("position", "value", F.coalesce("rate", F.lit(0.0)).alias("hot_rate")),
-            "hot-rates",
-        )
-        marked = asked.join(F.broadcast(hot), ["position", "value"], "left")
-        warm = marked.where("hot_rate is not null").select(
-            "row", "position", F.col("hot_rate").alias("rate")
-        )
-        cold = marked.where("hot_rate is null").join(rates, ["position", "value"])
-        found = (
-            warm.unionAll(cold.select("row", "position", "rate"))
-            .groupBy(F.col("row").alias(row))
-            .agg(
-                *[
-                    F.max(F.when(F.col("position") == at, F.col("rate"))).alias(f"{rate}{at}")
-                    for at in range(len(names))
-                ]
-            )
-        )
-        targets = {rate_column(name) for name in names}
-        kept = [name for name in dataset.columns if name not in targets]
-        return numbered.join(found, row, "left").select(
-            *[numbered[name] for name in kept],
-            *[
-                F.when(numbered[name].isNull(), F.lit(self._of_null(name)))
-                .otherwise(F.coalesce(f"{rate}{at}", F.lit(0.0)))
-                .alias(rate_column(name))
-                for at, name in enumerate(names)
-            ],
-        )
+        share = self.getOrDefault(self.hotShare)
+        return lookup.hot_values(dataset, names, share, self.HOT_BYTES, self.ENTRY_BYTES)
 
     def write(self) -> MLWriter:
         return _EncoderWriter(self)
@@ -235,26 +174,6 @@ class FrequencyEncoderModel(Model, _EncoderParams, MLReadable, MLWritable):
         return _EncoderReader(cls)
 
 
-def _free_name(df: DataFrame, name: str) -> str:
-    """``name``, made longer until no column begins with it."""
-    while any(column.lower().startswith(name) for column in df.columns):
-        name = f"_{name}"
-    return name
-
-
-def _broadcast_lookup(
-    dataset: DataFrame, name: str, rates: DataFrame, missing: float | None = 0.0
-) -> DataFrame:
-    target = rate_column(name)
-    table = F.broadcast(rates.select(F.col("value").alias("_value"), F.col("rate").alias("_rate")))
-    found = F.col("_rate") if missing is None else F.coalesce("_rate", F.lit(missing))
-    columns = [column for column in dataset.columns if column != target]
-    matches = dataset[name].cast("string").eqNullSafe(table["_value"])
-    return dataset.join(table, matches, "left").select(
-        *[dataset[column] for column in columns], found.alias(target)
-    )
-
-
 class _EncoderWriter(MLWriter):
     def __init__(self, model: FrequencyEncoderModel):
         super().__init__()

@@ -160,6 +160,119 @@ def roc_auc(
     return _area(_cumulated(points, scores_per_task))
 
 
+def _placements(cumulated: DataFrame) -> DataFrame:
+    """``(threshold, pos, neg, of_pos, of_neg)``: where a row of each class stands.
+
+    The share of negatives that a positive row of this score beats, and the share of
+    positives that beat a negative one; ties count half.
+    """
+    beaten = F.col("negatives") - F.col("fp") + F.col("neg") / 2
+    beating = F.col("tp") - F.col("pos") / 2
+    return cumulated.select(
+        "threshold",
+        "pos",
+        "neg",
+        F.try_divide(beaten, "negatives").alias("of_pos"),
+        F.try_divide(beating, "positives").alias("of_neg"),
+    )
+
+
+def _spread(weight: str, a: str, b: str) -> Column:
+    """Sample covariance of two columns whose rows count ``weight`` times, over the weight."""
+    n = F.sum(weight)
+    joint = F.sum(F.col(weight) * F.col(a) * F.col(b))
+    means = F.sum(F.col(weight) * F.col(a)) * F.sum(F.col(weight) * F.col(b))
+    return F.try_divide(F.try_divide(joint - F.try_divide(means, n), n - 1), n)
+
+
+def _mean_place(weight: str, place: str) -> Column:
+    return F.try_divide(F.sum(F.col(weight) * F.col(place)), F.sum(weight))
+
+
+def auc_uncertainty(
+    df: DataFrame,
+    score: str = "score",
+    label: str = LABEL,
+    positive_label: float = 1.0,
+    z: float = 1.959964,
+    scores_per_task: int = SCORES_PER_TASK,
+) -> DataFrame:
+    """One row ``(auc, variance, lower, upper)``: the area and how sure it is.
+
+    The variance is that of the mean over positive rows of the share of negatives that they
+    beat, plus that over negatives (DeLong's), from sums over distinct scores: no pair of
+    rows is formed. Null where a class has fewer than two rows.
+    """
+    points = materialize(score_counts(df, score, label, positive_label), "score-counts")
+    places = _placements(_cumulated(points, scores_per_task))
+    row = places.agg(
+        _mean_place("pos", "of_pos").alias("auc"),
+        (_spread("pos", "of_pos", "of_pos") + _spread("neg", "of_neg", "of_neg")).alias("variance"),
+    )
+    reach = F.sqrt(F.greatest("variance", F.lit(0.0))) * z
+    return row.select(
+        "auc",
+        "variance",
+        F.greatest(F.col("auc") - reach, F.lit(0.0)).alias("lower"),
+        F.least(F.col("auc") + reach, F.lit(1.0)).alias("upper"),
+    )
+
+
+def compare_auc(
+    df: DataFrame,
+    score_a: str,
+    score_b: str,
+    label: str = LABEL,
+    positive_label: float = 1.0,
+    scores_per_task: int = SCORES_PER_TASK,
+) -> DataFrame:
+    """One row ``(auc_a, auc_b, difference, variance, z)`` of two models on the same rows.
+
+    The variance of the difference counts in that both models saw the same rows. Rows are
+    counted per pair of scores first; each side then gets the places of its distinct scores.
+    """
+    rows = df.select(
+        _required(score_a).alias("a"), _required(score_b).alias("b"), _required(label).alias("_l")
+    )
+    both = materialize(
+        rows.groupBy("a", "b").agg(
+            _positives(F.col("_l"), positive_label), _negatives(F.col("_l"), positive_label)
+        ),
+        "score-pairs",
+    )
+    placed = both
+    for side in ("a", "b"):
+        points = both.groupBy(F.col(side).alias("threshold")).agg(
+            F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
+        )
+        points = materialize(points, "score-counts")
+        places = _placements(_cumulated(points, scores_per_task)).select(
+            F.col("threshold").alias(side),
+            F.col("of_pos").alias(f"{side}_pos"),
+            F.col("of_neg").alias(f"{side}_neg"),
+        )
+        placed = placed.join(places, side)
+    gained = placed.withColumns(
+        {
+            "d_pos": F.col("a_pos") - F.col("b_pos"),
+            "d_neg": F.col("a_neg") - F.col("b_neg"),
+        }
+    )
+    row = gained.agg(
+        _mean_place("pos", "a_pos").alias("auc_a"),
+        _mean_place("pos", "b_pos").alias("auc_b"),
+        (_spread("pos", "d_pos", "d_pos") + _spread("neg", "d_neg", "d_neg")).alias("variance"),
+    )
+    difference = F.col("auc_a") - F.col("auc_b")
+    return row.select(
+        "auc_a",
+        "auc_b",
+        difference.alias("difference"),
+        "variance",
+        F.try_divide(difference, F.sqrt(F.greatest("variance", F.lit(0.0)))).alias("z"),
+    )
+
+
 def hard_auc(
     df: DataFrame,
     prediction: str = "prediction",

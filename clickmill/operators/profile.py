@@ -66,13 +66,13 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def _stacked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows ``(position, value)`` with the values as text.
+def _stacked(df: DataFrame, columns: Sequence[str], *keep: str) -> DataFrame:
+    """Rows ``(position, value)`` with the values as text, behind the columns to ``keep``.
 
     Columns go by their number, which is shorter in every row and key than their name.
     """
     texts = F.array(*[text_value(df, name) for name in columns])
-    return df.select(F.posexplode(texts).alias("position", "value"))
+    return df.select(*keep, F.posexplode(texts).alias("position", "value"))
 
 
 def _name_at(columns: Sequence[str]) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,13 @@ from clickmill.sources.clicks import write_lines
 TRAIN_TEST_WEIGHTS = {"train": 0.2083333, "test": 0.7916667}
 TRAIN_PART_WEIGHTS = {"train_5m": 0.5, "validation_2m": 0.2, "test_3m": 0.3}
 
+# Rows of the three parts that the training log is cut into.
+NOMINAL_SIZES = {"train_5m": 5_000_000, "validation_2m": 2_000_000, "test_3m": 3_000_000}
+
+# Bits of the hash that orders rows, and of one refinement of its histogram.
+ORDER_BITS = 60
+STEP_BITS = 12
+
 # Both levels at once, as shares of the source log.
 ALL_WEIGHTS = {
     **{name: TRAIN_TEST_WEIGHTS["train"] * w for name, w in TRAIN_PART_WEIGHTS.items()},
@@ -92,6 +99,109 @@ def hash_split(
     return df.withColumn(column, pick_by_weight(md5_uniform(text), weights))
 
 
+def order_hash(key: Column) -> Column:
+    """Number of 60 bits that depends on the text of ``key`` alone."""
+    return F.conv(F.substring(F.md5(key), 1, ORDER_BITS // 4), 16, 10).cast("bigint")
+
+
+def rank_thresholds(
+    numbers: DataFrame, column: str, ranks: Iterable[int], bits: int = ORDER_BITS
+) -> dict[int, tuple[int, int]]:
+    """Per rank r a pair (t, e): r - e rows have a number below t, and e of those equal to t
+    make up the rest.
+
+    Order statistics without sorting: rows are counted by the highest bits of their number,
+    and only the buckets in which ranks end are counted again by the next bits, until a rank
+    ends between buckets or no bits are left. A round reads one column, reduces it within
+    every task and sends at most 4096 counts a rank to the driver.
+    """
+    open_ranks = {rank: (0, rank) for rank in ranks}
+    found: dict[int, tuple[int, int]] = {}
+    shift = bits
+    while open_ranks and shift > 0:
+        # Ranks of one bucket share its counts.
+        inside = F.shiftright(F.col(column), shift).isin(
+            *{prefix for prefix, _ in open_ranks.values()}
+        )
+        before, shift = shift, max(shift - STEP_BITS, 0)
+        counts = dict(
+            numbers.where(inside)
+            .groupBy(F.shiftright(F.col(column), shift).alias("bucket"))
+            .agg(F.count(F.lit(1)))
+            .collect()
+        )
+        for rank, (prefix, left) in list(open_ranks.items()):
+            own = sorted(b for b in counts if b >> (before - shift) == prefix)
+            for bucket in own:
+                if left < counts[bucket]:
+                    break
+                left -= counts[bucket]
+            else:
+                # All rows of the bucket lie below the rank.
+                found[rank] = ((prefix + 1) << before, left)
+                del open_ranks[rank]
+                continue
+            if left == 0 or shift == 0:
+                found[rank] = (bucket << shift, left)
+                del open_ranks[rank]
+            else:
+                open_ranks[rank] = (bucket, left)
+    return found
+
+
+def exact_split(
+    df: DataFrame,
+    sizes: Mapping[str, int] = NOMINAL_SIZES,
+    key: Column | None = None,
+    salt: str = "",
+    column: str = "split",
+    rest: str | None = "test",
+) -> DataFrame:
+    """Add the name of each row's part, with exactly the asked number of rows in each.
+
+    Rows are taken in the order of a 60-bit hash of their key: the first ``sizes`` rows for
+    the first part and so on, all others for ``rest``. Nothing is sorted: the hashes at which
+    parts end are found by refined histograms, then each row compares its own. The same rows
+    get the same part on any cluster. Rows of equal key, copies if the key is the whole row,
+    are cut by their number in a written table where a part ends among them. More rows asked
+    for than there are fail.
+    """
+    if any(size < 0 for size in sizes.values()):
+        raise ValueError("sizes must not be negative")
+    text = key if key is not None else row_key(df)
+    if salt:
+        text = F.concat(text, F.lit(salt))
+    order, number = "_order", "_number"
+    marked = df.withColumn(order, order_hash(text))
+    hashes = materialize(marked.select(order), "row-order")
+    ends, total = [], 0
+    for size in sizes.values():
+        total += size
+        ends.append(total)
+    rows = hashes.count()
+    if total > rows:
+        raise ValueError(f"{total} rows asked for, {rows} there are")
+    thresholds = rank_thresholds(hashes, order, set(ends))
+    below = {end: F.col(order) < F.lit(at) for end, (at, _) in thresholds.items()}
+    cut = {end: (at, left) for end, (at, left) in thresholds.items() if left}
+    if cut:
+        # Only where a part ends among rows of one hash, rows need numbers that stay.
+        marked = materialize(
+            marked.withColumn(number, F.monotonically_increasing_id()), "numbered-rows"
+        )
+        for at in {at for at, _ in cut.values()}:
+            same = marked.where(F.col(order) == F.lit(at)).select(number)
+            own = {end: left for end, (t, left) in cut.items() if t == at}
+            numbers = rank_thresholds(same, number, set(own.values()), 63)
+            for end, left in own.items():
+                among = (F.col(order) == F.lit(at)) & (F.col(number) < F.lit(numbers[left][0]))
+                below[end] = below[end] | among
+    picked = F.lit(rest)
+    for name, end in reversed(list(zip(sizes, ends, strict=True))):
+        picked = F.when(below[end], name).otherwise(picked)
+    return marked.withColumn(column, picked).drop(order, number)
+
+
 def write_splits(
     lines: DataFrame,
     path: str,

@@ -14,7 +14,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickmill.functions import rate_column
-from clickmill.operators import encode, evaluate, frequent, model, profile, split
+from clickmill.operators import (
+    crossval,
+    encode,
+    evaluate,
+    frequent,
+    model,
+    profile,
+    split,
+    states,
+)
 from clickmill.plans import workflow
 from clickmill.plans.clicks_view import (
     KEYS,
@@ -27,6 +36,7 @@ from clickmill.plans.clicks_view import (
 from clickmill.schema import CAT_COLS, ENCODED_CAT_COLS, INT_COLS, LABEL
 from clickmill.session import materialize, shared_folder
 from clickmill.sources import (
+    ingest_log,
     parse_lines,
     read_clicks,
     read_lines,
@@ -263,6 +273,61 @@ def _(spark, sf_dir):
     return profile.numeric_means(clicks(spark, sf_dir), rounded=True)
 
 
+def _stored_profile(
+    spark: SparkSession, sf_dir: str, int_columns: list[str], cat_columns: list[str]
+) -> states.ProfileStore:
+    """Profile of the log put together from the states of three parts, one added twice."""
+    store = states.ProfileStore(spark, _scratch(spark, "profile"))
+    rows = clicks_with_keys(spark, sf_dir)
+    for part in [0, 1, 2, 1]:
+        own = rows.where(F.col("l_linenumber") % 3 == part)
+        store.add(f"line{part}", own, int_columns, cat_columns)
+    return store
+
+
+_SKETCHED = ["C3", "C9", "C17", "C20"]
+
+
+@_query(
+    "profile_states_stats", _union_all(f"{_moments(name, name)} from clicks" for name in INT_COLS)
+)
+def _(spark, sf_dir):
+    """Moments of the whole log from those of its parts."""
+    return _rounded_moments(_stored_profile(spark, sf_dir, INT_COLS, []).numeric_stats())
+
+
+@_query(
+    "profile_states_counts",
+    _union_all(
+        f"select '{name}' as \"column\", {name} as value, count(*)::bigint as \"count\" "
+        f"from clicks group by {name}"
+        for name in _SKETCHED
+    ),
+)
+def _(spark, sf_dir):
+    """Category counts of the whole log from those of its parts."""
+    return _stored_profile(spark, sf_dir, [], _SKETCHED).category_counts()
+
+
+@_query(
+    "profile_states_distinct",
+    _union_all(
+        f"select '{name}' as \"column\", (count(distinct {name}) + "
+        f"coalesce(max(case when {name} is null then 1 else 0 end), 0))::bigint as n_distinct, "
+        "true as near from clicks"
+        for name in _SKETCHED
+    ),
+)
+def _(spark, sf_dir):
+    """Exact distinct counts, and whether the united sketches come within 3 % of them."""
+    store = _stored_profile(spark, sf_dir, [], _SKETCHED)
+    exact = profile.distinct_counts(clicks(spark, sf_dir), _SKETCHED)
+    error = F.abs(F.col("estimate") - F.col("n_distinct"))
+    return exact.join(store.distinct_estimates(), "column").select(
+        "column", "n_distinct", (error <= F.lit(0.03) * F.col("n_distinct")).alias("near")
+    )
+
+
 def _histogram_sql(column: str, table: str, bins: int = 10, rounded: bool = True) -> str:
     lower = f"lo + k * ((hi - lo)::double / {bins})"
     upper = (
@@ -400,6 +465,41 @@ def _(spark, sf_dir):
     return validate_log(rows.select(cut.alias("value")))
 
 
+def _spoiled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the log, of which some are cut and some have a letter for a number."""
+    names = [LABEL, *INT_COLS, *CAT_COLS]
+    rows = clicks_with_keys(spark, sf_dir)
+    texts = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in names]
+    spoiled = F.when(F.col("l_linenumber") == 2, F.lit("x")).otherwise(texts[4])
+    line = F.concat_ws("\t", *texts[:4], spoiled, *texts[5:])
+    cut = F.when(F.col("l_linenumber") == 1, F.substring_index(line, "\t", 5)).otherwise(line)
+    return rows.select(cut.alias("value"))
+
+
+@_query("ingest_rows", f"{_ALL_SQL} where l_linenumber > 2")
+def _(spark, sf_dir):
+    """Rows of a log with broken lines, which do not fail the job."""
+    return ingest_log(_spoiled_lines(spark, sf_dir), _scratch(spark, "ingested")).rows
+
+
+@_query(
+    "ingest_rejects",
+    """select case l_linenumber when 1 then 'expected 40 fields, found 5' else 'malformed I4: x' end
+        as reason, count(*)::bigint as n_rows,
+      (select count(*) from clicks)::bigint as n_lines,
+      (select count(*) from clicks where l_linenumber < 3)::bigint as n_rejects
+    from clicks where l_linenumber < 3 group by l_linenumber""",
+)
+def _(spark, sf_dir):
+    """Reasons of the rejected lines beside the counts that the writing job observed."""
+    found = ingest_log(_spoiled_lines(spark, sf_dir), _scratch(spark, "ingested"))
+    return found.rejects.groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.lit(found.n_lines).cast("long").alias("n_lines"),
+        F.lit(found.n_rejects).cast("long").alias("n_rejects"),
+    )
+
+
 # --- splits ---------------------------------------------------------------------------
 
 _KEY_SQL = "select l_orderkey, l_linenumber, l_partkey"
@@ -499,6 +599,55 @@ _ROW_LINE_SQL = (
 )
 
 
+def _exact_sql(sizes: str) -> str:
+    """Rows in the order of their hash, the first of them for the first part and so on."""
+    hashed = (
+        "cast('0x' || substr(md5(concat(l_orderkey, '-', l_linenumber, '-', l_partkey, '-exact')), "
+        "1, 15) as bigint)"
+    )
+    return f"""with placed as (select l_orderkey, l_linenumber, l_partkey,
+        row_number() over (order by {hashed}) as place from lineitem)
+    select l_orderkey, l_linenumber, l_partkey, case {sizes} else 'test' end as split
+    from placed"""
+
+
+def _exact(spark: SparkSession, sf_dir: str, sizes: dict[str, int]) -> DataFrame:
+    rows = _table(spark, sf_dir, "lineitem").select(*KEYS)
+    return split.exact_split(rows, sizes, key=_key(), salt="-exact")
+
+
+@_query(
+    "split_exact",
+    _exact_sql(
+        "when place <= 5000 then 'train' when place <= 5777 then 'validation' "
+        "when place <= 5778 then 'one'"
+    ),
+    on_clicks=False,
+)
+def _(spark, sf_dir):
+    """Parts of exactly the asked numbers of rows, and all others."""
+    return _exact(spark, sf_dir, {"train": 5000, "validation": 777, "one": 1})
+
+
+@_query(
+    "split_exact_shares",
+    _exact_sql(
+        "when place <= (select count(*) from lineitem) * 10 // 96 then 'train_5m' "
+        "when place <= (select count(*) from lineitem) * 14 // 96 then 'validation_2m' "
+        "when place <= (select count(*) from lineitem) * 20 // 96 then 'test_3m'"
+    ),
+    on_clicks=False,
+)
+def _(spark, sf_dir):
+    """The nominal parts of 5, 2 and 3 of 48 million rows, scaled to this log."""
+    rows = _table(spark, sf_dir, "lineitem").count()
+    ends = {"train_5m": rows * 10 // 96, "validation_2m": rows * 14 // 96, "test_3m": rows * 20 // 96}
+    last, sizes = 0, {}
+    for name, end in ends.items():
+        sizes[name], last = end - last, end
+    return _exact(spark, sf_dir, sizes)
+
+
 def _row_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of the table, with all its columns, as a line."""
     return to_lines(read_spread(spark, f"{sf_dir}/lineitem.parquet", *KEYS))
@@ -746,6 +895,182 @@ def _(spark, sf_dir):
     return model.index_labels(rows).transform(rows)
 
 
+# --- cross-validation -----------------------------------------------------------------
+
+# One yes/no feature: models then answer with the click rates of its two values.
+_BINARY = "case when I2 >= 25 then 1.0 else 0.0 end"
+_FOLDS = 5
+_CV_COLUMNS = ["C9", "C17", "C20"]
+_FOLD_SQL = f"cast(floor(({uniform_sql('duckdb', '-fold')}) * {_FOLDS}) as int)"
+
+
+def _fold_key():
+    return F.concat(_key(), F.lit("-fold"))
+
+
+def _folded(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    rows = clicks_with_keys(spark, sf_dir).select(*KEYS, *columns)
+    return materialize(crossval.with_folds(rows, _FOLDS, _fold_key()), "folds")
+
+
+def _cv_rates_sql(columns: list[str]) -> str:
+    return "with folded as (select *, " + _FOLD_SQL + " as fold from clicks) " + _union_all(
+        f"""select '{name}' as "column", value, f.fold::int as fold,
+          round((select count(*) from folded where fold <> f.fold
+            and {name} is not distinct from value)::double
+            / (select count(*) from folded where fold <> f.fold), 12) as rate
+        from (select distinct {name} as value from folded), range({_FOLDS}) f(fold)"""
+        for name in columns
+    )
+
+
+@_query("cv_fold_rates", _cv_rates_sql(["C17", "C20"]))
+def _(spark, sf_dir):
+    """Rates of every value in all folds but each one, from one pass."""
+    rows = _folded(spark, sf_dir, "C17", "C20")
+    counts = materialize(crossval.fold_counts(rows, ["C17", "C20"], _FOLDS), "fold-counts")
+    rates = crossval.held_out_rates(counts, crossval.fold_sizes(rows, _FOLDS))
+    return rates.select("column", "value", F.posexplode("rates").alias("fold", "rate")).withColumn(
+        "rate", F.round("rate", 12)
+    )
+
+
+@_query(
+    "cv_fold_numbers",
+    f"with folded as (select *, {_FOLD_SQL} as fold from clicks) "
+    + _union_all(
+        f"""select '{name}' as "column", f.fold::int as fold, round(avg({name}::double), 9) as mean,
+          min({name})::double as low, max({name})::double as high
+        from folded, range({_FOLDS}) f(fold) where folded.fold <> f.fold group by f.fold"""
+        for name in INT_COLS
+    ),
+)
+def _(spark, sf_dir):
+    """Means and bounds of every integer column without each fold."""
+    found = crossval.number_stats(_folded(spark, sf_dir, *INT_COLS), INT_COLS, _FOLDS)
+    rows = [
+        (name, fold, stats.means[fold], float(stats.lows[fold]), float(stats.highs[fold]))
+        for name, stats in found.items()
+        for fold in range(_FOLDS)
+    ]
+    schema = "`column` string, fold int, mean double, low double, high double"
+    return spark.createDataFrame(rows, schema).withColumn("mean", F.round("mean", 9))
+
+
+def _cv_joins() -> str:
+    return " ".join(
+        f"left join others o{n} on o{n}.\"column\" = '{name}' and o{n}.fold = folded.fold "
+        f"and o{n}.value is not distinct from folded.{name}"
+        for n, name in enumerate(_CV_COLUMNS)
+    )
+
+
+_CV_OTHERS_SQL = f"""with folded as (select *, {_FOLD_SQL} as fold from clicks),
+    sizes as (select fold, count(*) as n from folded group by fold),
+    counts as ({_union_all(
+        f"select '{name}' as \"column\", {name} as value, fold, count(*) as n from folded "
+        f"group by {name}, fold"
+        for name in _CV_COLUMNS
+    )}),
+    totals as (select "column", value, sum(n) as n from counts group by all),
+    others as (select totals."column", totals.value, sizes.fold,
+      (totals.n - coalesce(counts.n, 0))::double
+        / ((select sum(n) from sizes) - sizes.n) as rate
+      from totals cross join sizes left join counts on counts."column" = totals."column"
+        and counts.value is not distinct from totals.value and counts.fold = sizes.fold)"""
+
+
+@_query(
+    "cv_encode",
+    f"""{_CV_OTHERS_SQL}
+    {_KEY_SQL}, folded.fold, {", ".join(
+        f"round(o{n}.rate, 12) as {name}_rate" for n, name in enumerate(_CV_COLUMNS)
+    )} from folded {_cv_joins()}""",
+)
+def _(spark, sf_dir):
+    """Every row with the rates that the other folds give its values."""
+    return _cv_encoded(spark, sf_dir)
+
+
+def _cv_encoded(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    rows = _folded(spark, sf_dir, LABEL, *_CV_COLUMNS)
+    encoding = crossval.fit_folds(rows, _FOLDS, [], _CV_COLUMNS)
+    encoded = encoding.encode(rows, **options)
+    return encoded.select(
+        *KEYS,
+        "fold",
+        *[
+            F.round(F.element_at(crossval.rates_column(name), F.col("fold") + 1), 12).alias(
+                rate_column(name)
+            )
+            for name in _CV_COLUMNS
+        ],
+    )
+
+
+@_query("cv_encode_large", _SQL["cv_encode"], on_clicks=False)
+def _(spark, sf_dir):
+    """The same with tables beyond the broadcast limit."""
+    return _cv_encoded(spark, sf_dir, broadcast_bytes=0)
+
+
+@_query(
+    "cv_fold_areas",
+    f"""{_CV_OTHERS_SQL},
+    scored as (select folded.fold, folded.label, round(o0.rate, 12) as score from folded
+      left join others o0 on o0."column" = 'C9' and o0.fold = folded.fold
+        and o0.value is not distinct from folded.C9),
+    points as (select fold, score, count(*) as n,
+      sum(case when label = 1 then 1 else 0 end) as pos,
+      sum(case when label <> 1 then 1 else 0 end) as neg from scored group by fold, score),
+    summed as (select fold, n, pos, neg,
+      sum(pos) over (partition by fold order by score desc) - pos as pos_above from points)
+    select fold, sum(n)::bigint as "rows", round(sum(neg * (pos_above + pos / 2.0::double))
+      / (sum(pos)::double * sum(neg)), 9) as auc from summed group by fold""",
+)
+def _(spark, sf_dir):
+    """Area of every fold, scored by the rate that the other folds give its C9."""
+    rows = _folded(spark, sf_dir, LABEL, "C9")
+    encoded = crossval.fit_folds(rows, _FOLDS, [], ["C9"]).encode(rows)
+    rate = F.element_at(crossval.rates_column("C9"), F.col("fold") + 1)
+    scored = materialize(encoded.select(LABEL, "fold", F.round(rate, 12).alias("score")), "scored")
+    areas = crossval.fold_areas(scored, _FOLDS)
+    return areas.select("fold", F.col("rows").cast("long").alias("rows"),
+                        F.round("auc", 9).alias("auc"))
+
+
+@_query(
+    "cv_logistic_rates",
+    f"""with folded as (select label, ({_BINARY})::double as value, {_FOLD_SQL} as fold from clicks)
+    select f.fold::int as fold, value, round(avg(label), 4) as score
+    from folded, range({_FOLDS}) f(fold) where folded.fold <> f.fold group by f.fold, value""",
+)
+def _(spark, sf_dir):
+    """Logistic regression per fold on one yes/no feature: click rates of the other folds."""
+    rows = clicks_with_keys(spark, sf_dir).select(
+        *KEYS, LABEL, F.expr(_BINARY).cast("int").alias("value")
+    )
+    scored = crossval.cross_validate(
+        rows,
+        _FOLDS,
+        lambda features: model.train_lr(features, max_iter=100, reg_param=0.0),
+        ["value"],
+        [],
+        key=_fold_key(),
+    )
+    return scored.groupBy("fold", F.col("value").cast("double").alias("value")).agg(
+        F.round(F.max("score"), 4).alias("score")
+    )
+
+
+@_query("cv_areas")
+def _(spark, sf_dir):
+    """Areas per fold of the logistic regression on all features, with its real parameters."""
+    rows = clicks_with_keys(spark, sf_dir).select(*KEYS, LABEL, *INT_COLS, *ENCODED_CAT_COLS)
+    scored = materialize(crossval.cross_validate(rows, _FOLDS, key=_fold_key()), "scored")
+    return crossval.fold_areas(scored, _FOLDS)
+
+
 # --- evaluation -----------------------------------------------------------------------
 
 
@@ -828,6 +1153,58 @@ def _(spark, sf_dir):
     return area.select(F.round("auc", 9).alias("auc"))
 
 
+def _placed_sql(score: str, name: str) -> str:
+    """Per distinct score the mean result of its rows against all rows of the other class."""
+    return f"""{name}_points as (select {score} as s,
+        sum(case when label = 1 then 1 else 0 end) as pos,
+        sum(case when label <> 1 then 1 else 0 end) as neg from clicks group by 1),
+    {name} as (select x.s,
+        sum(case when y.s < x.s then y.neg when y.s = x.s then y.neg / 2.0::double else 0 end)
+          / (select sum(neg) from {name}_points) as of_pos,
+        sum(case when y.s > x.s then y.pos when y.s = x.s then y.pos / 2.0::double else 0 end)
+          / (select sum(pos) from {name}_points) as of_neg
+      from {name}_points x cross join {name}_points y group by x.s)"""
+
+
+@_query(
+    "roc_auc_variance",
+    f"""with {_placed_sql("I2", "a")},
+    placed as (select label, of_pos, of_neg from clicks join a on clicks.I2 = a.s)
+    select round((avg(of_pos) filter (label = 1)), 9) as auc,
+      round(1e6::double * ((var_samp(of_pos) filter (label = 1)) / (count(*) filter (label = 1))
+        + (var_samp(of_neg) filter (label <> 1)) / (count(*) filter (label <> 1))), 6) as variance
+    from placed""",
+)
+def _(spark, sf_dir):
+    """Area of I2 as a score and a million times its variance."""
+    rows = clicks(spark, sf_dir).select(F.col("I2").alias("score"), LABEL)
+    return evaluate.auc_uncertainty(rows).select(
+        F.round("auc", 9).alias("auc"), F.round(F.col("variance") * 1e6, 6).alias("variance")
+    )
+
+
+@_query(
+    "roc_auc_difference",
+    f"""with {_placed_sql("I2", "a")}, {_placed_sql("I8", "b")},
+    placed as (select label, a.of_pos as a_pos, b.of_pos as b_pos, a.of_pos - b.of_pos as d_pos,
+        a.of_neg - b.of_neg as d_neg
+      from clicks join a on clicks.I2 = a.s join b on clicks.I8 = b.s)
+    select round(avg(a_pos) filter (label = 1), 9) as auc_a,
+      round(avg(b_pos) filter (label = 1), 9) as auc_b,
+      round(avg(d_pos) filter (label = 1), 9) as difference,
+      round(1e6::double * ((var_samp(d_pos) filter (label = 1)) / (count(*) filter (label = 1))
+        + (var_samp(d_neg) filter (label <> 1)) / (count(*) filter (label <> 1))), 6) as variance
+    from placed""",
+)
+def _(spark, sf_dir):
+    """Areas of I2 and I8 on the same rows, their difference and its variance."""
+    found = evaluate.compare_auc(clicks(spark, sf_dir), "I2", "I8")
+    return found.select(
+        *[F.round(name, 9).alias(name) for name in ("auc_a", "auc_b", "difference")],
+        F.round(F.col("variance") * 1e6, 6).alias("variance"),
+    )
+
+
 _QUALITY_SQL = (
     "(select n_chars as score, quality as label from documents join labels using (doc_id))"
 )
@@ -925,10 +1302,6 @@ def _(spark, sf_dir):
 
 # --- models and evaluation that SQL can follow ----------------------------------------
 
-# One yes/no feature: both models then answer with the click rates of its two values.
-_BINARY = "case when I2 >= 25 then 1.0 else 0.0 end"
-
-
 def _binary_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     feature = F.expr(_BINARY).cast("double")
     return clicks(spark, sf_dir).select(

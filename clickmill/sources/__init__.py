@@ -1,5 +1,8 @@
 from clickmill.sources.catalog import TEXT_SPLITS, dataset_paths, read_dataset
 from clickmill.sources.clicks import (
+    Ingested,
+    ingest_log,
+    mark_rejects,
     parse_lines,
     read_clicks,
     read_lines,
@@ -10,8 +13,11 @@ from clickmill.sources.clicks import (
 )
 
 __all__ = [
+    "Ingested",
     "TEXT_SPLITS",
     "dataset_paths",
+    "ingest_log",
+    "mark_rejects",
     "parse_lines",
     "read_clicks",
     "read_dataset",

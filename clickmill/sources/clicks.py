@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,6 +98,81 @@ def validate_log(
     )
 
 
+@dataclass
+class Ingested:
+    """Rows and rejected lines of a log, both written, and how many of each there were."""
+
+    rows: DataFrame
+    rejects: DataFrame
+    n_lines: int
+    n_rejects: int
+
+
+def mark_rejects(
+    lines: DataFrame, schema: T.StructType = CLICK_SCHEMA, column: str = "value"
+) -> DataFrame:
+    """Typed rows with ``line`` and ``reason``, which are null for lines that can be read.
+
+    A rejected line keeps its text and says why: its number of fields, or the first field
+    that is to be a number and is none.
+    """
+    width = len(schema)
+    fields = F.transform(
+        F.split(F.col(column), SEPARATOR, -1), lambda text: F.nullif(text, F.lit(""))
+    )
+    parsed = lines.select(F.col(column).alias("line"), fields.alias("fields"))
+
+    def text(position: int) -> Column:
+        return F.get("fields", F.lit(position))
+
+    wrong = F.concat(F.lit(f"expected {width} fields, found "), F.size("fields").cast("string"))
+    reasons = [F.when(F.size("fields") != width, wrong)]
+    for position, field in enumerate(schema):
+        if not isinstance(field.dataType, T.StringType):
+            unread = text(position).isNotNull() & text(position).try_cast(field.dataType).isNull()
+            message = F.concat(F.lit(f"malformed {field.name}: "), text(position))
+            reasons.append(F.when(unread, message))
+    marked = parsed.select("line", "fields", F.coalesce(*reasons).alias("reason"))
+    rejected = F.col("reason").isNotNull()
+    return marked.select(
+        *[
+            F.when(~rejected, text(position).try_cast(field.dataType)).alias(field.name)
+            for position, field in enumerate(schema)
+        ],
+        F.when(rejected, F.col("line")).alias("line"),
+        "reason",
+    )
+
+
+def ingest_log(
+    lines: DataFrame,
+    path: str,
+    schema: T.StructType = CLICK_SCHEMA,
+    column: str = "value",
+    mode: str = "errorifexists",
+) -> Ingested:
+    """Parse a log once into a table of rows and a table of rejected lines below ``path``.
+
+    One job reads, parses, writes both and counts: no line fails it, and none is read twice.
+    """
+    counts = Observation()
+    marked = mark_rejects(lines, schema, column).observe(
+        counts,
+        F.count(F.lit(1)).alias("n_lines"),
+        F.count_if(F.col("reason").isNotNull()).alias("n_rejects"),
+    )
+    kind = F.when(F.col("reason").isNull(), "rows").otherwise("rejects")
+    marked.withColumn("kind", kind).write.mode(mode).partitionBy("kind").parquet(path)
+    found = counts.get
+    written = lines.sparkSession.read.schema(marked.withColumn("kind", kind).schema).parquet(path)
+    return Ingested(
+        written.where("kind = 'rows'").select(*schema.names),
+        written.where("kind = 'rejects'").select("line", "reason"),
+        found["n_lines"],
+        found["n_rejects"],
+    )
+
+
 def read_clicks(
     spark: SparkSession,
     path: str | list[str],

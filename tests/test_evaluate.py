@@ -132,3 +132,49 @@ def test_evaluate_agrees_with_its_parts(spark, tied_rows, tmp_path):
     assert collected(result.curve) == brute_curve(tied_rows)
     result.write(str(tmp_path))
     assert spark.read.parquet(str(tmp_path / "Model-test" / "roc")).count() == len(brute_curve(tied_rows))
+
+
+def placements(pairs):
+    """Mean and variance of the area by counting all pairs of a positive and a negative."""
+    pos = [s for s, l in pairs if l == 1]
+    neg = [s for s, l in pairs if l != 1]
+    beats = lambda a, b: (a > b) + (a == b) / 2
+    return (
+        [sum(beats(p, n) for n in neg) / len(neg) for p in pos],
+        [sum(beats(p, n) for p in pos) / len(pos) for n in neg],
+    )
+
+
+def variance(values):
+    mean = sum(values) / len(values)
+    return sum((v - mean) ** 2 for v in values) / (len(values) - 1) / len(values)
+
+
+@pytest.mark.parametrize("scores_per_task", [1_000_000, 7])
+def test_uncertainty_and_difference_equal_pair_counts(spark, scores_per_task):
+    rng = random.Random(11)
+    rows = []
+    for _ in range(300):
+        label = int(rng.random() < 0.4)
+        rows.append((label, float(rng.randrange(12) + 3 * label), round(rng.random() + label, 1)))
+    df = spark.createDataFrame(rows, "label int, a double, b double")
+    a_pos, a_neg = placements([(a, l) for l, a, _ in rows])
+    b_pos, b_neg = placements([(b, l) for l, _, b in rows])
+    (row,) = evaluate.auc_uncertainty(df, "a", scores_per_task=scores_per_task).collect()
+    assert row["auc"] == pytest.approx(sum(a_pos) / len(a_pos))
+    assert row["variance"] == pytest.approx(variance(a_pos) + variance(a_neg))
+    assert row["lower"] < row["auc"] < row["upper"] <= 1.0
+    (row,) = evaluate.compare_auc(df, "a", "b", scores_per_task=scores_per_task).collect()
+    d_pos = [x - y for x, y in zip(a_pos, b_pos)]
+    d_neg = [x - y for x, y in zip(a_neg, b_neg)]
+    assert row["difference"] == pytest.approx(sum(d_pos) / len(d_pos))
+    assert row["variance"] == pytest.approx(variance(d_pos) + variance(d_neg))
+    assert row["z"] == pytest.approx(row["difference"] / row["variance"] ** 0.5)
+
+
+def test_a_model_does_not_differ_from_itself_and_one_class_has_no_area(spark):
+    df = spark.createDataFrame([(1, 1.0), (0, 0.5), (1, 0.4), (0, 0.1)], "label int, a double")
+    (row,) = evaluate.compare_auc(df, "a", "a").collect()
+    assert (row["difference"], row["variance"], row["z"]) == (0.0, 0.0, None)
+    (row,) = evaluate.auc_uncertainty(df.where("label = 1"), "a").collect()
+    assert row["auc"] is None and row["variance"] is None

@@ -8,6 +8,8 @@ from clickmill.schema import CAT_COLS, CLICK_SCHEMA, INT_COLS, role_of_position
 from clickmill.sources import (
     TEXT_SPLITS,
     dataset_paths,
+    ingest_log,
+    mark_rejects,
     parse_lines,
     read_clicks,
     read_dataset,
@@ -149,3 +151,34 @@ def test_catalog_reads_splits_that_lie_elsewhere(spark, tmp_path):
     (tmp_path / "split" / "test_3m.txt").write_text("0" + "\t" * 39 + "\n")
     rows = read_dataset(spark, str(tmp_path), "test_3m", TEXT_SPLITS).collect()
     assert [row["label"] for row in rows] == [0]
+
+
+def test_every_line_is_a_row_or_a_reject(spark, tmp_path):
+    broken = {
+        "1\t2": "expected 5 fields, found 2",
+        "": "expected 5 fields, found 1",
+        "1\t2\t3\ta\tb\tc": "expected 5 fields, found 6",
+        "1\tx\ty\ta\tb": "malformed I1: x",
+        "1\t2\t3.5\ta\tb": "malformed I2: 3.5",
+        "9999999999\t2\t3\ta\tb": "malformed label: 9999999999",
+    }
+    lines = frame(spark, [*LINES, *broken]).repartition(3)
+    found = ingest_log(lines, str(tmp_path / "log"), SMALL)
+    assert (found.n_lines, found.n_rejects) == (len(LINES) + len(broken), len(broken))
+    assert found.rows.schema.names == SMALL.names
+    assert sorted(map(tuple, found.rows.collect()), key=str) == sorted(LINES.values(), key=str)
+    assert {r["line"]: r["reason"] for r in found.rejects.collect()} == broken
+    with pytest.raises(Exception, match="already exists"):
+        ingest_log(lines, str(tmp_path / "log"), SMALL)
+
+
+def test_ingest_reads_the_log_once(spark, tmp_path):
+    (tmp_path / "in.txt").write_text("\n".join(LINES) + "\n1\t2\n")
+    marked = mark_rejects(read_lines(spark, str(tmp_path / "in.txt")), SMALL)
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    read = read_lines(spark, str(tmp_path / "in.txt"))
+    found = ingest_log(read, str(tmp_path / "out"), SMALL)
+    assert found.rows.count() + found.rejects.count() == found.n_lines == len(LINES) + 1
+    empty = ingest_log(frame(spark, []), str(tmp_path / "none"), SMALL)
+    assert (empty.rows.count(), empty.rejects.count(), empty.n_lines) == (0, 0, 0)

@@ -60,3 +60,58 @@ def test_write_splits(spark, rows, tmp_path, assign):
     assert parts == (1 if assign == "hash" else 4)
     with pytest.raises(ValueError):
         split.write_splits(rows, path, assign="other")
+
+
+def order_of(value):
+    return int(hashlib.md5(value.encode()).hexdigest()[:15], 16)
+
+
+@pytest.mark.parametrize(
+    "sizes", [{"a": 1}, {"a": 7000, "b": 1, "c": 4999}, {"a": 0, "b": 20000}, {"a": 19999}, {}]
+)
+def test_exact_split_takes_the_first_by_hash(rows, sizes):
+    found = {r["value"]: r["part"] for r in
+             split.exact_split(rows.repartition(5), sizes, column="part").collect()}
+    places = sorted(found, key=order_of)
+    at = 0
+    for name, size in sizes.items():
+        assert {found[value] for value in places[at : at + size]} <= {name}
+        at += size
+    assert {found[value] for value in places[at:]} <= {"test"}
+
+
+def test_exact_split_cuts_copies_where_a_part_ends(spark):
+    """A third of all rows are copies of one row."""
+    value = F.when(F.col("id") % 3 == 0, F.lit("same")).otherwise(F.col("id").cast("string"))
+    rows = spark.range(3000).select(value.alias("value")).repartition(6)
+    values = sorted((r["value"] for r in rows.collect()), key=order_of)
+    first = values.index("same")
+    sizes = {"a": first + 300, "b": 200, "c": 700}
+    marked = split.exact_split(rows, sizes, rest=None)
+    assert marked.columns == ["value", "split"]
+    counts = dict(marked.groupBy("split").count().collect())
+    assert {k: counts[k] for k in sizes} == sizes and counts[None] == 3000 - sum(sizes.values())
+    same = dict(marked.where("value = 'same'").groupBy("split").count().collect())
+    assert same["a"] == 300 and same["b"] == 200 and same["c"] >= 500
+    for name in sizes:
+        got = sorted(r["value"] for r in marked.where(F.col("split") == name).collect())
+        at = sum(list(sizes.values())[: list(sizes).index(name)])
+        assert got == sorted(values[at : at + sizes[name]])
+
+
+def test_exact_split_refuses_what_it_cannot_give(spark, rows):
+    with pytest.raises(ValueError, match="20001"):
+        split.exact_split(rows, {"a": 20000, "b": 1})
+    with pytest.raises(ValueError):
+        split.exact_split(rows, {"a": -1})
+    empty = spark.createDataFrame([], "value string")
+    assert split.exact_split(empty, {"a": 0}).collect() == []
+
+
+def test_rank_thresholds_on_few_bits(spark):
+    numbers = [0, 0, 1, 5, 5, 5, 6, 4095, 4096, 4096, 1 << 40, (1 << 60) - 1]
+    df = spark.createDataFrame([(n,) for n in numbers], "n bigint")
+    found = split.rank_thresholds(df, "n", range(len(numbers) + 1))
+    for rank, (at, left) in found.items():
+        below = sum(n < at for n in numbers)
+        assert below + left == rank and (left == 0 or left < numbers.count(at))
