@@ -5,25 +5,32 @@ path, text length and punctuation are added up and divided by its number of bloc
 ratios are smoothed over neighbouring blocks, fused by their product, and paths above a
 threshold carry content. The content's container is the smallest element around all blocks
 with such a path; it is never a part of an article (or, without one, of the main element), and
-grows to take in headings beside it. All its blocks are the text, but for those in parts that
-are not the article by their tag, class or role: menus, headers, footers, sidebars, notices,
-adverts, forms, comments, scripts and styles. Names count as a whole (``has-sidebar`` is no
-sidebar), and not for elements that hold the article or most of the page's score. If no path reaches the threshold, as on pages
-with a few words, the path with the highest ratio carries the content.
+grows to take in headings beside it. Where that is the body, and parts of one path hold most of
+the score, these are the article, and other parts, or lists that are mostly links, are the
+site's. All blocks left are the text, but for those in parts that are not the article by their
+tag, class or role: menus, headers, footers, sidebars, notices, adverts, forms, comments,
+scripts and styles. Names count as a whole or by their last word (``has-sidebar`` is no
+sidebar), and not for elements that hold the article or most of the page's score. If no path
+reaches the threshold, as on pages with a few words, the path with the highest ratio carries
+the content.
 
 Character references are decoded, white space inside a block becomes one space, blocks are
 joined by a newline.
 
 Defined results: null and empty pages, and pages without article text, give an empty text;
 truncated tags and comments at the end are dropped; end tags without a start are ignored; a
-bare ``<`` is text. A page is the unit of work, whatever its length.
+bare ``<`` is text. A page is the unit of work, whatever its length; tags and blocks are
+looked at once, however deep they are nested. Repeated rows are extracted each, an empty table
+gives no rows.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -94,12 +101,33 @@ NEUTRAL = {
     "wrapper", "wrap", "area", "block", "panel", "column", "col", "group", "item", "items", "link",
     "links", "button", "buttons", "icon", "icons", "form", "section", "thread", "body", "text", "slot",
 }
+# Names whose last word says what the element is, whatever stands before it; the first for
+# any element, the second not inside an article, where they may name a part of it.
+SAID_LAST = {
+    "comment", "comments", "reply", "replies", "ad", "ads", "advert", "adverts", "advertisement",
+    "adsbygoogle", "sponsored", "newsletter", "signup", "subscribe", "consent", "cookies",
+    "related", "recommended", "sharing", "share", "social", "breadcrumb", "breadcrumbs",
+}
+SAID_LAST_OUTSIDE = {
+    "sidebar", "widget", "footer", "nav", "navbar", "navigation", "menu", "banner", "popup",
+    "modal", "promo", "promotion", "notice", "notification", "masthead", "toolbar", "pagination",
+    "cookie", "login",
+}
+# Words that turn such a name around, and names of several words.
+NOT_SAID = {"has", "with", "no", "not", "without", "is", "and"}
+SAID_TOGETHER = {("most", "read"), ("most", "popular"), ("read", "next"), ("newsletter", "signup")}
 # Never the article, however much of the page they hold.
 NEVER_ARTICLE = COMMENT_NAMES | {
     "adverts", "advertisement", "adbox", "disqus", "respond", "cookie", "cookies", "consent",
 }
 # A named element with this share of the page's score is the article in spite of its name.
 OVERRIDE_SHARE = 0.8
+# Parts of a page that may be one of its article's or of its site's.
+_PARTITIONS = {"div", "section", "td", "table", "center", "article"}
+_LISTS = {"ul", "ol", "dl"}
+# Share of the score that makes parts of one path the article, and of links in other parts.
+RULING_SHARE = 0.6
+LINKED_SHARE = 0.5
 # Only these, inside an article, are told by their ids; others' are places to link to.
 _TOLD_BY_ID = {"div", "ul", "ol"}
 
@@ -111,19 +139,26 @@ class Element:
     role), of its own or of an element around it.
     """
 
-    __slots__ = ("tag", "parent", "outside", "inside_article", "path", "removed", "named", "never")
+    __slots__ = (
+        "tag", "parent", "outside", "inside_article", "path", "paths", "removed", "named", "never",
+    )
 
     def __init__(self, tag: str, parent: Element | None, attributes: dict[str, str]):
         self.tag = tag
         self.parent = parent
         self.inside_article = tag in ("article", "main") or bool(parent and parent.inside_article)
-        self.path = f"{parent.path if parent else ''}/{tag}"
+        # Paths go by number: that of the parent's path, with the tag and its names.
+        self.paths: dict[tuple[int, str], int] = parent.paths if parent else {}
+        label = tag
         self.named = self.never = False
         self.removed = bool(parent and parent.removed) or _hidden(attributes)
         names = [attributes[x] for x in ("class", "id", "role") if x in attributes]
         if names:
+            # Ids are numbered through, so their digits do not tell paths apart.
             parts = {p.lower() for n in names for p in _PARTS.findall(_CAMEL.sub(" ", n))}
-            self.path += "".join(f".{p}" for p in sorted(parts))
+            parts |= set(attributes.get("class", "").lower().split())
+            label += "".join(f".{p}" for p in sorted(parts))
+        self.path = self.paths.setdefault((parent.path if parent else -1, label), len(self.paths))
         if tag not in ("html", "body", "main"):
             told = self._told(attributes) if names else frozenset()
             if tag == "article":
@@ -143,9 +178,16 @@ class Element:
             names += attributes.get("id", "").split()
         found: set[str] = set()
         for name in names:
-            words = {p.lower() for p in _PARTS.findall(_CAMEL.sub(" ", name))}
+            order = [p.lower() for p in _PARTS.findall(_CAMEL.sub(" ", name))]
+            words = set(order)
             if words <= OUTSIDE_NAMES | NEUTRAL:
                 found |= words & OUTSIDE_NAMES
+            elif not words & NOT_SAID:
+                last = order[-1] if order[-1] in SAID_LAST else order[-1].removesuffix("s")
+                if last in SAID_LAST or not self.inside_article and last in SAID_LAST_OUTSIDE:
+                    found.add(last)
+                if any(pair in SAID_TOGETHER for pair in pairwise(order)):
+                    found.add("promo")
         # The header inside an article holds its title.
         return frozenset(found - {"header"} if self.inside_article else found)
 
@@ -166,55 +208,77 @@ def _hidden(attributes: dict[str, str]) -> bool:
     )
 
 
-def blocks(page: str) -> list[tuple[Element, str]]:
-    """Text blocks of a page in order, each with the innermost block element around it."""
+def blocks(page: str) -> tuple[list[tuple[Element, str]], list[int]]:
+    """Text blocks of a page in order, each with the innermost block element around it.
+
+    Beside them, how many characters of each are the text of links.
+    """
     found: list[tuple[Element, str]] = []
+    linked: list[int] = []
     stack = [Element("#root", None, {})]
+    # Open elements by tag, so that a tag that is not open is not looked for.
+    is_open: Counter[str] = Counter()
     held: list[str] = []
-    at = 0
+    links = at = 0
+
+    def hold(text: str) -> None:
+        nonlocal links
+        text = html.unescape(text)
+        held.append(text)
+        if is_open["a"]:
+            links += len(text.strip())
 
-    def flush(block: bool = True) -> None:
+    def flush() -> None:
+        nonlocal links
         if held:
             text = " ".join("".join(held).split())
             held.clear()
             if text:
                 # Inline elements count for what they hide, not for the path.
                 found.append((stack[-1], text))
+                linked.append(links)
+        links = 0
+
+    def cut(i: int) -> None:
+        is_open.subtract(e.tag for e in stack[i:])
+        del stack[i:]
 
     def close(tags: set[str], borders: set[str]) -> None:
+        if not any(is_open[tag] for tag in tags):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in borders:
                 return
             if stack[i].tag in tags:
                 flush()
-                del stack[i:]
+                cut(i)
                 return
 
     size = len(page)
     while at < size:
         match = _TOKEN.search(page, at)
         if match is None:
-            held.append(html.unescape(page[at:]))
+            hold(page[at:])
             break
         if match.start() > at:
-            held.append(html.unescape(page[at : match.start()]))
+            hold(page[at : match.start()])
         at = match.end()
         tag = match[2] or match[5]
         if tag is None or (match[5] is not None and not match[0].endswith(">")):
             continue
         tag = tag.lower()
         if match[1] or match[4]:
-            if any(e.tag == tag for e in stack):
+            if is_open[tag]:
                 if tag in BLOCKS:
                     flush()
                 # An end tag of inline text does not end the blocks inside it.
                 for i in range(len(stack) - 1, 0, -1):
+                    if tag not in BLOCKS and stack[i].tag in BLOCKS:
+                        break
                     if stack[i].tag == tag:
-                        if tag not in BLOCKS and any(e.tag in BLOCKS for e in stack[i:]):
-                            break
                         if stack[i].outside != stack[i].parent.outside:
                             flush()
-                        del stack[i:]
+                        cut(i)
                         break
             elif tag in BLOCKS:
                 flush()
@@ -237,11 +301,12 @@ def blocks(page: str) -> list[tuple[Element, str]]:
         if element.outside != stack[-1].outside:
             flush()
         stack.append(element)
+        is_open[tag] += 1
     flush()
-    return found
+    return found, linked
 
 
-def _block_path(element: Element) -> str:
+def _block_path(element: Element) -> int:
     """Path down to the innermost block element; inline tags do not split paths."""
     while element.parent is not None and element.tag not in BLOCKS:
         element = element.parent
@@ -250,7 +315,7 @@ def _block_path(element: Element) -> str:
 
 def path_scores(found: list[tuple[Element, str]]) -> np.ndarray:
     """Fused, smoothed ratio of the path of each block; 0 for blocks outside the article."""
-    chars: dict[str, list[float]] = {}
+    chars: dict[int, list[float]] = {}
     paths = [_block_path(e) for e, _ in found]
     for path, (element, text) in zip(paths, found, strict=True):
         sums = chars.setdefault(path, [0.0, 0.0, 0.0])
@@ -268,7 +333,7 @@ def path_scores(found: list[tuple[Element, str]]) -> np.ndarray:
     outside = np.array([e.outside for e, _ in found])
     fused[outside] = 0
     # One score for a path: that of its blocks together.
-    means: dict[str, list[float]] = {}
+    means: dict[int, list[float]] = {}
     for path, value in zip(paths, fused, strict=True):
         mean = means.setdefault(path, [0.0, 0])
         mean[0] += value
@@ -284,6 +349,8 @@ def _override_names(found: list[tuple[Element, str]]) -> None:
     """
     # By block: the named elements around it, and whether it is in an article, and in one
     # outside named parts. Nothing brings back blocks with none of the first.
+    if not any(e.outside and not e.removed for e, _ in found):
+        return
     around: list[list[Element]] = []
     inside, free = np.zeros((2, len(found)), dtype=bool)
     for i, (element, _) in enumerate(found):
@@ -300,8 +367,6 @@ def _override_names(found: list[tuple[Element, str]]) -> None:
         inside[i] &= not never
         free[i] = inside[i] and len(own) == above
     named = {id(e): e for own in around for e in own}
-    if not named:
-        return
     held = np.array([e.outside for e, _ in found])
     # Scores as if no name had been seen.
     for (element, _), own in zip(found, around, strict=True):
@@ -339,8 +404,11 @@ def _container(found: list[tuple[Element, str]], usable: np.ndarray, seeds: np.n
 
     def shared(at: Element) -> int:
         """Place in the chain of the innermost element that holds ``at``."""
+        passed = []
         while id(at) not in place:
+            passed.append(id(at))
             at = at.parent
+        place.update(dict.fromkeys(passed, place[id(at)]))
         return place[id(at)]
 
     end = min(shared(e) for (e, _), seed in zip(found, seeds, strict=True) if seed)
@@ -364,9 +432,78 @@ def _container(found: list[tuple[Element, str]], usable: np.ndarray, seeds: np.n
     return chain[min([end, *beside])]
 
 
+def _parts(found: list[tuple[Element, str]], container: Element) -> list[Element | None]:
+    """The child of the container that holds each block: none outside it, itself if its own."""
+    holder: dict[int, Element | None] = {id(container): container}
+    for element, _ in found:
+        passed = []
+        at: Element | None = element
+        while at is not None and id(at) not in holder:
+            passed.append(at)
+            at = at.parent
+        part = holder[id(at)] if at is not None else None
+        for e in reversed(passed):
+            if part is container and e.parent is container:
+                part = e
+            holder[id(e)] = part
+    return [holder[id(element)] for element, _ in found]
+
+
+def _chosen_parts(
+    found: list[tuple[Element, str]],
+    linked: list[int],
+    scores: np.ndarray,
+    parts: list[Element | None],
+    container: Element,
+) -> np.ndarray:
+    """Which blocks of the container are content.
+
+    Below the body itself, an article stands beside the parts of its site. Parts that are
+    mostly links are none of it. If parts of one path hold most of the score, other parts of
+    the page are not of the article, unless they have the only title; headings and paragraphs
+    directly below the body are.
+    """
+    keep = np.array([part is not None for part in parts], dtype=bool)
+    if container.tag not in ("#root", "html", "body"):
+        return keep
+    totals: dict[int, list] = {}
+    for i, (element, text) in enumerate(found):
+        part = parts[i]
+        if part is None or element.outside:
+            continue
+        sums = totals.setdefault(id(part), [part, 0, 0, 0.0, 0, False])
+        sums[1] += len(text)
+        sums[2] += min(linked[i], len(text))
+        sums[3] += scores[i]
+        sums[4] += 1
+        while element is not part and element.tag not in BLOCKS:
+            element = element.parent
+        sums[5] |= element.tag == "h1"
+    by_path: dict[int, float] = {}
+    for part, _, _, score, _, _ in totals.values():
+        if part.tag in _PARTITIONS:
+            by_path[part.path] = by_path.get(part.path, 0.0) + score
+    best = max(by_path, key=by_path.__getitem__, default=None)
+    whole = sum(sums[3] for sums in totals.values())
+    ruling = best is not None and by_path[best] >= RULING_SHARE * whole
+    chosen = [x for x in totals.values() if ruling and x[0].path == best]
+    titled = any(x[5] for x in chosen)
+    dropped = set()
+    for key, (part, chars, links, _, _, title) in totals.items():
+        if part.tag not in _PARTITIONS and part.tag not in _LISTS or part.path == best and ruling:
+            continue
+        if links >= LINKED_SHARE * chars and len(totals) > 1:
+            dropped.add(key)
+        elif ruling and part.tag in _PARTITIONS and not (title and not titled):
+            dropped.add(key)
+    if len(dropped) < len(totals):
+        keep &= np.array([part is None or id(part) not in dropped for part in parts], dtype=bool)
+    return keep
+
+
 def main_text(page: str | None) -> str:
     """Article text of a page."""
-    found = blocks(page or "")
+    found, linked = blocks(page or "")
     _override_names(found)
     usable = np.array([not e.outside for e, _ in found], dtype=bool)
     if not usable.any():
@@ -376,16 +513,9 @@ def main_text(page: str | None) -> str:
     if not seeds.any():
         seeds = usable & (scores == scores[usable].max())
     container = _container(found, usable, seeds)
-    lines = []
-    for element, text in found:
-        if element.outside:
-            continue
-        at: Element | None = element
-        while at is not None and at is not container:
-            at = at.parent
-        if at is container:
-            lines.append(text)
-    return "\n".join(lines)
+    parts = _parts(found, container)
+    keep = usable & _chosen_parts(found, linked, scores, parts, container)
+    return "\n".join(text for (_, text), kept in zip(found, keep.tolist(), strict=True) if kept)
 
 
 def extract_pages(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:

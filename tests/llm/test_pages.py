@@ -1,5 +1,7 @@
 import html
+import random
 import re
+import time
 
 import pytest
 
@@ -109,6 +111,54 @@ def test_names_alone_do_not_drop_the_article(page, extra):
     assert pages.main_text(page).split("\n") == wanted
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["post-comments", "user-comments", "newsletter-signup-cta", "gdpr-consent", "blog-sidebar",
+     "footer-widgets", "adsbygoogle", "most-read", "articleComments"],
+)
+def test_names_are_told_by_their_last_word(name):
+    extra = f"<div class='{name}'><p>Some words, and more of them. Not the article.</p></div>"
+    for body in (extra + ARTICLE, ARTICLE + extra, ARTICLE.replace("</article>", extra + "</article>")):
+        if name in ("blog-sidebar", "footer-widgets") and body.endswith("</article>") and extra in body[8:-10]:
+            continue
+        assert pages.main_text(f"<html><body>{body}</body></html>") == WANTED, (name, body)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_pages_whose_names_say_nothing(seed):
+    rng = random.Random(seed)
+    names = rng.sample([f"{a}{b}" for a in "xyzqk" for b in range(9)], 5)
+    menu = "<ul>" + "".join(f"<li><a href='/{i}'>Entry {i}, more</a></li>" for i in range(6)) + "</ul>"
+    note = "<p>This site, like many, is kept by its readers. Thank you.</p>"
+    wanted = [f"A sentence, number {i}, with marks. {'And so on. ' * rng.randrange(1, 9)}".strip()
+              for i in range(rng.randrange(4, 12))]
+    article = "<h1>The title</h1>" + "".join(f"<p>{x}</p>" for x in wanted)
+    body = f"<div class={names[0]}>{menu}</div><div class={names[1]}>{article}</div>"
+    body += f"<div class={names[2]}>{note}</div><div class={names[3]}>{menu}</div>"
+    if seed % 2:
+        body = f"<div class={names[2]}>{note}</div>" + body
+    assert pages.main_text(f"<html><body>{body}</body></html>").split("\n") == ["The title", *wanted]
+
+
+def test_parts_of_one_path_and_lone_titles_stay():
+    page = f"<body><section>{LONG * 9}</section><section>{LONG}</section></body>"
+    assert pages.main_text(page).count("\n") == 9
+    page = f"<body><div class=a><h1>T</h1></div><div class=b>{LONG * 9}</div></body>"
+    assert pages.main_text(page).startswith("T\n")
+    links = "<ul>" + "<li><a href=x>A book, its title</a></li>" * 5 + "</ul>"
+    page = f"<body><div class=b>{LONG * 9}{links}</div></body>"
+    assert pages.main_text(page).count("A book") == 5
+    assert pages.main_text(f"<body>{links}</body>").count("A book") == 5
+
+
+@pytest.mark.parametrize("inner", ["", "a b, c. "])
+def test_deep_pages_take_time_in_proportion(inner):
+    start = time.perf_counter()
+    text = pages.main_text(f"<div>{inner}" * 100_000 + "deep" + "</div>" * 100_000)
+    assert time.perf_counter() - start < 20
+    assert text.endswith("deep")
+
+
 def test_formulas_and_elements_that_are_not_shown():
     page = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn>"
     page += "<annotation encoding='t'>x=1</annotation></math> hold.</p>"
