@@ -1,18 +1,23 @@
 """Licence scan: a trained paragraph classifier, confirmed against templates.
 
-Lines are the paragraphs of a text; long ones are looked at in overlapping windows. A sparse
-softmax regression over hashed one- and two-word n-grams gives every window a probability for
-each licence family and for the unknown class. It is trained here on variants of the
-templates and, as the unknown class, on windows drawn from the corpus; a temperature fitted
-on set-aside variants calibrates it. A window predicted as a family counts only if it also
-shares enough two-word sequences with a template of that family.
+Lines are the paragraphs of a text; long ones are looked at in overlapping windows of 8, 16 and
+32 words, so that a notice of any length fills much of one of them. A sparse softmax regression
+over hashed one- and two-word n-grams gives every window a probability for each licence family
+and for the unknown class. It is trained here on variants of the templates, alone and with
+ordinary words before and behind, and, as the unknown class, on windows drawn from the corpus; a
+temperature fitted on set-aside variants calibrates it. A window predicted as a family counts
+only if it also holds enough of the two-word sequences of a template of that family, and not
+more of another family's.
 
 At most ``MAX_UNKNOWN`` documents give windows for the unknown class (drawn by a hash of the
-document id). Scoring covers every window of every text.
+document id), each from a stretch of ``STRETCH`` words at a place of the whole text that a hash
+chooses. Scoring covers every window of every text.
 
 Defined results: null and empty texts have no paragraphs and no licence; without documents to
 draw from, the unknown class is learned from scrambled templates alone; several families in
-a text are all reported, the most probable first.
+a text are all reported, the most probable first, equally probable ones in the order of
+``FAMILIES``; texts of any length are read whole; repeated rows are reported each; further
+columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,6 +25,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -85,18 +91,22 @@ FAMILIES = tuple(TEMPLATES)
 UNKNOWN = len(FAMILIES)
 
 BUCKETS = 1 << 11
-WINDOW, STRIDE = 32, 16
+# Words of windows; they overlap by half.
+WINDOWS = (8, 16, 32)
+WINDOW = max(WINDOWS)
 MIN_PROBABILITY = 0.5
-# Share of a window's two-word sequences in a template, or of the template's in the window.
+# Share of a template's two-word sequences in a window, or of the window's in the template.
 MIN_SHARED = 0.6
+# Sequences that a window of fewer words is held to have.
+FEWEST_PAIRS = 3
 MAX_UNKNOWN = 2_000
+STRETCH = sum(WINDOWS)
 _PREFIXES = ("", "Note:", "This file is", "* ", "// ", "Code and text here:", "© 2020 A. Author.")
 _WORD = re.compile(r"[a-z0-9][a-z0-9.\-]*")
 
 
 def _pairs(text: str) -> set[tuple[str, str]]:
-    found = [w.strip(".-") for w in _WORD.findall(text.lower())]
-    return set(zip(["", *found], [*found, ""], strict=True))
+    return set(pairwise(w.strip(".-") for w in _WORD.findall(text.lower())))
 
 
 _TEMPLATE_PAIRS = [[_pairs(t) for t in TEMPLATES[f]] for f in FAMILIES]
@@ -105,24 +115,39 @@ _TEMPLATE_PAIRS = [[_pairs(t) for t in TEMPLATES[f]] for f in FAMILIES]
 def template_share(text: str, family: int) -> float:
     """Best agreement of a window with a template of the family, 0 to 1."""
     own = _pairs(text)
-    return max(len(own & t) / min(len(own), len(t)) for t in _TEMPLATE_PAIRS[family])
+    most = max(len(own), FEWEST_PAIRS)
+    return max(len(own & t) / min(most, len(t)) for t in _TEMPLATE_PAIRS[family])
+
+
+def confirmed(text: str, family: int) -> bool:
+    """Whether a window holds a template of the family, and none of another better."""
+    share = template_share(text, family)
+    return share >= MIN_SHARED and all(template_share(text, k) <= share for k in range(UNKNOWN))
 
 
 class Windows:
-    """Windows of lines with their hashed n-grams, for a few texts."""
+    """Windows of lines with their hashed n-grams, for a few texts.
+
+    A line that fits into a window is one; longer windows of it would be the same.
+    """
 
-    def __init__(self, texts: Texts):
+    def __init__(self, texts: Texts, sizes: tuple[int, ...] = WINDOWS):
         self.texts = texts
         lowered = Texts(texts.data, texts.offsets, lower=True)
         starts, ends, _ = texts.lines()
         first = np.searchsorted(texts.starts, starts)
         last = np.searchsorted(texts.starts, ends)
-        more = np.maximum(-(-(last - first - WINDOW) // STRIDE), 0)
-        count = more + 1
-        line = np.repeat(np.arange(len(first)), count)
-        turn = np.arange(len(line)) - np.repeat(np.cumsum(count) - count, count)
-        self.first = first[line] + turn * STRIDE
-        self.last = np.minimum(self.first + WINDOW, last[line])
+        firsts, lasts = [], []
+        for size in sizes:
+            stride = size // 2
+            count = np.maximum(-(-(last - first - size) // stride), 0) + 1
+            line = np.repeat(np.arange(len(first)), count)
+            turn = np.arange(len(line)) - np.repeat(np.cumsum(count) - count, count)
+            firsts.append(first[line] + turn * stride)
+            lasts.append(np.minimum(firsts[-1] + size, last[line]))
+            longer = last - first > size
+            first, last = first[longer], last[longer]
+        self.first, self.last = np.concatenate(firsts), np.concatenate(lasts)
         self.text = np.searchsorted(texts.first_word, self.first, side="right") - 1
         self.ones = (lowered.words % np.uint64(BUCKETS)).astype(np.int32)
         # A pair that crosses a border is in no window: windows end one word before it.
@@ -172,11 +197,29 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def _windows_of(texts: list[str]) -> Windows:
-    return Windows(next(iter(chunks(pa.array(texts), 1 << 40)))[1])
-
-
-def _variants() -> tuple[list[str], list[int]]:
-    """Templates with words before, words left out, other case, and scrambled as unknown."""
+    """Every text, none longer than a window, as one."""
+    return Windows(next(iter(chunks(pa.array(texts), 1 << 40)))[1], (WINDOW,))
+
+
+def _in_prose(template: list[str], ordinary: list[str], rng: np.random.Generator) -> list[str]:
+    """Windows of each length that hold what they can of a template among ordinary words."""
+    made = []
+    for size in WINDOWS:
+        for _ in range(8):
+            words = template
+            if len(words) > size - 2:
+                at = int(rng.integers(0, len(words) - size // 2))
+                words = words[at : at + size]
+            room = max(size - len(words), 0)
+            before = int(rng.integers(0, room + 1))
+            at = int(rng.integers(0, max(len(ordinary) - 2 * size, 1)))
+            around = ordinary[at : at + room]
+            made.append(" ".join([*around[:before], *words, *around[before:]][:size]))
+    return made
+
+
+def _variants(ordinary: list[str]) -> tuple[list[str], list[int]]:
+    """Templates alone and in prose, words left out, other case, and scrambled as unknown."""
     rng = np.random.default_rng(11)
     texts, labels = [], []
     for k, family in enumerate(FAMILIES):
@@ -187,6 +230,8 @@ def _variants() -> tuple[list[str], list[int]]:
             for _ in range(6):
                 keep = rng.random(len(words)) > 0.1
                 made.append(" ".join(w for w, ok in zip(words, keep, strict=True) if ok))
+            made = [" ".join(text.split()[:WINDOW]) for text in made]
+            made += _in_prose(words, ordinary, rng)
             texts += made
             labels += [k] * len(made)
     every = [w for ts in TEMPLATES.values() for t in ts for w in t.split()]
@@ -201,17 +246,27 @@ def fit_licences(docs: DataFrame, max_unknown: int = MAX_UNKNOWN) -> LicenceMode
     total = docs.count()
     share = min(1.0, max_unknown / max(total, 1))
     drawn = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20))
-    # A stretch of one line per drawn document is enough to learn what ordinary text looks like.
-    lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.trim(x) != "")
-    place = F.pmod(F.xxhash64("doc_id"), F.size(lines)) + 1
-    line = F.substring(F.element_at(lines, place.cast("int")), 1, 400)
-    picked = docs.filter(drawn).filter(F.size(lines) > 0).select(line.alias("line")).collect()
-    ordinary = sorted(r["line"] for r in picked)
-    # Lines that are licence notices themselves must not teach the unknown class.
+    # A stretch of a drawn document is enough to learn what ordinary text looks like.
+    words = F.filter(
+        F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda x: x != ""
+    )
+    place = F.pmod(F.xxhash64("doc_id"), F.greatest(F.size("words") - STRETCH, F.lit(0)) + 1) + 1
+    picked = (
+        docs.filter(drawn)
+        .select("doc_id", words.alias("words"))
+        .filter(F.size("words") > 0)
+        .select(F.slice("words", place.cast("int"), STRETCH).alias("words"))
+        .collect()
+    )
+    stretches = sorted(r["words"] for r in picked)
+    ordinary, upto = [], np.cumsum([0, *WINDOWS]).tolist()
+    for stretch in stretches:
+        ordinary += [" ".join(stretch[a:b]) for a, b in pairwise(upto) if len(stretch) > a]
+    # Windows that hold a licence notice themselves must not teach the unknown class.
     ordinary = [
-        t for t in ordinary if max(template_share(t, k) for k in range(UNKNOWN)) < MIN_SHARED
+        t for t in ordinary if max(template_share(t, k) for k in range(UNKNOWN)) < MIN_SHARED / 2
     ]
-    texts, labels = _variants()
+    texts, labels = _variants([w for t in ordinary for w in t.split()])
     texts += ordinary
     windows = _windows_of(texts)
     y = np.array(labels + [UNKNOWN] * len(ordinary))[windows.text]
@@ -257,7 +312,7 @@ def _scan(texts: Texts, model: LicenceModel) -> tuple[np.ndarray, list[list[tupl
         family = p.argmax(axis=1)
         likely = np.flatnonzero((family != UNKNOWN) & (p.max(axis=1) >= MIN_PROBABILITY))
         for i in likely.tolist():
-            if template_share(windows.read(i), int(family[i])) >= MIN_SHARED:
+            if confirmed(windows.read(i), int(family[i])):
                 hits[windows.text[i]].append((float(p[i, family[i]]), int(family[i])))
     return np.bincount(windows.text, minlength=texts.n), hits
 

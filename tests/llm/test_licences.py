@@ -49,6 +49,25 @@ def test_notice_inside_a_long_line(spark, model):
     assert got[1].family == got[2].family == "none"
 
 
+def test_every_template_is_found_anywhere_in_a_line_of_500_words(spark, model, sample):
+    free = [r.text for r in sample.collect() if r.text]
+    free = [t for t in free if "icense" not in t and "reserved" not in t]
+    prose = [w for t in free for w in t.split()][2000:9000]
+    texts, expected = [], []
+    for family, templates in licences.TEMPLATES.items():
+        for n, t in enumerate(templates):
+            for at in (0, 7, 61, 250, 493, 500):
+                first = 97 * n + 11 * at
+                line = prose[first : first + 500]
+                texts.append(" ".join([*line[:at], t, *line[at:]]))
+                expected.append(family)
+    got = scan(spark, model, texts)
+    missed = [(texts[i][:60], f) for i, f in enumerate(expected) if f not in got[i].families]
+    assert not missed
+    plain = [" ".join(prose[at : at + 500]) for at in range(0, 6500, 500)]
+    assert {r.family for r in scan(spark, model, plain).values()} == {"none"}
+
+
 def test_awkward_texts(awkward, model):
     got = licences.scan_licences(awkward, model).collect()
     assert len(got) == awkward.count()
