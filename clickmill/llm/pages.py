@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import pairwise
 
@@ -217,7 +217,7 @@ def blocks(page: str) -> tuple[list[tuple[Element, str]], list[int]]:
     linked: list[int] = []
     stack = [Element("#root", None, {})]
     # Open elements by tag, so that a tag that is not open is not looked for.
-    is_open: Counter[str] = Counter()
+    is_open: dict[str, int] = defaultdict(int)
     held: list[str] = []
     links = at = 0
 
@@ -240,11 +240,15 @@ def blocks(page: str) -> tuple[list[tuple[Element, str]], list[int]]:
         links = 0
 
     def cut(i: int) -> None:
-        is_open.subtract(e.tag for e in stack[i:])
+        for e in stack[i:]:
+            is_open[e.tag] -= 1
         del stack[i:]
 
     def close(tags: set[str], borders: set[str]) -> None:
-        if not any(is_open[tag] for tag in tags):
+        for tag in tags:
+            if is_open[tag]:
+                break
+        else:
             return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in borders:
@@ -367,6 +371,8 @@ def _override_names(found: list[tuple[Element, str]]) -> None:
         inside[i] &= not never
         free[i] = inside[i] and len(own) == above
     named = {id(e): e for own in around for e in own}
+    if not named:
+        return
     held = np.array([e.outside for e, _ in found])
     # Scores as if no name had been seen.
     for (element, _), own in zip(found, around, strict=True):
