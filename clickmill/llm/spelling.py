@@ -389,9 +389,11 @@ def _near_side(vocab: DataFrame, words: int, backward: bool) -> DataFrame:
         return _match(entries, asked, exact, backward)
 
     routed = listed.select("key").mapInArrow(route, "range int, key binary")
+    # A range is few bytes and much work: as many tasks as ranges, not as many as bytes ask for.
     return (
-        listed.groupBy("range")
-        .cogroup(routed.groupBy("range"))
+        listed.repartition(ranges, "range")
+        .groupBy("range")
+        .cogroup(routed.repartition(ranges, "range").groupBy("range"))
         .applyInArrow(match, "word string, n_near bigint, best_n bigint, best string")
     )
 
