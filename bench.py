@@ -38,8 +38,11 @@ HEADLINES = [
     "label_histogram",
     "category_counts",
     "top_categories_clicks",
+    "top_categories_summaries",
     "distinct_counts",
     "hash_split",
+    "split_exact",
+    "ingest_rows",
     "split_files_roundtrip",
     "split_lines_write",
     "freq_encode_transform",
@@ -48,6 +51,8 @@ HEADLINES = [
     "features_train",
     "roc_curve",
     "roc_auc",
+    "roc_auc_difference",
+    "cv_encode",
     "lr_predictions",
     "rf_predictions",
     "model_roc_auc",
