@@ -491,7 +491,7 @@ def _(spark, sf_dir):
     from clicks where l_linenumber < 3 group by l_linenumber""",
 )
 def _(spark, sf_dir):
-    """Reasons of the rejected lines beside the counts that the writing job observed."""
+    """Reasons of the rejected lines beside the counts of lines and rejects."""
     found = ingest_log(_spoiled_lines(spark, sf_dir), _scratch(spark, "ingested"))
     return found.rejects.groupBy("reason").agg(
         F.count(F.lit(1)).alias("n_rows"),

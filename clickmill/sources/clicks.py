@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -153,23 +153,22 @@ def ingest_log(
 ) -> Ingested:
     """Parse a log once into a table of rows and a table of rejected lines below ``path``.
 
-    One job reads, parses, writes both and counts: no line fails it, and none is read twice.
+    One job reads, parses and writes both: no line fails it, and none is read twice. The
+    counts are read from the footers of the written files. (An ``Observation`` of the
+    writing job would count too, but leaves the session with a part that cannot be
+    serialized, after which Spark's model training fails in it.)
     """
-    counts = Observation()
-    marked = mark_rejects(lines, schema, column).observe(
-        counts,
-        F.count(F.lit(1)).alias("n_lines"),
-        F.count_if(F.col("reason").isNotNull()).alias("n_rejects"),
-    )
     kind = F.when(F.col("reason").isNull(), "rows").otherwise("rejects")
-    marked.withColumn("kind", kind).write.mode(mode).partitionBy("kind").parquet(path)
-    found = counts.get
-    written = lines.sparkSession.read.schema(marked.withColumn("kind", kind).schema).parquet(path)
+    marked = mark_rejects(lines, schema, column).withColumn("kind", kind)
+    marked.write.mode(mode).partitionBy("kind").parquet(path)
+    written = lines.sparkSession.read.schema(marked.schema).parquet(path)
+    found = dict(written.groupBy("kind").agg(F.count(F.lit(1))).collect())
+    n_rejects = found.get("rejects", 0)
     return Ingested(
         written.where("kind = 'rows'").select(*schema.names),
         written.where("kind = 'rejects'").select("line", "reason"),
-        found["n_lines"],
-        found["n_rejects"],
+        found.get("rows", 0) + n_rejects,
+        n_rejects,
     )
 
 
