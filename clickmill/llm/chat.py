@@ -2,9 +2,12 @@
 
 Conversations that begin with the same turns share them. A tree is written once, depth first,
 into one formatted text; every turn is a node with its interval in that text, its first
-position id (the characters before it in its conversation), its parent, and the intervals of
-its ancestors, which are what it may attend to. A conversation is a leaf: the intervals of
-its ancestors, one after another, are its formatted text.
+position id (the characters before it in its conversation; tokens are characters here), its
+parent, and the intervals of its ancestors, which are what it may attend to. Intervals that
+touch are one. The child with the most turns below it is written first, right behind its
+parent, so a path leaves its interval at most log2(turns of the tree) times, however long it
+is. A conversation is a leaf: the intervals of its ancestors and its own last turn, one after
+another, are its formatted text.
 
 Template: ``<|im_start|>role``, newline, text, ``<|im_end|>``, newline. Inside roles and texts
 every backslash is doubled, and one is put after the first character of every control string
@@ -12,9 +15,11 @@ every backslash is doubled, and one is put after the first character of every co
 backslashes gives the text back exactly. The loss covers assistant texts, without marks.
 
 Equal conversations are one leaf. A tree never meets in one task whole: conversations are
-dealt into packs by their first turn and, where many conversations share it, by a hash of the
-whole conversation as well, so a first turn that a third of all conversations have becomes many
-trees of bounded size. One conversation is the unit of work, whatever its length.
+dealt into packs by their first turn. Where more conversations share it than a pack holds, they
+are dealt by their next turn, and so on down the tree, so only turns with more below them than
+a pack are written again, once in each pack below; a turn with less below it is written once.
+Levels are looked at in windows that double, so the rounds grow with the logarithm of the turns
+that too many conversations share. One conversation is the unit of work, whatever its length.
 
 Defined results: null texts and roles are empty; turns are ordered by turn (null first), then
 role, then text, and repeated rows are turns of their own; rows with a null conv_id are one
@@ -27,11 +32,12 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickmill.llm.common import store
+from clickmill.llm.common import bounded_broadcast, store
 
 START, END = "<|im_start|>", "<|im_end|>"
 LOSS_ROLE = "assistant"
@@ -39,6 +45,9 @@ LOSS_ROLE = "assistant"
 PACK_CONVERSATIONS = 256
 PACK_CHARS = 1 << 20
 
+# An odd factor and a mask of 64 bits, for the numbers that name paths.
+_MIX, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
+
 _CONTROL = re.compile(
     r"(?=<\||</?s>|\[/?INST\]|<</?SYS>>|<unk>|<pad>|<bos>|<eos>|</?start_of_turn>|</?end_of_turn>)(.)",
     re.DOTALL,
@@ -83,6 +92,7 @@ class Tree:
 
     def __init__(self):
         self.children: list[dict[tuple[str, str], int]] = [{}]
+        self.parents: list[int] = [-1]
         self.leaves: list[list[str]] = [[]]
 
     def add(self, key: str, turns: list[tuple[str, str]]) -> None:
@@ -92,25 +102,34 @@ class Tree:
             if turn not in own:
                 own[turn] = len(self.children)
                 self.children.append({})
+                self.parents.append(node)
                 self.leaves.append([])
             node = own[turn]
         self.leaves[node].append(key)
 
+    def _heavy_last(self) -> list[list[tuple[tuple[str, str], int]]]:
+        """Children of every node, the one with the most turns below it last, ties by turn."""
+        below = [1] * len(self.parents)
+        for node in range(len(below) - 1, 0, -1):
+            below[self.parents[node]] += below[node]
+        return [
+            sorted(own.items(), key=lambda c: (-below[c[1]], c[0]), reverse=True)
+            for own in self.children
+        ]
+
     def write(self) -> dict:
         """Text, nodes in depth-first order, and leaves by node."""
+        children = self._heavy_last()
         parts: list[str] = []
         nodes: list[dict] = []
-        leaves = [{"key": k, "node": -1} for k in self.leaves[0]]
+        leaves = []
         at = 0
         # (turn, node in the tree, parent among the written nodes, characters before it)
-        todo = [(t, n, -1, 0) for t, n in reversed(self.children[0].items())]
+        todo = [(t, n, -1, 0) for t, n in children[0]]
         while todo:
             (role, text), node, parent, position = todo.pop()
             formatted, begin, end = format_turn(role, text)
             loss = role == LOSS_ROLE
-            above = [] if parent < 0 else nodes[parent]["attends"] + [
-                (nodes[parent]["start"], nodes[parent]["end"])
-            ]
             number = len(nodes)
             nodes.append(
                 {
@@ -120,17 +139,25 @@ class Tree:
                     "position": position,
                     "loss_start": at + begin if loss else at,
                     "loss_end": at + end if loss else at,
-                    "attends": above,
+                    "attends": visible(nodes[parent]) if parent >= 0 else [],
                 }
             )
             parts.append(formatted)
             at += len(formatted)
             leaves += [{"key": k, "node": number} for k in self.leaves[node]]
             following = position + len(formatted)
-            todo += [(t, n, number, following) for t, n in reversed(self.children[node].items())]
+            todo += [(t, n, number, following) for t, n in children[node]]
         return {"text": "".join(parts), "nodes": nodes, "leaves": leaves}
 
 
+def visible(node: dict) -> list[dict]:
+    """Intervals of a node's ancestors and its own; those that touch are one."""
+    above = list(node["attends"])
+    if above and above[-1]["end"] == node["start"]:
+        return [*above[:-1], {"start": above[-1]["start"], "end": node["end"]}]
+    return [*above, {"start": node["start"], "end": node["end"]}]
+
+
 PACK_SCHEMA = (
     "pack long, text string, nodes array<struct<parent: int, start: long, end: long, "
     "position: long, loss_start: long, loss_end: long, "
@@ -146,9 +173,6 @@ def _write_pack(rows: pd.DataFrame) -> pd.DataFrame:
         turns = [(t["role"], t["text"]) for t in turns]
         trees.setdefault(turns[0], Tree()).add(key, turns)
     written = [trees[k].write() for k in sorted(trees)]
-    for tree in written:
-        for node in tree["nodes"]:
-            node["attends"] = [{"start": a, "end": b} for a, b in node["attends"]]
     return pd.DataFrame({"pack": int(rows["pack"].iloc[0]), **pd.DataFrame(written)})
 
 
@@ -167,29 +191,90 @@ def assemble(messages: DataFrame) -> DataFrame:
     return found.withColumn("key", F.sha2(F.to_json("turns"), 256))
 
 
-def format_conversations(conversations: DataFrame) -> DataFrame:
-    """Packs of prefix trees of assembled conversations, one row per tree."""
-    distinct = conversations.groupBy("key").agg(F.any_value("turns").alias("turns"))
-    distinct = store(distinct.withColumn("root", F.xxhash64(F.col("turns")[0])), "chat-distinct")
+def _with_paths(distinct: DataFrame) -> DataFrame:
+    """``key``, ``chars`` and ``path``: one number per turn that names it with all before it."""
+
+    def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            paths = []
+            for hashes in batch.pop("hashes"):
+                path, at = [], 0
+                for h in hashes.tolist():
+                    at = ((at ^ h) * _MIX + 1) & _MASK
+                    at ^= at >> 29
+                    path.append(at)
+                paths.append(np.array(path, dtype=np.uint64).view(np.int64))
+            yield batch.assign(path=paths)
+
     chars = F.aggregate("turns", F.lit(0).cast("long"), lambda n, t: n + F.length(t["text"]))
-    roots = distinct.groupBy("root").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(chars).alias("chars")
+    hashes = F.transform("turns", lambda t: F.xxhash64(t["role"], t["text"]))
+    return distinct.select("key", chars.alias("chars"), hashes.alias("hashes")).mapInPandas(
+        compute, "key string, chars long, path array<long>"
     )
-    many = F.greatest(
-        F.ceil(F.col("n") / PACK_CONVERSATIONS), F.ceil(F.col("chars") / PACK_CHARS), F.lit(1)
+
+
+def _load(rows: DataFrame, node: str) -> DataFrame:
+    """``parts``: packs that the conversations below a node fill, by conversations and characters."""
+    n, chars = F.count(F.lit(1)), F.sum("chars")
+    parts = F.greatest(F.ceil(n / PACK_CONVERSATIONS), F.ceil(chars / PACK_CHARS), F.lit(1))
+    # One conversation cannot be dealt, whatever its length.
+    return rows.groupBy(node).agg(F.when(n > 1, parts).otherwise(1).alias("parts"))
+
+
+def _depths(paths: DataFrame) -> DataFrame | None:
+    """``key`` and the number of turns, from the first, below which a pack is not enough.
+
+    Only conversations whose first turn has too much below it; ``None`` if there are none.
+    """
+    found, active, start, n = None, paths, 1, 1
+    while True:
+        levels = active.select(
+            "key", "chars", F.posexplode(F.slice("path", start, n)).alias("at", "node")
+        )
+        full = store(_load(levels, "node").filter(F.col("parts") > 1).select("node"), "chat-full")
+        if full.isEmpty():
+            return found
+        deep = levels.join(bounded_broadcast(full, 8), "node").groupBy("key")
+        deep = store(deep.agg((F.max("at") + start).alias("depth")), "chat-depths")
+        found = deep if found is None else found.union(deep)
+        on = deep.filter(F.col("depth") == start + n - 1).select("key")
+        active = store(active.join(on, "key", "left_semi"), "chat-active")
+        start, n = start + n, 2 * n
+
+
+def deal(distinct: DataFrame) -> DataFrame:
+    """``key``, ``turns`` and ``pack`` of distinct conversations (``key``, ``turns``)."""
+    paths = store(_with_paths(distinct), "chat-paths")
+    total = max(1, -(-paths.count() // PACK_CONVERSATIONS))
+    # Trees that fit share packs.
+    root = F.pmod(F.xxhash64(F.col("turns")[0]["role"], F.col("turns")[0]["text"]), F.lit(total))
+    found = _depths(paths)
+    if found is None:
+        return distinct.select("key", "turns", root.alias("pack"))
+    depth = found.groupBy("key").agg(F.max("depth").alias("depth"))
+    # The turn that is dealt, and the one below it, which is not cut again.
+    node, child = F.get("path", F.col("depth") - 1), F.get("path", "depth")
+    below = paths.join(depth, "key").select(
+        "key", "chars", node.alias("node"), F.coalesce(child, node).alias("child")
+    )
+    below = store(below, "chat-below")
+    parts = store(_load(below, "node"), "chat-parts")
+    own = below.join(bounded_broadcast(parts, 16), "node").select(
+        "key", F.xxhash64("node", F.pmod(F.xxhash64("child"), F.col("parts"))).alias("own")
     )
-    total = max(1, -(-distinct.count() // PACK_CONVERSATIONS))
-    dealt = distinct.join(roots.select("root", many.alias("parts")), "root")
-    # Small trees share packs; the parts of a large one lie in packs of their own.
-    part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("key"), F.col("parts"))).otherwise(-1)
-    own = F.when(part >= 0, F.xxhash64("root", part)).otherwise(F.pmod("root", F.lit(total)))
-    return (
-        dealt.select("key", "turns", own.alias("pack"))
-        .groupBy("pack")
-        .applyInPandas(_write_pack, PACK_SCHEMA)
+    own = bounded_broadcast(store(own, "chat-own"), 96)
+    return distinct.join(own, "key", "left").select(
+        "key", "turns", F.coalesce("own", root).alias("pack")
     )
 
 
+def format_conversations(conversations: DataFrame) -> DataFrame:
+    """Packs of prefix trees of assembled conversations, one row per tree."""
+    distinct = conversations.groupBy("key").agg(F.any_value("turns").alias("turns"))
+    dealt = deal(store(distinct, "chat-distinct"))
+    return dealt.groupBy("pack").applyInPandas(_write_pack, PACK_SCHEMA)
+
+
 def read_back(packs: DataFrame) -> DataFrame:
     """Digests of every conversation, from the formatted packs alone.
 
@@ -202,12 +287,14 @@ def read_back(packs: DataFrame) -> DataFrame:
             rows = []
             for text, nodes, leaves in zip(batch["text"], batch["nodes"], batch["leaves"], strict=True):
                 for leaf in leaves:
-                    node = nodes[leaf["node"]]
-                    seen = [*node["attends"], node]
-                    parts = [text[x["start"] : x["end"]] for x in seen]
-                    starts = {n["start"]: n for n in nodes}
-                    spans = [starts[x["start"]] for x in seen]
-                    loss = [unescape(text[x["loss_start"] : x["loss_end"]]) for x in spans]
+                    at = leaf["node"]
+                    parts = [text[x["start"] : x["end"]] for x in visible(nodes[at])]
+                    loss = []
+                    while at >= 0:
+                        node = nodes[at]
+                        loss.append(unescape(text[node["loss_start"] : node["loss_end"]]))
+                        at = node["parent"]
+                    loss.reverse()
                     turns = read_turns("".join(parts))
                     said = "".join(f"{role}\n{body}\n" for role, body in turns)
                     learned = "".join(loss)
