@@ -5,17 +5,19 @@ list, vectors and queries are rotated by one random orthogonal matrix and compar
 of columns. After each block a test asks whether the distance seen so far, scaled to all
 columns, is too large for the candidate to reach the query's threshold; what fails by more
 than chance allows is abandoned. Survivors are scored in double precision on the original
-vectors. The threshold of a query is its k-th best score among a sample, then that of its
-nearest list. The sample's own best vectors are candidates of every query, and a query for which
-the probed lists give fewer than it asks for is searched in all other lists as well.
+vectors. The threshold of a query is its k-th best score among a few vectors of the sample,
+then that of its nearest list, and it rises with what a list yields. The sample gives thresholds
+only, no answers. A query for which the probed lists yield fewer than it asks for is searched in
+all lists again, where a candidate is abandoned only if it cannot reach the threshold at all.
 
 Fitted on a sample of at most ``SAMPLE`` distinct vectors (drawn by a hash): centroids, the
-number of lists to probe (enough for ``PROBE_SHARE`` of the sample's own neighbours) and the
-first thresholds. Every vector is indexed, and every query is answered.
+number of lists to probe (enough for ``PROBE_SHARE`` of the sample's own neighbours) and, on
+``SEEDS`` of them, the first thresholds. Every vector is indexed, and every query is answered.
 
 Equal vectors are one candidate with its ``k + 1`` smallest ids, which is all that a result of
 ``k`` can hold of them, and equal queries are searched once. Lists are cut into parts of
-bounded size, so a list that holds a third of all vectors is scanned by many tasks.
+``PART_BYTES``, so a list that holds a third of all vectors is scanned by many tasks. A vector
+crosses the shuffle once per part of its list's queries (32,768 of 64 columns).
 
 Defined results: vectors that are null, zero, of another than the most frequent length, or
 hold null or non-finite components take no part; ties go to the smaller id; queries with
@@ -33,13 +35,16 @@ from pyspark.sql import functions as F
 from clickmill.llm.common import array_column, bounded_broadcast, store
 
 SAMPLE = 16_384
+SEEDS = 2_048
 VECTORS_PER_LIST = 2_000
 MAX_LISTS = 1_024
 PROBE_SHARE = 0.98
 COLUMNS = 16
 # Standard errors by which the scaled distance must miss before a candidate is abandoned.
 SIGNIFICANCE = 2.5
-VECTOR_PART, QUERY_PART = 2_048, 512
+# Vectors, and queries, that a task holds at once, and those it compares at once.
+PART_BYTES = 16 << 20
+VECTOR_BLOCK, QUERY_BLOCK = 2_048, 512
 _PAIRS = 1 << 17
 
 
@@ -68,13 +73,11 @@ def _distinct(rows: DataFrame, k: int) -> DataFrame:
 
 
 class Index:
-    """Centroids, rotation, probes per query and the sample that thresholds start from."""
+    """Centroids, rotation, probes per query and the vectors that thresholds start from."""
 
-    def __init__(self, sample: np.ndarray, reps: np.ndarray, total: int, k: int, seed: int = 7):
+    def __init__(self, sample: np.ndarray, total: int, k: int, seed: int = 7):
         rng = np.random.default_rng(seed)
         dims = sample.shape[1]
-        self.sample = sample
-        self.reps = reps
         self.k = k
         self.rotation = np.linalg.qr(rng.standard_normal((dims, dims)))[0]
         lists = int(np.clip(total // VECTORS_PER_LIST, 1, min(MAX_LISTS, len(sample))))
@@ -86,7 +89,8 @@ class Index:
             counts = np.bincount(own, minlength=lists)
             centres[counts > 0] = sums[counts > 0] / counts[counts > 0, None]
         self.centres = centres
-        self.probes = self._enough_probes(rng)
+        self.probes = self._enough_probes(sample, rng)
+        self.seeds = sample[rng.permutation(len(sample))[:SEEDS]]
 
     @staticmethod
     def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -98,38 +102,34 @@ class Index:
     def ranked_lists(self, q: np.ndarray) -> np.ndarray:
         return np.argsort(-(q @ self.centres.T), axis=1, kind="stable")
 
-    def _enough_probes(self, rng: np.random.Generator) -> int:
+    def _enough_probes(self, sample: np.ndarray, rng: np.random.Generator) -> int:
         """Lists that hold the wanted share of the sample's neighbours within the sample."""
-        chosen = rng.choice(len(self.sample), min(256, len(self.sample)), replace=False)
-        q = self.sample[chosen]
-        scores = q @ self.sample.T
+        chosen = rng.choice(len(sample), min(256, len(sample)), replace=False)
+        q = sample[chosen]
+        scores = q @ sample.T
         scores[np.arange(len(q)), chosen] = -np.inf
         near = np.argsort(-scores, axis=1)[:, : self.k]
         place = np.argsort(self.ranked_lists(q), axis=1)
-        ranks = np.take_along_axis(place, self.list_of(self.sample)[near], axis=1)
+        ranks = np.take_along_axis(place, self.list_of(sample)[near], axis=1)
         return int(np.quantile(ranks, PROBE_SHARE, method="higher")) + 1
 
-    def sampled(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Score that the k best other vectors reach at least, as far as the sample tells, and
-        the ``k + 1`` best of the sample with their scores."""
-        keep = min(self.k + 1, len(self.sample))
-        least, exact = np.full(len(q), -np.inf), np.empty((len(q), keep))
-        best = np.empty((len(q), keep), dtype=np.int64)
-        for i in range(0, len(q), 128):
-            scores = q[i : i + 128] @ self.sample.T
-            best[i : i + 128] = np.argpartition(scores, -keep, axis=1)[:, -keep:]
-            if keep > self.k:
-                own = np.take_along_axis(scores, best[i : i + 128], axis=1)
-                least[i : i + 128] = own.min(axis=1) - 1e-9
-        for i, own in enumerate(best):
-            exact[i] = (q[i] * self.sample[own]).sum(axis=1)
-        return least, self.reps[best], exact
-
-
-def scan(q: np.ndarray, x: np.ndarray, least: np.ndarray, rotation: np.ndarray):
+    def first_thresholds(self, q: np.ndarray) -> np.ndarray:
+        """Score that the k best other vectors reach at least, as far as the seeds tell."""
+        least = np.full(len(q), -np.inf)
+        if len(self.seeds) > self.k:
+            for i in range(0, len(q), 128):
+                scores = q[i : i + 128] @ self.seeds.T
+                least[i : i + 128] = np.partition(scores, -self.k - 1, axis=1)[:, -self.k - 1]
+        return least - 1e-9 * (1 + np.abs(least, where=np.isfinite(least), out=np.zeros(len(q))))
+
+
+def scan(
+    q: np.ndarray, x: np.ndarray, least: np.ndarray, rotation: np.ndarray, sure: bool = False
+):
     """Pairs (query, vector) whose inner product may reach the query's ``least``, and scores.
 
-    Compares ``COLUMNS`` rotated dimensions at a time and abandons hopeless pairs between.
+    Compares ``COLUMNS`` rotated dimensions at a time and abandons hopeless pairs between; if
+    ``sure``, only pairs whose distance so far is too large already.
     """
     dims = q.shape[1]
     rq, rx = q @ rotation, x @ rotation
@@ -149,8 +149,10 @@ def scan(q: np.ndarray, x: np.ndarray, least: np.ndarray, rotation: np.ndarray):
                 q2[:, :seen].sum(axis=1)[:, None] + x2[:, :seen].sum(axis=1)[None, :] - 2 * inner
             )
             slack = 1 + SIGNIFICANCE * np.sqrt((1 - seen / dims) / seen)
+            # A share of rounding keeps what is equal to the threshold.
+            most = 1 + 1e-9 if sure else slack**2 * seen / dims
             with np.errstate(invalid="ignore", over="ignore"):
-                alive &= ~(distance * (dims / seen) > far * slack**2)
+                alive &= ~(distance > far * most)
     margin = 1e-9 * (1 + np.abs(least))[:, None]
     with np.errstate(invalid="ignore"):
         alive &= ~(inner < least[:, None] - margin)
@@ -167,23 +169,57 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def _scan_groups(queries: DataFrame, vectors: DataFrame, index: Index) -> DataFrame:
+def best_of_part(
+    q: np.ndarray,
+    x: np.ndarray,
+    rep: np.ndarray,
+    least: np.ndarray,
+    rotation: np.ndarray,
+    keep: int,
+    sure: bool = False,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query's place, vector's ``rep`` and score of each query's ``keep`` best, block by block.
+
+    A query that has found ``keep`` asks of later blocks to beat the last of them.
+    """
+    found = []
+    for i in range(0, len(q), QUERY_BLOCK):
+        own = q[i : i + QUERY_BLOCK]
+        lowest = least[i : i + QUERY_BLOCK].copy()
+        at, name, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        for j in range(0, len(x), VECTOR_BLOCK):
+            at_q, at_x, scores = scan(own, x[j : j + VECTOR_BLOCK], lowest, rotation, sure)
+            at = np.concatenate([at, at_q])
+            name = np.concatenate([name, rep[j : j + VECTOR_BLOCK][at_x]])
+            score = np.concatenate([score, scores])
+            order = np.lexsort((name, -score, at))
+            order = order[np.arange(len(order)) - np.searchsorted(at[order], at[order]) < keep]
+            at, name, score = at[order], name[order], score[order]
+            last = np.arange(len(at)) - np.searchsorted(at, at) == keep - 1
+            lowest[at[last]] = np.maximum(lowest[at[last]], score[last])
+        found.append((at + i, name, score))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def _scan_groups(queries: DataFrame, vectors: DataFrame, index: Index, sure: bool) -> DataFrame:
     """Best ``k + 1`` of each query in each list part: ``query``, ``rep`` and ``score``."""
-    keep = index.k + 1
+    keep, rotation = index.k + 1, index.rotation
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        found: list[np.ndarray] = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         if len(left) and len(right):
-            query, rep = left["query"].to_numpy(), right["rep"].to_numpy()
-            pairs = scan(
-                _matrix(left["v"]), _matrix(right["v"]), left["least"].to_numpy(), index.rotation
+            # In the order of ids, so that thresholds rise alike in every run.
+            left, right = left.sort_by("query"), right.sort_by("rep")
+            at, rep, score = best_of_part(
+                _matrix(left["v"]),
+                _matrix(right["v"]),
+                right["rep"].to_numpy(),
+                left["least"].to_numpy(),
+                rotation,
+                keep,
+                sure,
             )
-            at_q, at_x, scores = pairs
-            order = np.lexsort((rep[at_x], -scores, at_q))
-            at_q, at_x, scores = at_q[order], at_x[order], scores[order]
-            first = np.searchsorted(at_q, at_q)
-            top = np.arange(len(at_q)) - first < keep
-            found = [query[at_q[top]], rep[at_x[top]], scores[top]]
+            found = [left["query"].to_numpy()[at], rep, score]
         return pa.table(dict(zip(("query", "rep", "score"), map(pa.array, found), strict=True)))
 
     keys = ["list", "vpart", "qpart"]
@@ -194,15 +230,14 @@ def _scan_groups(queries: DataFrame, vectors: DataFrame, index: Index) -> DataFr
     )
 
 
-def _parts(sizes: DataFrame, column: str, part: int, name: str) -> DataFrame:
+def _parts(sizes: DataFrame, part: int, name: str) -> DataFrame:
     return sizes.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / part).alias(name))
 
 
-def _search(queries: DataFrame, vectors: DataFrame, index: Index) -> DataFrame:
+def _search(queries: DataFrame, vectors: DataFrame, index: Index, sure: bool = False) -> DataFrame:
     """Compare queries (``query``, ``v``, ``least``, ``list``) with the vectors of their lists."""
-    parts = _parts(vectors, "rep", VECTOR_PART, "vparts").join(
-        _parts(queries, "query", QUERY_PART, "qparts"), "list"
-    )
+    rows = max(1, PART_BYTES // (8 * index.rotation.shape[0]))
+    parts = _parts(vectors, rows, "vparts").join(_parts(queries, rows, "qparts"), "list")
     parts = bounded_broadcast(store(parts, "ann-parts"), 24)
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     q = queries.join(parts, "list").select(
@@ -220,7 +255,7 @@ def _search(queries: DataFrame, vectors: DataFrame, index: Index) -> DataFrame:
         "rep",
         "v",
     )
-    return _scan_groups(q, x, index)
+    return _scan_groups(q, x, index, sure)
 
 
 def _assigned(vectors: DataFrame, index: Index) -> DataFrame:
@@ -234,27 +269,21 @@ def _assigned(vectors: DataFrame, index: Index) -> DataFrame:
 
 
 def _probing(queries: DataFrame, index: Index) -> DataFrame:
-    """One row per query: its threshold, all lists, nearest first, and the sample's best."""
+    """One row per query: its first threshold and all lists, nearest first."""
 
     def compute(batches):
         for batch in batches:
-            q = _matrix(batch.column(1)) if len(batch) else np.zeros((0, index.sample.shape[1]))
-            least, near, scores = index.sampled(q)
+            q = _matrix(batch.column(1)) if len(batch) else np.zeros((0, len(index.rotation)))
             columns = [
                 batch.column(0),
                 batch.column(1),
-                pa.array(least),
+                pa.array(index.first_thresholds(q)),
                 array_column(index.ranked_lists(q).astype(np.int32)),
-                array_column(near),
-                array_column(scores),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield pa.RecordBatch.from_arrays(columns, ["query", "v", "least", "lists"])
 
-    names = ["query", "v", "least", "lists", "near", "scores"]
     return queries.select(F.col("rep").alias("query"), "v").mapInArrow(
-        compute,
-        "query long, v array<double>, least double, lists array<int>, near array<long>, "
-        "scores array<double>",
+        compute, "query long, v array<double>, least double, lists array<int>"
     )
 
 
@@ -286,7 +315,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     sample = table.filter(drawn | (F.lit(share) == 1)).select("rep", "v").limit(SAMPLE).toArrow()
     sample = sample if len(sample) else table.select("rep", "v").limit(SAMPLE).toArrow()
     order = np.argsort(sample["rep"].to_numpy())
-    index = Index(_matrix(sample["v"])[order], sample["rep"].to_numpy()[order], total, k)
+    index = Index(_matrix(sample["v"])[order], total, k)
 
     lists = store(_assigned(table, index), "ann-lists")
     asked = rows.filter(is_query).select(F.col("id").alias("query_id"), "h1", "h2")
@@ -306,16 +335,13 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     )
     found = home.drop("place").union(_search(others, lists, index))
     found = store(_best(found, k).select("query", "rep", "score"), "ann-found")
-    if len(sample) < total and index.probes < len(index.centres):
-        # The sample's best are candidates below, so its threshold cuts off none of the k + 1 best.
+    if total > k:
         full = found.groupBy("query").count().filter(F.col("count") > k)
         short = store(probing.join(full, "query", "left_anti"), "ann-short")
         if not short.isEmpty():
-            rest = _in_lists(short, 0, len(index.centres))
-            found = found.union(_search(rest, lists, index))
-    sampled = probing.select("query", F.explode(F.arrays_zip("near", "scores")).alias("hit"))
-    sampled = sampled.select("query", F.col("hit.near").alias("rep"), F.col("hit.scores").alias("score"))
-    found = found.union(sampled).groupBy("query", "rep").agg(F.max("score").alias("score"))
+            # Its first threshold cuts off none of the k + 1 best.
+            rest = _search(_in_lists(short, 0, len(index.centres)), lists, index, sure=True)
+            found = found.union(rest).groupBy("query", "rep").agg(F.max("score").alias("score"))
     best = _best(found, k).select("query", "rep", "score")
     ids = best.join(table.select("rep", "ids"), "rep").select(
         "query", "score", F.explode("ids").alias("vec_id")

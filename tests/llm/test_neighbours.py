@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickmill.llm import neighbours
+from clickmill.llm.common import store
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -48,8 +49,9 @@ def test_recall_and_exact_scores(spark):
 
 def test_clustered_vectors_in_many_lists(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "VECTORS_PER_LIST", 40)
-    monkeypatch.setattr(neighbours, "VECTOR_PART", 16)
-    monkeypatch.setattr(neighbours, "QUERY_PART", 4)
+    monkeypatch.setattr(neighbours, "PART_BYTES", 8 * 48 * 16)
+    monkeypatch.setattr(neighbours, "VECTOR_BLOCK", 5)
+    monkeypatch.setattr(neighbours, "QUERY_BLOCK", 3)
     rng = np.random.default_rng(5)
     centres = rng.standard_normal((12, 48)) * 3
     data = [centres[k % 12] + rng.standard_normal(48) for k in range(900)]
@@ -61,6 +63,37 @@ def test_clustered_vectors_in_many_lists(spark, monkeypatch):
     assert hits >= 0.9 * 20 * len(expected)
 
 
+def recall(got, expected):
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in expected[q]}) for q in expected)
+    return hits / sum(len(v) for v in expected.values())
+
+
+@pytest.mark.parametrize("kind", ["even", "clustered", "norms"])
+def test_recall_in_tables_beyond_the_sample(spark, monkeypatch, kind):
+    """The sample and its seeds hold a small part of the table, and the lists decide."""
+    monkeypatch.setattr(neighbours, "SAMPLE", 600)
+    monkeypatch.setattr(neighbours, "SEEDS", 100)
+    monkeypatch.setattr(neighbours, "VECTORS_PER_LIST", 200)
+    monkeypatch.setattr(neighbours, "PART_BYTES", 8 * 64 * 100)
+    rng = np.random.default_rng(9)
+    data = rng.standard_normal((4000, 64))
+    if kind == "clustered":
+        data = data * 0.7 + 2 * rng.standard_normal((30, 64))[rng.integers(0, 30, 4000)]
+    if kind == "norms":
+        data *= rng.lognormal(0, 0.5, 4000)[:, None]
+    rows = [(k, [float(x) for x in v], 0) for k, v in enumerate(data)]
+    df = store(spark.createDataFrame(rows, SCHEMA), "vectors")
+    x = np.array(df.orderBy("vec_id").toArrow()["embedding"].to_pylist())
+    expected = {}
+    for q in range(0, 4000, 20):
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        expected[q] = [(int(i), float(scores[i])) for i in np.argsort(-scores)[:20]]
+    got = collect(df)
+    assert {q: len(v) for q, v in got.items()} == dict.fromkeys(expected, 20)
+    assert recall(got, expected) >= 0.95
+
+
 def test_small_clusters_get_all_their_neighbours(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "VECTORS_PER_LIST", 100)
     monkeypatch.setattr(neighbours, "SAMPLE", 400)
@@ -127,3 +160,16 @@ def test_scan_keeps_every_pair_above_the_threshold_nearly_always():
     assert np.allclose(scores, exact[at_q, at_x])
     assert (scores >= least[at_q] - 1e-6).all()
     assert len(at_q) >= 0.97 * 20 * 50
+
+
+def test_scan_that_is_sure_loses_no_pair():
+    rng = np.random.default_rng(8)
+    q, x = rng.standard_normal((50, 64)), rng.standard_normal((500, 64))
+    exact = q @ x.T
+    least = np.sort(exact, axis=1)[:, -20]
+    rotation = np.linalg.qr(rng.standard_normal((64, 64)))[0]
+    at_q, at_x, _ = neighbours.scan(q, x, least - 1e-9, rotation, sure=True)
+    assert len(at_q) == 20 * 50
+    at, rep, score = neighbours.best_of_part(q, x, np.arange(500), least - 9, rotation, 20, True)
+    assert (np.sort(exact, axis=1)[:, :-21:-1].ravel() == pytest.approx(score))
+    assert (at == np.repeat(np.arange(50), 20)).all() and len(rep) == 1000
