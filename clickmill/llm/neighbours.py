@@ -5,14 +5,14 @@ list, vectors and queries are rotated by one random orthogonal matrix and compar
 of columns. After each block a test asks whether the distance seen so far, scaled to all
 columns, is too large for the candidate to reach the query's threshold; what fails by more
 than chance allows is abandoned. Survivors are scored in double precision on the original
-vectors. The threshold of a query is its k-th best score among a few vectors of the sample,
+vectors. The threshold of a query is its k-th best score among the sample,
 then that of its nearest list, and it rises with what a list yields. The sample gives thresholds
 only, no answers. A query for which the probed lists yield fewer than it asks for is searched in
 all lists again, where a candidate is abandoned only if it cannot reach the threshold at all.
 
 Fitted on a sample of at most ``SAMPLE`` distinct vectors (drawn by a hash): centroids, the
-number of lists to probe (enough for ``PROBE_SHARE`` of the sample's own neighbours) and, on
-``SEEDS`` of them, the first thresholds. Every vector is indexed, and every query is answered.
+number of lists to probe (enough for ``PROBE_SHARE`` of the sample's own neighbours) and the
+first thresholds. Every vector is indexed, and every query is answered.
 
 Equal vectors are one candidate with its ``k + 1`` smallest ids, which is all that a result of
 ``k`` can hold of them, and equal queries are searched once. Lists are cut into parts of
@@ -35,7 +35,6 @@ from pyspark.sql import functions as F
 from clickmill.llm.common import array_column, bounded_broadcast, store
 
 SAMPLE = 16_384
-SEEDS = 2_048
 VECTORS_PER_LIST = 2_000
 MAX_LISTS = 1_024
 PROBE_SHARE = 0.98
@@ -73,7 +72,7 @@ def _distinct(rows: DataFrame, k: int) -> DataFrame:
 
 
 class Index:
-    """Centroids, rotation, probes per query and the vectors that thresholds start from."""
+    """Centroids, rotation, probes per query and the sample that thresholds start from."""
 
     def __init__(self, sample: np.ndarray, total: int, k: int, seed: int = 7):
         rng = np.random.default_rng(seed)
@@ -90,7 +89,7 @@ class Index:
             centres[counts > 0] = sums[counts > 0] / counts[counts > 0, None]
         self.centres = centres
         self.probes = self._enough_probes(sample, rng)
-        self.seeds = sample[rng.permutation(len(sample))[:SEEDS]]
+        self.sample = sample
 
     @staticmethod
     def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -114,11 +113,11 @@ class Index:
         return int(np.quantile(ranks, PROBE_SHARE, method="higher")) + 1
 
     def first_thresholds(self, q: np.ndarray) -> np.ndarray:
-        """Score that the k best other vectors reach at least, as far as the seeds tell."""
+        """Score that the k best other vectors reach at least, as far as the sample tells."""
         least = np.full(len(q), -np.inf)
-        if len(self.seeds) > self.k:
+        if len(self.sample) > self.k:
             for i in range(0, len(q), 128):
-                scores = q[i : i + 128] @ self.seeds.T
+                scores = q[i : i + 128] @ self.sample.T
                 least[i : i + 128] = np.partition(scores, -self.k - 1, axis=1)[:, -self.k - 1]
         return least - 1e-9 * (1 + np.abs(least, where=np.isfinite(least), out=np.zeros(len(q))))
 
@@ -131,31 +130,37 @@ def scan(
     Compares ``COLUMNS`` rotated dimensions at a time and abandons hopeless pairs between; if
     ``sure``, only pairs whose distance so far is too large already.
     """
+    with np.errstate(invalid="ignore", over="ignore"):
+        return _scan(q, x, least, rotation, sure)
+
+
+def _scan(q: np.ndarray, x: np.ndarray, least: np.ndarray, rotation: np.ndarray, sure: bool):
     dims = q.shape[1]
     rq, rx = q @ rotation, x @ rotation
     q2, x2 = rq**2, rx**2
-    # Squared distance from which on a pair is below the threshold.
-    far = q2.sum(axis=1)[:, None] + x2.sum(axis=1)[None, :] - 2 * least[:, None]
+    all_q, all_x = q2.sum(axis=1), x2.sum(axis=1)
     inner = np.zeros((len(q), len(x)))
     alive = np.ones(inner.shape, dtype=bool)
     seen = 0
     while seen < dims and alive.any():
         step = slice(seen, min(seen + COLUMNS, dims))
         columns = np.flatnonzero(alive.any(axis=0))
-        inner[:, columns] += rq[:, step] @ rx[columns, step].T
+        if len(columns) == len(x):
+            inner += rq[:, step] @ rx[:, step].T
+        else:
+            inner[:, columns] += rq[:, step] @ rx[columns, step].T
         seen = step.stop
         if seen < dims:
-            distance = (
-                q2[:, :seen].sum(axis=1)[:, None] + x2[:, :seen].sum(axis=1)[None, :] - 2 * inner
-            )
             slack = 1 + SIGNIFICANCE * np.sqrt((1 - seen / dims) / seen)
-            # A share of rounding keeps what is equal to the threshold.
-            most = 1 + 1e-9 if sure else slack**2 * seen / dims
-            with np.errstate(invalid="ignore", over="ignore"):
-                alive &= ~(distance > far * most)
-    margin = 1e-9 * (1 + np.abs(least))[:, None]
-    with np.errstate(invalid="ignore"):
-        alive &= ~(inner < least[:, None] - margin)
+            most = 1.0 if sure else slack**2 * seen / dims
+            # A pair's distance so far is above ``most`` times the distance at which its product
+            # is ``least`` where its product so far is below a sum of one term of the query and
+            # one of the vector. A share for rounding keeps what is equal to the threshold.
+            of_q = (q2[:, :seen].sum(axis=1) - (most + 1e-9) * all_q) / 2 + most * least
+            of_x = (x2[:, :seen].sum(axis=1) - (most + 1e-9) * all_x) / 2
+            # Not the opposite comparison: what is no number after an overflow stays.
+            alive &= ~(inner < of_q[:, None] + of_x[None, :])
+    alive &= ~(inner < (least - 1e-9 * (1 + np.abs(least)))[:, None])
     at_q, at_x = np.nonzero(alive)
     scores = np.empty(len(at_q))
     for i in range(0, len(at_q), _PAIRS):

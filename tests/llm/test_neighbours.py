@@ -70,9 +70,8 @@ def recall(got, expected):
 
 @pytest.mark.parametrize("kind", ["even", "clustered", "norms"])
 def test_recall_in_tables_beyond_the_sample(spark, monkeypatch, kind):
-    """The sample and its seeds hold a small part of the table, and the lists decide."""
+    """The sample holds a small part of the table, and the lists decide."""
     monkeypatch.setattr(neighbours, "SAMPLE", 600)
-    monkeypatch.setattr(neighbours, "SEEDS", 100)
     monkeypatch.setattr(neighbours, "VECTORS_PER_LIST", 200)
     monkeypatch.setattr(neighbours, "PART_BYTES", 8 * 64 * 100)
     rng = np.random.default_rng(9)
