@@ -5,15 +5,21 @@ most ``per_source`` documents of one source. Bins are kept by residual space and
 bitmaps: sources that are full, and duplicate clusters that are present. A document, largest
 first, goes to the tightest bin that can take it: the search starts at the residual that just
 fits and goes on through the next larger residuals until a compatible bin is found. Only if
-there is none a bin is opened. No bin and no candidate is passed over.
+there is none a bin is opened. No bin of its group is passed over.
 
 Documents longer than a bin are cut into full pieces with a bin each and a last piece that is
 packed like any other. Spark deals the documents, by a hash of their ids, into groups of
 about ``GROUP_ROWS`` and packs each group in one task; a group carries lengths, ids and bits,
-never texts. The dealing spreads hot sources and clusters evenly over all groups.
+never texts. The dealing spreads hot sources and clusters evenly over all groups, and rows of an
+id (or of null) that repeats more than ``REPEATS`` times by their number in the table as well.
+What groups lose at their borders is packed again: bins less than ``FULL_SHARE`` full are
+emptied, and their pieces are dealt into groups anew, until one group holds all that is left or
+a round leaves more than half of its pieces in such bins.
 
 Defined results: documents without words need no bin and get none (null ``bin``); null
-sources are one source; repeated rows are packed like copies; an empty table gives no rows.
+sources are one source; repeated rows are packed like copies; an empty table gives no rows;
+texts of any length are counted whole; equal sizes go by cluster, then id, equal residuals by
+the time a bin reached them; extra columns are passed over.
 """
 
 from __future__ import annotations
@@ -23,11 +29,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickmill.llm.common import bounded_broadcast, store
 from clickmill.llm.mixing import word_count
 
 CAPACITY = 2048
 PER_SOURCE = 4
 GROUP_ROWS = 4096
+REPEATS = 64
+FULL_SHARE = 0.98
 
 
 class Bins:
@@ -84,41 +93,45 @@ class Bins:
 
 
 def pack_group(rows: pd.DataFrame, capacity: int, per_source: int) -> pd.DataFrame:
-    """Pieces of the documents of one group with their bins."""
-    rows = rows.sort_values(["size", "cluster", "doc_id"], ascending=[False, True, True]).reset_index()
+    """Pieces of the documents of one group with their bins and the words that these hold.
+
+    ``piece`` of a row is the number of its first piece.
+    """
+    rows = rows.sort_values(["size", "cluster", "doc_id"], ascending=[False, True, True])
+    rows = rows.reset_index(drop=True)
     source, _ = pd.factorize(rows["source"], use_na_sentinel=False)
     cluster, _ = pd.factorize(rows["cluster"], use_na_sentinel=False)
     sizes = rows["size"].to_numpy()
     full, last = sizes // capacity, sizes % capacity
     whole = int(full.sum())
     at = np.repeat(np.arange(len(rows)), full)
-    first = np.repeat(np.cumsum(full) - full, full)
-    found = {
-        "at": [at],
-        "piece": [np.arange(whole) - first],
-        "n_words": [np.full(whole, capacity)],
-        "bin": [np.arange(whole)],
-        "start": [np.zeros(whole, dtype=np.int64)],
-    }
     bins = Bins(capacity, per_source)
     order = np.argsort(-last, kind="stable")
     order = order[last[order] > 0]
-    placed = [
-        bins.put(int(last[i]), int(source[i]), int(cluster[i])) for i in order.tolist()
-    ]
-    found["at"].append(order)
-    found["piece"].append(full[order])
-    found["n_words"].append(last[order])
-    found["bin"].append(np.array([b for b, _ in placed], dtype=np.int64) + whole)
-    found["start"].append(np.array([s for _, s in placed], dtype=np.int64))
+    placed = [bins.put(int(last[i]), int(source[i]), int(cluster[i])) for i in order.tolist()]
+    own, start = np.array(placed, dtype=np.int64).reshape(-1, 2).T
+    held = np.bincount(own, weights=last[order], minlength=1).astype(np.int64)
     empty = np.flatnonzero(sizes == 0)
-    made = {k: np.concatenate(v).astype(np.int64) for k, v in found.items()}
-    ids = rows["doc_id"].to_numpy()
-    out = pd.DataFrame({"doc_id": ids[made.pop("at")], **made})
-    nothing = pd.DataFrame({"doc_id": ids[empty], "piece": 0, "n_words": 0, "bin": None, "start": 0})
-    out = out.astype({"bin": "Int64"})
-    out = pd.concat([out, nothing.astype({"bin": "Int64"})]) if len(empty) else out
-    return out.assign(group=rows["group"].iloc[0])
+    none = np.zeros(len(empty), dtype=np.int64)
+    columns = {
+        "piece": [np.arange(whole) - np.repeat(np.cumsum(full) - full, full), full[order], none],
+        "n_words": [np.full(whole, capacity), last[order], none],
+        "bin": [np.arange(whole), own + whole, none],
+        "start": [np.zeros(whole, dtype=np.int64), start, none],
+        # Words in the bin; what needs no bin counts as full.
+        "held": [np.full(whole, capacity), held[own], none + capacity],
+    }
+    made = pd.DataFrame({k: np.concatenate(v).astype(np.int64) for k, v in columns.items()})
+    made["bin"] = made["bin"].astype("Int64").mask(made["n_words"] == 0)
+    rows = rows.iloc[np.concatenate([at, order, empty])].reset_index(drop=True)
+    made["piece"] += rows["piece"]
+    return pd.concat([rows[["doc_id", "source", "cluster", "group"]], made], axis=1)
+
+
+PACKED = (
+    "doc_id string, source string, cluster long, group long, piece long, n_words long, bin long, "
+    "start long, held long"
+)
 
 
 def text_cluster(text: str) -> Column:
@@ -138,18 +151,45 @@ def pack_documents(
     ``cluster`` names the duplicate cluster of a document; without it, texts that are equal
     but for case and white space are one cluster.
     """
-    groups = max(1, -(-docs.count() // GROUP_ROWS))
     rows = docs.select(
         # As text, because pandas has no integers beside nulls.
         F.col("doc_id").cast("string"),
-        F.col("source"),
+        F.col("source").cast("string"),
         word_count("text").alias("size"),
-        (text_cluster("text") if cluster is None else cluster).alias("cluster"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(groups)).alias("group"),
+        (text_cluster("text") if cluster is None else cluster).cast("long").alias("cluster"),
+        F.lit(0).cast("long").alias("piece"),
+        F.monotonically_increasing_id().alias("number"),
+    )
+    rows = store(rows, "packing-rows")
+    hot = rows.groupBy("doc_id").count().filter(F.col("count") > REPEATS).select(
+        F.col("doc_id").alias("hot_id"), F.lit(True).alias("hot")
     )
-    packed = rows.groupBy("group").applyInPandas(
-        lambda group: pack_group(group, capacity, per_source),
-        "doc_id string, piece long, n_words long, bin long, start long, group long",
+    hot = bounded_broadcast(store(hot, "packing-hot"), 64)
+    rows = rows.join(hot, F.col("doc_id").eqNullSafe(F.col("hot_id")), "left").withColumn(
+        "deal", F.xxhash64("doc_id", F.when(F.col("hot"), F.col("number")))
     )
-    number = F.col("group") * F.lit(1 << 40) + F.col("bin")
-    return packed.select(F.col("doc_id").cast("long"), "piece", "n_words", number.alias("bin"), "start")
+    done, turn, n = None, 0, rows.count()
+    while True:
+        groups = max(1, -(-n // GROUP_ROWS))
+        # Another dealing in each round.
+        dealt = rows.withColumn("group", F.pmod(F.xxhash64("deal", F.lit(turn)), F.lit(groups)))
+        packed = (
+            dealt.select("doc_id", "source", "size", "cluster", "piece", "group")
+            .groupBy("group")
+            .applyInPandas(lambda group: pack_group(group, capacity, per_source), PACKED)
+        )
+        number = F.lit(turn << 58) + F.col("group") * F.lit(1 << 32) + F.col("bin")
+        packed = store(packed.withColumn("bin", number), "packing-bins")
+        poor = packed.filter(F.col("held") < FULL_SHARE * capacity)
+        left = poor.count() if groups > 1 else 0
+        again = 0 < left <= n / 2
+        kept = packed.filter(F.col("held") >= FULL_SHARE * capacity) if again else packed
+        done = kept if done is None else done.union(kept)
+        if not again:
+            return done.select(F.col("doc_id").cast("long"), "piece", "n_words", "bin", "start")
+        # Pieces of a bin may be of one id; their bin and place there tell them apart.
+        rows = poor.select(
+            "doc_id", "source", F.col("n_words").alias("size"), "cluster", "piece",
+            F.xxhash64("doc_id", "bin", "start").alias("deal"),
+        )
+        turn, n = turn + 1, left

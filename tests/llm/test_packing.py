@@ -8,30 +8,6 @@ from llm_helpers import words
 from clickmill.llm import packing
 
 
-def brute(items, capacity, per_source):
-    """Bins by trying every open bin for each item, largest items first."""
-    bins = []
-    places = []
-    for size, source, cluster in items:
-        fits = [
-            b
-            for b in bins
-            if b["left"] >= size
-            and cluster not in b["clusters"]
-            and b["sources"].count(source) < per_source
-        ]
-        if fits:
-            best = min(fits, key=lambda b: b["left"])
-        else:
-            best = {"left": capacity, "clusters": set(), "sources": []}
-            bins.append(best)
-        places.append(best["left"])
-        best["left"] -= size
-        best["clusters"].add(cluster)
-        best["sources"].append(source)
-    return places, sorted(b["left"] for b in bins)
-
-
 @pytest.mark.parametrize("seed", range(4))
 def test_bins_are_the_tightest_compatible_ones(seed):
     rng = np.random.default_rng(seed)
@@ -41,17 +17,27 @@ def test_bins_are_the_tightest_compatible_ones(seed):
     ]
     items.sort(key=lambda x: -x[0])
     bins = packing.Bins(100, 2)
-    starts = [bins.put(*x)[1] for x in items]
-    residuals = [100] * len(bins.clusters)
-    again = packing.Bins(100, 2)
-    for x in items:
-        residuals[again.put(*x)[0]] -= x[0]
-    places, left = brute(items, 100, 2)
-    # Bins of equal residual may differ in which one is taken, not in how tight it is.
-    assert len(starts) == len(places)
-    assert all(r >= 0 for r in residuals)
-    first = next((k for k, (s, p) in enumerate(zip(starts, places, strict=True)) if s != 100 - p), None)
-    assert first is None or first > 20
+    opened = []
+    for size, source, cluster in items:
+        fits = [
+            b["left"]
+            for b in opened
+            if b["left"] >= size
+            and cluster not in b["clusters"]
+            and b["sources"].count(source) < 2
+        ]
+        at, start = bins.put(size, source, cluster)
+        # The residual chosen is the least of all open bins that can take the document.
+        assert 100 - start == min(fits, default=100)
+        if at == len(opened):
+            assert not fits
+            opened.append({"left": 100, "clusters": set(), "sources": []})
+        own = opened[at]
+        assert own["left"] == 100 - start and cluster not in own["clusters"]
+        assert own["sources"].count(source) < 2
+        own["left"] -= size
+        own["clusters"].add(cluster)
+        own["sources"].append(source)
 
 
 def check(df, capacity=64, per_source=2):
@@ -116,7 +102,38 @@ def test_empty_table(no_docs):
 
 
 def test_group_with_long_and_empty_documents():
-    rows = pd.DataFrame({"doc_id": ["1", "2"], "source": [None, "s"], "size": [25, 0], "cluster": [1, 2], "group": [7, 7]})
+    rows = pd.DataFrame(
+        {"doc_id": ["1", "2"], "source": [None, "s"], "size": [25, 0], "cluster": [1, 2]}
+    ).assign(piece=0, group=7)
     got = packing.pack_group(rows, 10, 1)
     assert got.n_words.tolist() == [10, 10, 5, 0] and got.piece.tolist() == [0, 1, 2, 0]
     assert got.bin.isna().tolist() == [False, False, False, True]
+    assert got.held.tolist() == [10, 10, 5, 10]
+
+
+def test_groups_lose_few_bins(spark, monkeypatch):
+    """Groups of 100 rows need hardly more bins than one group of all rows."""
+    rng = np.random.default_rng(3)
+    rows = [
+        (i, " ".join(f"{i}.{j}" for j in range(int(rng.integers(1, 120)))), f"s{i % 9}")
+        for i in range(3000)
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    _, one = check(df, 256, 4)
+    monkeypatch.setattr(packing, "GROUP_ROWS", 100)
+    _, many = check(df, 256, 4)
+    assert len(many) <= 1.01 * len(one)
+
+
+def test_one_id_of_many_rows_is_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_ROWS", 50)
+    monkeypatch.setattr(packing, "REPEATS", 10)
+    seen = []
+    rows = [(None, f"a{i} b", "s") for i in range(300)] + [(7, "same text", "t")] * 300
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = packing.pack_documents(df, capacity=8, per_source=8).collect()
+    for r in got:
+        seen.append((r.doc_id, r.n_words))
+    assert sorted(seen, key=str) == sorted([(None, 2)] * 300 + [(7, 2)] * 300, key=str)
+    groups = {r.bin >> 32 for r in got if r.doc_id == 7 and r.bin >> 58 == 0}
+    assert len({r.bin for r in got if r.doc_id == 7}) == 300 and len(groups) > 4
