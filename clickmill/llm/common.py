@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -41,6 +41,14 @@ def prepare_session(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = f"{root}:{known}".rstrip(":")
 
 
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """``name``, with underscores before it until no column of ``taken`` has it."""
+    known = {c.lower() for c in taken}
+    while name.lower() in known:
+        name = f"_{name}"
+    return name
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write once below the shared folder and scan the written table from then on."""
     return write_table(df, name)

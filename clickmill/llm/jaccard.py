@@ -26,7 +26,8 @@ Defined results: null and empty texts and texts without words have the empty set
 with nothing; a text with fewer words than a shingle has its whole word sequence as its only
 shingle; a doc_id names one document, so rows that repeat it repeat its text, count as one
 node and are all returned; rows with a null doc_id are compared with nothing, have no
-shingles and a null component.
+shingles and a null component; very long texts are sets like any others; an empty table gives
+an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations

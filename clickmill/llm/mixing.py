@@ -12,7 +12,9 @@ agree. The boundary document is taken if that comes nearer to the target.
 
 Defined results: null and empty texts have size 0 and take nothing; the null source is a
 source like any other, last in order; documents with equal ids share a hash and are taken
-together; sources without words have target 0.
+together; sources without words have target 0; a source of which one very long document holds
+most can miss its target by up to half that document; an empty table gives no rows; other
+columns are passed over or kept whatever their names.
 """
 
 from __future__ import annotations
@@ -110,7 +112,7 @@ def _thresholds(rows: DataFrame, budgets: DataFrame) -> tuple[DataFrame, int]:
     return state.select("of", "cut", (F.col("size") < 2 * F.col("rest")).alias("edge")), shift
 
 
-def _sized(docs: DataFrame, *columns: str) -> DataFrame:
+def _sized(docs: DataFrame, *columns: str | Column) -> DataFrame:
     return docs.select(
         *columns, word_count("text").alias("_size"), _hash("doc_id").alias("_hash")
     )
@@ -151,14 +153,15 @@ def mix_sources(docs: DataFrame) -> DataFrame:
 
 
 def repeat_mixed(docs: DataFrame) -> DataFrame:
-    """The documents as often as the mix takes them, all columns kept.
+    """The documents as often as the mix takes them, all columns kept, whatever their names.
 
     Documents without words add nothing to a mix and go.
     """
     stored = store(_sized(docs, "source"), "mix-sizes")
-    mixed = _mixed(_sized(docs, *docs.columns), stored).filter("_size > 0 and _copies > 0")
+    rows = _sized(docs, F.struct("*").alias("_row"), "source")
+    mixed = _mixed(rows, stored).filter("_size > 0 and _copies > 0")
     again = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
-    return mixed.withColumn("_copy", again).select(*docs.columns)
+    return mixed.select("_row", again.alias("_copy")).select("_row.*")
 
 
 SQL = r"""

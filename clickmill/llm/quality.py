@@ -10,7 +10,8 @@ Defined results: null and empty texts have the statistics of a text without word
 scored like any other; documents without a label are scored only; a null label takes no
 part in training; a document labelled more than once counts once per label row. Without
 training rows of both classes every score is the share of label 1 (0.5 if there is no
-label). Extra columns are passed over or kept as asked.
+label). Very long texts are measured whole; rows that repeat a doc_id are each scored by their
+own text; an empty table gives an empty result. Extra columns are passed over or kept as asked.
 """
 
 from __future__ import annotations

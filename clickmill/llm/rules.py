@@ -7,9 +7,12 @@ fixed threshold turns into the verdict. Texts are scored whole, in Arrow batches
 At most ``max_rows`` labelled rows train the model (about; they are drawn by a hash of the
 document id), so training costs the same at any size. Everything else covers all rows.
 
-Defined results: null and empty texts have no words, so they fail the base rules. Without
-training rows of both labels the model has no say and the base rules alone decide. Extra
-columns are passed over or kept as asked.
+Defined results: null and empty texts have no words, so they fail the base rules. Very long
+texts are counted and scored whole. Rows that repeat a doc_id are each judged by their own
+text; in training each of them counts, with the larger label where labels differ. Without
+training rows of both labels the model has no say and the base rules alone decide. An empty
+table gives an empty result. Extra columns are passed over or kept as asked, whatever their
+names, but for the names of the results.
 """
 
 from __future__ import annotations
@@ -21,11 +24,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from clickmill.llm.common import bounded_broadcast, filter_texts, fold, list_column, store
+from pyspark.sql.types import DoubleType, StructField, StructType
+
+from clickmill.llm.common import (
+    bounded_broadcast,
+    filter_texts,
+    fold,
+    free_name,
+    list_column,
+    store,
+)
 from clickmill.llm.text import Texts, chunks, run_sums
 
 MIN_WORDS = 50
@@ -112,8 +123,20 @@ class RuleModel:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.margin(texts) + self.offset, -40, 40)))
 
 
+def _sparse_vectors(indices: list[np.ndarray], values: list[np.ndarray]) -> pa.Array:
+    """Sparse vectors of all buckets, as Spark ML stores them (kind 0)."""
+    n = len(indices)
+    columns = [
+        pa.array(np.zeros(n, dtype=np.int8)),
+        pa.array(np.full(n, BUCKETS, dtype=np.int32)),
+        list_column(indices, pa.int32()),
+        list_column(values, pa.float64()),
+    ]
+    return pa.StructArray.from_arrays(columns, ["type", "size", "indices", "values"])
+
+
 def _training_rows(docs: DataFrame, labels: DataFrame, held_out: Column, max_rows: int):
-    """Hashed features of the labelled rows drawn for training."""
+    """``doc_id``, ``label`` and hashed ``features`` of the labelled rows drawn for training."""
     known = labels.filter(F.col("quality").isin(0, 1) & ~held_out)
     known = known.groupBy("doc_id").agg(F.max("quality").cast("double").alias("label"))
     share = min(1.0, max_rows / max(known.count(), 1))
@@ -124,16 +147,13 @@ def _training_rows(docs: DataFrame, labels: DataFrame, held_out: Column, max_row
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in chunks(batch.column(2)):
-                indices, values = sparse_features(texts)
                 columns = [batch.column(i)[rows] for i in (0, 1)]
-                columns += [list_column(indices, pa.int32()), list_column(values, pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "at", "share"])
-
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, label double"
-    return rows.mapInArrow(compute, f"{schema}, at array<int>, share array<double>")
-
+                columns.append(_sparse_vectors(*sparse_features(texts)))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "features"])
 
-_sparse = F.udf(lambda at, share: Vectors.sparse(BUCKETS, at, share), VectorUDT())
+    names = {"doc_id": docs.schema["doc_id"].dataType, "label": DoubleType()}
+    names["features"] = VectorUDT()
+    return rows.mapInArrow(compute, StructType([StructField(*x) for x in names.items()]))
 
 
 def fit_rules(
@@ -145,7 +165,6 @@ def fit_rules(
     """Train on the labelled documents outside ``held_out``; one fold calibrates."""
     held_out = F.lit(False) if held_out is None else held_out
     rows = store(_training_rows(docs, labels, held_out, max_rows), "rule-features")
-    rows = rows.select("doc_id", "label", _sparse("at", "share").alias("features"))
     part = fold("doc_id", 5) == 4
     classes = {r["label"] for r in rows.filter(~part).select("label").distinct().collect()}
     if len(classes) < 2:
@@ -189,6 +208,7 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 def apply_rules(docs: DataFrame, model: RuleModel, keep: list[str]) -> DataFrame:
     """``keep``, the counts, ``base_failed``, ``kept`` and ``probability`` of every document."""
     n_keep = len(keep)
+    inner = free_name("text", keep)
     names = [*keep, *COUNTS, "base_failed", "kept", "probability"]
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,7 +226,7 @@ def apply_rules(docs: DataFrame, model: RuleModel, keep: list[str]) -> DataFrame
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.select(*keep).dtypes)
     schema += "".join(f", {c} long" for c in COUNTS)
     schema = f"{schema}, base_failed boolean, kept boolean, probability double".lstrip(", ")
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(compute, schema)
+    return docs.select(*keep, F.col("text").alias(inner)).mapInArrow(compute, schema)
 
 
 def keep_passed(docs: DataFrame, labels: DataFrame) -> DataFrame:

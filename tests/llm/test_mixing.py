@@ -95,6 +95,18 @@ def test_stage_repeats_rows_as_taken(sample):
     assert counts == {k: n for k, n in taken.items() if n}
 
 
+def test_stage_keeps_columns_named_like_inner_ones(sample):
+    from pyspark.sql import functions as F
+
+    names = ["_size", "_hash", "_copies", "_copy", "_source", "_row", "_target", "_cut", "size"]
+    clashing = sample.select("*", *(F.lit(n).alias(n) for n in names))
+    got = mixing.repeat_mixed(clashing)
+    assert got.columns == clashing.columns
+    assert {tuple(r[n] for n in names) for r in got.collect()} == {tuple(names)}
+    plain = mixing.repeat_mixed(sample)
+    assert got.drop(*names).exceptAll(plain).count() == 0 == plain.exceptAll(got.drop(*names)).count()
+
+
 def test_empty_table(no_docs):
     assert mixing.mix_sources(no_docs).collect() == []
     assert mixing.repeat_mixed(no_docs).collect() == []
