@@ -21,7 +21,8 @@ Defined results: null and empty pages, and pages without article text, give an e
 truncated tags and comments at the end are dropped; end tags without a start are ignored; a
 bare ``<`` is text. A page is the unit of work, whatever its length; tags and blocks are
 looked at once, however deep they are nested. Repeated rows are extracted each, an empty table
-gives no rows.
+gives no rows. Extra columns are passed over or kept as asked, whatever their names, but for
+``text`` and ``n_chars``.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickmill.llm.common import free_name
+
 # Paths whose fused ratio is above this many standard deviations carry content.
 THRESHOLD = 0.2
 _KERNEL = np.exp(-np.arange(-2, 3) ** 2 / 2.0)
@@ -535,6 +538,6 @@ def extract_pages(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, [*keep, "text"])
 
     schema = ", ".join(f"`{c}` {t}" for c, t in pages.select(*keep).dtypes)
-    rows = pages.select(*keep, F.col("html").alias("_html"))
+    rows = pages.select(*keep, F.col("html").alias(free_name("_html", keep)))
     found = rows.mapInArrow(compute, f"{schema}, text string")
     return found.withColumn("n_chars", F.length("text").cast("long"))

@@ -11,7 +11,8 @@ scored like any other; documents without a label are scored only; a null label t
 part in training; a document labelled more than once counts once per label row. Without
 training rows of both classes every score is the share of label 1 (0.5 if there is no
 label). Very long texts are measured whole; rows that repeat a doc_id are each scored by their
-own text; an empty table gives an empty result. Extra columns are passed over or kept as asked.
+own text; an empty table gives an empty result. Extra columns are passed over or kept as asked,
+whatever their names, but for those of the results.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from clickmill.llm.common import (
     bounded_broadcast,
     filter_texts,
     fold,
+    free_name,
     store,
     sum_arrays,
 )
@@ -149,7 +151,7 @@ def features(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
                 [*batch.columns[: len(keep)], array_column(x)], [*keep, "features"]
             )
 
-    asked = docs.select(*keep, F.col(text).alias("_text"))
+    asked = docs.select(*keep, F.col(text).alias(free_name("_text", keep)))
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.select(*keep).dtypes)
     return asked.mapInArrow(compute, f"{schema}, features array<double>")
 

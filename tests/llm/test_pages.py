@@ -213,6 +213,12 @@ def test_long_page_and_extra_columns(spark):
     assert sorted(r.n_chars for r in got) == [0, 6 * 200_000 - 1, 6 * 200_000 - 1]
 
 
+def test_kept_columns_named_like_inner_ones(spark):
+    df = spark.createDataFrame([("<p>x y</p>", "a", "b")], "html string, _html string, tag string")
+    got = pages.extract_pages(df, ["_html", "tag", "html"]).collect()
+    assert [tuple(r) for r in got] == [("a", "b", "<p>x y</p>", "x y", 3)]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert pages.extract_pages(df).collect() == []

@@ -63,11 +63,11 @@ def brute_scores(docs, labels, shrinkage=0.6, ridge=0.1):
     y = np.array([y for i, y in train if crc_fold(i) == 4])
     z = bins * quality.BIN
     a, b = 0.1, 0.0
-    step = 1 / (0.25 * (z @ z + len(z)) + 101)
+    steps = 1 / (0.5 * z @ z + 100), 1 / (0.5 * len(z) + 1)
     for _ in range(20_000):
         p = 1 / (1 + np.exp(-(a * z + b)))
-        a += step * (z @ (y - p) - 100 * (a - 0.1))
-        b += step * ((y - p).sum() - b)
+        a += steps[0] * (z @ (y - p) - 100 * (a - 0.1))
+        b += steps[1] * ((y - p).sum() - b)
     return {i: 1 / (1 + np.exp(-(a * difference(v) + b))) for i, v in x.items()}
 
 

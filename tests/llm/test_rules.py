@@ -94,7 +94,7 @@ def test_kept_columns_named_like_inner_ones(sample):
     kept = sample.selectExpr("doc_id", "text", "'a' as _text", "'b' as __text")
     got = rules.apply_rules(kept, rules.RuleModel(None), kept.columns).collect()
     check_counts(got)
-    assert {(r._text, r.__text) for r in got} == {("a", "b")}
+    assert {(r["_text"], r["__text"]) for r in got} == {("a", "b")}
 
 
 def test_rows_that_repeat_an_id_are_judged_by_their_own_text(spark, sample_labels):
