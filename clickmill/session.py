@@ -87,16 +87,20 @@ def intermediate_tables(spark: SparkSession) -> Iterator[None]:
                 )
 
 
-def _remember(table: str | DataFrame) -> None:
-    if _scopes:
-        _scopes[-1].append(table)
+def _remember(table: str | DataFrame, outlives: bool = False) -> None:
+    scopes = _scopes[:-1] if outlives else _scopes
+    if scopes:
+        scopes[-1].append(table)
 
 
-def write_table(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def write_table(
+    df: DataFrame, name: str, partition_by: str | None = None, outlives: bool = False
+) -> DataFrame:
     """Write ``df`` once below the shared folder and return a scan of the written table.
 
     The table survives lost executors and gives later steps column pruning,
-    pushed filters and real sizes, which a cached plan would not.
+    pushed filters and real sizes, which a cached plan would not. A table that ``outlives``
+    the innermost block of ``intermediate_tables`` goes with the block around it, if any.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/clickmill/{name}-{uuid.uuid4().hex}"
@@ -105,7 +109,7 @@ def write_table(df: DataFrame, name: str, partition_by: str | None = None) -> Da
         # Rows of one value meet in few tasks, so that they fill few files.
         writer = df.hint("rebalance", partition_by).write.partitionBy(partition_by)
     writer.parquet(path)
-    _remember(path)
+    _remember(path, outlives)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 

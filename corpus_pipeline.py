@@ -1,4 +1,10 @@
-"""Five-stage cleaning and packing of the document table; each stage reads the last one's rows."""
+"""Five-stage cleaning and packing of the document table; each stage reads the last one's rows.
+
+Defined results: rows with null or empty texts fail the quality rules and go; very long texts
+are read whole by every stage; rows that repeat a doc_id are judged each by their own text,
+and stay or go together in the join; extra columns are kept up to the last stage, whatever
+their names; an empty table passes through all stages without rows.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clickmill.llm import jaccard, mixing, packing, quality, rules
-from clickmill.llm.common import prepare_session, store
+from clickmill.llm.common import prepare_session
+from clickmill.session import intermediate_tables, write_table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -55,8 +62,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each written and read again."""
+    """All stages over the documents, each written and read again.
+
+    What a stage wrote for itself is deleted once its result is written; the results, and what
+    the last stage reads, go with the caller's block of ``intermediate_tables``.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with intermediate_tables(spark):
+            docs = write_table(stage(spark, docs, sf_dir), f"pipeline-{name}", outlives=True)
     return STAGES[-1][1](spark, docs, sf_dir)
