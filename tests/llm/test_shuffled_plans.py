@@ -62,3 +62,37 @@ def test_a_block_leaves_no_tables_behind(spark):
     before = set(glob.glob(f"{folder}/*"))
     rows(spark, "pipeline")
     assert set(glob.glob(f"{folder}/*")) == before
+
+
+def test_the_pipeline_keeps_only_stage_results_and_the_last_stage_tables(spark):
+    folder = os.path.join(shared_folder(spark), "clickmill")
+    before = set(glob.glob(f"{folder}/*"))
+    rows_out = corpus_pipeline.run(spark, SF_DIR).count()
+    made = {os.path.basename(p) for p in set(glob.glob(f"{folder}/*")) - before}
+    kept = {name for name, _ in corpus_pipeline.STAGES[:-1]}
+    assert {m.split("-")[1] for m in made if m.startswith("pipeline-")} == kept
+    assert all(m.startswith(("pipeline-", "packing")) for m in made)
+    assert rows_out > 0
+
+
+AWKWARD_NAMES = ["_size", "_hash", "_text", "rep", "component", "node", "n", "features", "_row"]
+
+
+def test_stages_handle_nulls_repeats_and_clashing_names(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    fields = docs.columns
+    odd = docs.limit(3).union(docs.limit(3))
+    odd = odd.union(docs.limit(2).withColumn("text", F.lit(None).cast("string")).select(fields))
+    odd = odd.union(docs.limit(2).withColumn("doc_id", F.lit(None).cast("long")).select(fields))
+    odd = odd.union(docs.limit(2).withColumn("source", F.lit(None).cast("string")).select(fields))
+    long_text = F.concat_ws(" ", F.expr("transform(sequence(1, 60000), i -> concat('w', i))"))
+    odd = odd.union(docs.limit(1).withColumn("text", long_text).select(fields))
+    rows_in = docs.union(odd).select("*", *(F.lit(x).alias(x) for x in AWKWARD_NAMES))
+    kept = rows_in
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = common.store(stage(spark, kept, SF_DIR), f"odd-{name}")
+        assert kept.columns == rows_in.columns
+        assert kept.filter("text is null or text = ''").count() == 0
+        got = kept.select(*AWKWARD_NAMES).distinct().collect()
+        assert [tuple(r) for r in got] == [tuple(AWKWARD_NAMES)]
+    assert corpus_pipeline.STAGES[-1][1](spark, kept, SF_DIR).count() > 0
