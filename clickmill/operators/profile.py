@@ -106,6 +106,37 @@ def category_counts(
     return counts
 
 
+def number_in_order(ordered: DataFrame, column: str = "column") -> DataFrame:
+    """Add ``rank``: the place of a row among those of its ``column`` as they come.
+
+    No task numbers a whole column: a row's place in its own task is in its id, and the
+    rows that the tasks before have of the column are added, from one count per task and
+    column.
+    """
+    # The high bits of the id are the task, the low 33 the row in it. Written once, so
+    # that the counts and the rows have the same ids.
+    come = materialize(
+        ordered.withColumn("_at", F.monotonically_increasing_id()), "ordered-rows"
+    )
+    task, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    rows = come.withColumns({"_task": task, "_place": place})
+    runs = rows.groupBy(column, "_task").agg(
+        F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows")
+    )
+    # One row per task and column.
+    before = Window.partitionBy(column).orderBy("_task").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    shifts = runs.select(
+        F.col(column).alias("_column"),
+        F.col("_task").alias("_of"),
+        (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
+    )
+    same = rows[column].eqNullSafe(shifts["_column"]) & (rows["_task"] == shifts["_of"])
+    rank = (F.col("_place") + F.col("_shift")).cast("int").alias("rank")
+    return rows.join(F.broadcast(shifts), same).select(*ordered.columns, rank)
+
+
 def value_rates(df: DataFrame, columns: Sequence[str] = CAT_COLS) -> DataFrame:
     """``(column, value, count, rate)``; the rate is a share of all rows."""
     # The counts of any one column add up to the rows, so the rows are not counted again.

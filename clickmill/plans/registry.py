@@ -132,10 +132,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     """Counts in order; ``rank`` numbers the rows of a column as they come."""
-    rows = profile.category_counts(clicks(spark, sf_dir), ordered=True)
-    come = rows.withColumn("at", F.monotonically_increasing_id())
-    rank = F.row_number().over(Window.partitionBy("column").orderBy("at"))
-    return come.withColumn("rank", rank).drop("at")
+    return profile.number_in_order(profile.category_counts(clicks(spark, sf_dir), ordered=True))
 
 
 @_query(

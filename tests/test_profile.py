@@ -194,3 +194,22 @@ def test_rounded_means(spark):
     frame = spark.createDataFrame([(1, -1), (2, -2)], "a int, b int")
     means = {r["column"]: r["mean"] for r in profile.numeric_means(frame, ["a", "b"], True).collect()}
     assert means == {"a": 2.0, "b": -2.0}
+
+
+def test_rows_are_numbered_without_a_task_for_each_column(spark):
+    rng = random.Random(5)
+    rows = [(c, f"v{n}", rng.randrange(9)) for c in ("C1", "C2", "C3") for n in range(200)]
+    frame = spark.createDataFrame(rows, "column string, value string, count bigint")
+    ordered = frame.repartitionByRange(7, "column", F.desc("count"), "value")
+    ordered = ordered.sortWithinPartitions("column", F.desc("count"), "value")
+    numbered = profile.number_in_order(ordered)
+    found = {(r["column"], r["value"]): r["rank"] for r in numbered.collect()}
+    for column_name in ("C1", "C2", "C3"):
+        own = sorted((-n, v) for c, v, n in rows if c == column_name)
+        assert [found[column_name, v] for _, v in own] == list(range(1, 201))
+    windows = [
+        line
+        for line in numbered._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        if "Window" in line
+    ]
+    assert not any("value" in line for line in windows)
