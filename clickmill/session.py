@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +51,22 @@ def shared_folder(spark: SparkSession) -> str:
 _local_folders: dict[str, str] = {}
 
 
+@contextmanager
+def configured(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Hold settings of the session for the jobs of a block."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def spread(df: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
     """Deal the rows of a scan out to ``tasks`` tasks; ``None`` leaves it as it is.
 

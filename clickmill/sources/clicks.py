@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickmill.schema import CLICK_SCHEMA
-from clickmill.session import spread
+from clickmill.session import configured, spread
 
 SEPARATOR = "\t"
 
@@ -53,17 +54,24 @@ def parse_lines(
     width = len(schema)
     fields = F.split(F.col(column), SEPARATOR, -1)
     wrong = F.format_string(f"expected {width} fields, found %d: %s", F.size(fields), F.col(column))
+    ansi = lines.sparkSession.conf.get("spark.sql.ansi.enabled") == "true"
     if validate:
         broken = F.concat(F.lit("malformed line: "), F.col(column))
-        sound = (F.size(fields) == width) & ~_malformed(fields, schema)
+        # A filter computes an expression wherever it is named: as the variable of a
+        # lambda the fields are split once a line, not once a test.
+        sound = F.exists(
+            F.array(fields), lambda own: (F.size(own) == width) & ~_malformed(own, schema)
+        )
         refused = F.when(F.size(fields) == width, F.raise_error(broken).cast("boolean"))
         refused = refused.otherwise(F.raise_error(wrong).cast("boolean"))
         lines = lines.where(F.when(sound, F.lit(True)).otherwise(refused))
-    checked = F.when(F.size(fields) == width, fields).otherwise(F.raise_error(wrong))
+    # Fields are a column of their own first, which the tests below read: a line is split once.
+    lines = lines.select(F.col(column), fields.alias("fields"))
+    fits = F.size("fields") == width
+    checked = F.when(fits, F.col("fields")).otherwise(F.raise_error(wrong))
     # Empty text turns null once for the whole array: the same test on every field
     # grows the generated method beyond what the JIT compiles (4x slower).
     cleaned = F.transform(checked, lambda text: F.nullif(text, F.lit("")))
-    ansi = lines.sparkSession.conf.get("spark.sql.ansi.enabled") == "true"
     return lines.select(cleaned.alias("fields")).select(
         *[
             _typed(F.col("fields")[position], field, ansi).alias(field.name)
@@ -160,7 +168,14 @@ def ingest_log(
     """
     kind = F.when(F.col("reason").isNull(), "rows").otherwise("rejects")
     marked = mark_rejects(lines, schema, column).withColumn("kind", kind)
-    marked.write.mode(mode).partitionBy("kind").parquet(path)
+    settings = {
+        # A task holds both files open; sorting its rows by kind first would spill them all.
+        "spark.sql.maxConcurrentOutputFileWriters": "2",
+        # No method that is too long for the JIT.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
+    }
+    with configured(lines.sparkSession, settings):
+        marked.write.mode(mode).partitionBy("kind").parquet(path)
     written = lines.sparkSession.read.schema(marked.schema).parquet(path)
     found = dict(written.groupBy("kind").agg(F.count(F.lit(1))).collect())
     n_rejects = found.get("rejects", 0)
@@ -188,7 +203,16 @@ def to_lines(df: DataFrame) -> DataFrame:
 
     A value that holds a tab or line break has no place in the format and fails the job.
     """
-    texts = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in df.columns]
+    texts: list[Column] = []
+    for is_text, run in groupby(df.schema, lambda field: isinstance(field.dataType, T.StringType)):
+        columns = [F.col(field.name) for field in run]
+        if is_text:
+            texts += [F.coalesce(column, F.lit("")) for column in columns]
+        else:
+            # Numbers go as one array: a projection with a lambda is compiled in small
+            # methods, otherwise all columns make one that is too long for the JIT.
+            numbers = F.array(*[column.cast("string") for column in columns])
+            texts.append(F.transform(numbers, lambda text: F.coalesce(text, F.lit(""))))
     tabs = F.length("value") - F.length(F.replace("value", F.lit(SEPARATOR), F.lit("")))
     breaks = F.contains("value", F.lit("\n")) | F.contains("value", F.lit("\r"))
     valid = (tabs == len(df.columns) - 1) & ~breaks

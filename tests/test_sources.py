@@ -1,6 +1,7 @@
 import gzip
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import types as T
 
 from clickmill.operators.profile import row_count
@@ -182,3 +183,45 @@ def test_ingest_reads_the_log_once(spark, tmp_path):
     assert found.rows.count() + found.rejects.count() == found.n_lines == len(LINES) + 1
     empty = ingest_log(frame(spark, []), str(tmp_path / "none"), SMALL)
     assert (empty.rows.count(), empty.rejects.count(), empty.n_lines) == (0, 0, 0)
+
+
+def optimized(rows):
+    return rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_validated_lines_are_split_once_a_line(spark):
+    rows = parse_lines(frame(spark, ["1\t2\t3\ta\tb"]), SMALL, validate=True)
+    test = next(line for line in optimized(rows).splitlines() if "Filter" in line)
+    # Only the message of a line that fails splits it again.
+    assert test[: test.index("raise_error")].count("split(") == 2
+    assert "x_" in test[test.index("lambdafunction") :].split("raise_error")[0]
+
+
+def test_plain_lines_are_split_once_a_line(spark):
+    plan = optimized(parse_lines(frame(spark, ["1\t2\t3\ta\tb"]), SMALL))
+    # The other place is the message of a line that fails.
+    assert plan.count("split(") <= 2
+    assert "size(split(" not in plan[: plan.index("raise_error")]
+
+
+def test_lines_of_numbers_are_made_in_small_methods(spark):
+    rows = spark.createDataFrame([(1, None, "a", 2.5, None)], "a int, b long, c string, d double, e string")
+    lines = to_lines(rows)
+    assert [row[0] for row in lines.collect()] == ["1\t\ta\t2.5\t"]
+    assert optimized(lines).count("transform(") == 2
+
+
+def test_ingest_writes_both_kinds_without_sorting(spark, tmp_path, monkeypatch):
+    seen = []
+    write = DataFrameWriter.parquet
+
+    def noted(self, *args, **options):
+        seen.append(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"))
+        return write(self, *args, **options)
+
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    found = ingest_log(frame(spark, [*LINES, *BROKEN]), str(tmp_path / "log"), SMALL)
+    assert seen == ["2"]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    assert (found.n_lines, found.n_rejects) == (len(LINES) + len(BROKEN), len(BROKEN))
