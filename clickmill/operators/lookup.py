@@ -85,6 +85,42 @@ def broadcast_lookup(
     )
 
 
+def shuffled_lookup(
+    dataset: DataFrame,
+    name: str,
+    table: DataFrame,
+    entry: str,
+    target: str,
+    missing: Column,
+    of_null: Column,
+    hot: DataFrame,
+) -> DataFrame:
+    """``dataset`` with ``target``, from a table of one column too large to broadcast.
+
+    Rows meet their entry in one shuffle, and nothing else is shuffled or written: null has
+    a constant, hot values find theirs in a broadcast table, and neither is a key of it.
+    """
+    value, found = free_name(dataset, "_value"), free_name(dataset, "_found")
+    columns = [column for column in dataset.columns if column != target]
+    entries = table.where((F.col("column") == name) & F.col("value").isNotNull()).select(
+        F.col("value").alias(value), F.col(entry).alias(found)
+    )
+    known = materialize(
+        hot.select(F.col("value").alias(value))
+        .where(F.col(value).isNotNull())
+        .join(entries, value, "left")
+        .withColumn(found, F.coalesce(found, missing)),
+        "hot-entries",
+    )
+    rows = dataset.select(*columns, text_value(dataset, name).alias(value))
+    marked = rows.join(F.broadcast(known), value, "left")
+    warm = marked.where(F.col(value).isNull() | F.col(found).isNotNull())
+    cold = marked.where(F.col(value).isNotNull() & F.col(found).isNull()).drop(found)
+    entry_of = F.when(F.col(value).isNull(), of_null).otherwise(F.coalesce(found, missing))
+    answers = [*columns, entry_of.alias(target)]
+    return warm.select(*answers).unionAll(cold.join(entries, value, "left").select(*answers))
+
+
 def split_lookup(
     dataset: DataFrame,
     names: Sequence[str],
@@ -178,7 +214,14 @@ def lookup_values(
             if name in found and found[name]["of_null"] is not None
         }
         hot = hot_values(dataset, split, entry_bytes=entry_bytes)
-        dataset = split_lookup(dataset, split, table, entry, target, missing, of_null, hot)
+        if len(split) == 1:
+            (name,) = split
+            null_entry = of_null.get(name, missing)
+            dataset = shuffled_lookup(
+                dataset, name, table, entry, target(name), missing, null_entry, hot
+            )
+        else:
+            dataset = split_lookup(dataset, split, table, entry, target, missing, of_null, hot)
     targets = [target(name) for name in names]
     kept = [name for name in dataset.columns if name not in targets]
     return dataset.select(*[dataset[name] for name in kept], *targets)
