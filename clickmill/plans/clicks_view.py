@@ -5,6 +5,8 @@ The same select runs in Spark and in ANSI SQL engines, but for the spelling of `
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 
 from clickmill.schema import CAT_COLS, INT_COLS, LABEL
@@ -109,11 +111,22 @@ def clicks_sql() -> str:
     return f"with clicks as (select {', '.join(clicks_select('duckdb'))} from lineitem)"
 
 
+# Rows of the log that one task of a dealt-out table gets at most, about. All 26 categories
+# of so many rows are counted in a quarter of a GB.
+ROWS_PER_TASK = 500_000
+
+
 def read_spread(spark: SparkSession, path: str, *keys: str) -> DataFrame:
-    """A table, dealt out to all cores if it is a single file, which may be a single task."""
+    """A table, dealt out to all cores if it is a single file, which may be a single task.
+
+    Large ones are dealt out to more tasks than there are cores, so that no task grows with
+    the table. Rows are counted from the footer of the file.
+    """
     rows = spark.read.parquet(path)
-    single = len(rows.inputFiles()) == 1
-    return spread(rows, spark.sparkContext.defaultParallelism if single else None, *keys)
+    if len(rows.inputFiles()) != 1:
+        return rows
+    tasks = math.ceil(rows.count() / ROWS_PER_TASK)
+    return spread(rows, max(tasks, spark.sparkContext.defaultParallelism), *keys)
 
 
 def clicks_with_keys(spark: SparkSession, sf_dir: str) -> DataFrame:

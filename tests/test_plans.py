@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry_point
 from clickmill import session
 from clickmill.operators.split import write_splits
-from clickmill.plans import workflow
+from clickmill.plans import clicks_view, workflow
 from clickmill.schema import CAT_COLS, INT_COLS
 from clickmill.session import intermediate_tables, materialize, shared_folder
 from clickmill.sources import read_lines
@@ -108,3 +108,13 @@ def test_without_a_shared_folder_rows_are_cached(spark, monkeypatch):
         assert table.is_cached and table.inputFiles() == []
         assert entry_point.queries()["roc_auc"](spark, "/root/testdata/sf0.001").count() == 1
     assert not table.is_cached
+
+
+def test_a_large_file_is_dealt_out_by_its_rows(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "rows.parquet")
+    spark.range(1000).coalesce(1).write.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    assert clicks_view.read_spread(spark, path, "id").rdd.getNumPartitions() == cores
+    monkeypatch.setattr(clicks_view, "ROWS_PER_TASK", 50)
+    dealt = clicks_view.read_spread(spark, path, "id")
+    assert dealt.rdd.getNumPartitions() == 20 and dealt.distinct().count() == 1000
