@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StringIndexer, StringIndexerModel
@@ -23,19 +25,31 @@ RF_TREES = 3
 RF_DEPTH = 2
 RF_SEED = 0
 
+# Rows of a training task: about 90 MB as a forest keeps them, with 15 features.
+TRAINING_ROWS_PER_TASK = 500_000
+
 
 def index_labels(df: DataFrame, label: str = LABEL) -> StringIndexerModel:
     """Label index by falling frequency, ties by label; for ``label`` -> ``indexed``."""
     return StringIndexer(inputCol=label, outputCol=INDEXED).fit(df)
 
 
+def _dealt(features: DataFrame) -> DataFrame:
+    """Training rows in tasks that do not grow with them: training keeps its tasks' rows in
+    memory and reads them once a pass. Few rows stay as they are."""
+    tasks = math.ceil(features.count() / TRAINING_ROWS_PER_TASK)
+    if tasks <= features.sparkSession.sparkContext.defaultParallelism:
+        return features
+    return features.repartition(tasks)
+
+
 def train_lr(
     features: DataFrame, max_iter: int = LR_MAX_ITER, reg_param: float = LR_REG_PARAM
 ) -> PipelineModel:
     estimator = LogisticRegression(
         featuresCol=FEATURES, labelCol=LABEL, maxIter=max_iter, regParam=reg_param
     )
-    return PipelineModel([estimator.fit(features)])
+    return PipelineModel([estimator.fit(_dealt(features))])
 
 
 def train_rf(
@@ -69,7 +83,7 @@ def train_rf(
         bootstrap=bootstrap,
         featureSubsetStrategy="sqrt" if trees > 1 else "all",
     )
-    forest = estimator.fit(indexer.transform(features))
+    forest = estimator.fit(indexer.transform(_dealt(features)))
     # Scoring must not fail on or drop a row whose label training never saw.
     return PipelineModel([indexer.setHandleInvalid("keep"), forest])
 

@@ -126,3 +126,11 @@ def test_preview_is_limited(noisy):
     scored = model.score(model.train_lr(noisy[2]), noisy[2])
     assert model.preview(scored).count() == 100
     assert model.preview(scored, 3).columns == ["features", "label", "prediction", "probability"]
+
+
+def test_many_training_rows_are_dealt_out_to_more_tasks(spark, monkeypatch):
+    rows = spark.range(90).coalesce(2)
+    assert model._dealt(rows) is rows
+    monkeypatch.setattr(model, "TRAINING_ROWS_PER_TASK", 10)
+    dealt = model._dealt(rows)
+    assert dealt.rdd.getNumPartitions() == 9 and dealt.distinct().count() == 90
