@@ -24,15 +24,19 @@ from pyspark.sql import functions as F
 from clickmill.functions import md5_uniform, rate_column
 from clickmill.operators.encode import FEATURES
 from clickmill.operators.evaluate import roc_auc
-from clickmill.operators.lookup import ENTRY_BYTES, lookup_values
-from clickmill.operators.model import score, train_lr
+from clickmill.operators.lookup import ENTRY_BYTES, free_name, lookup_values
+from clickmill.operators.model import TRAINING_ROWS_PER_TASK, score, train_lr
 from clickmill.operators.profile import _groups, _name_at, _stacked
 from clickmill.operators.split import row_key
 from clickmill.schema import ENCODED_CAT_COLS, INT_COLS, LABEL
-from clickmill.session import materialize
+from clickmill.session import files_per_task, materialize, write_parts
 
 FOLD = "fold"
 
+# Encoded rows of one fold in a file, and files that a training task reads.
+ROWS_PER_FILE = 100_000
+FILES_PER_TASK = TRAINING_ROWS_PER_TASK // ROWS_PER_FILE
+
 
 def with_folds(
     df: DataFrame, folds: int = 5, key: Column | None = None, salt: str = ""
@@ -144,6 +148,14 @@ def _subtracted(parts: list) -> NumberStats:
     return stats
 
 
+def rates_column(name: str) -> str:
+    return f"{rate_column(name)}s"
+
+
+def _rate_in_array(name: str, fold: int) -> Column:
+    return F.col(rates_column(name))[fold]
+
+
 @dataclass
 class FoldEncoding:
     """The encodings of all training sets."""
@@ -169,11 +181,14 @@ class FoldEncoding:
             **options,
         )
 
-    def features(self, fold: int) -> Column:
+    def features(
+        self, fold: int, rate: Callable[[str, int], Column] = _rate_in_array
+    ) -> Column:
         """Scaled features of an encoded row under the encoding without ``fold``.
 
         Nulls of integers become the mean cut to an integer; all features are scaled by the
-        bounds of the training set, constant ones to 0.5.
+        bounds of the training set, constant ones to 0.5. ``rate`` finds the rate of a
+        column under an encoding.
         """
         scaled = []
         for name in self.int_columns:
@@ -187,15 +202,11 @@ class FoldEncoding:
             value = F.coalesce(F.col(name), F.lit(fill)).cast("double")
             scaled.append(_min_max(value, float(low), float(high)))
         for name in self.cat_columns:
-            value = F.col(rates_column(name))[fold]
+            value = rate(name, fold)
             scaled.append(_min_max(value, *self.rate_bounds[name][fold]))
         return array_to_vector(F.array(*scaled))
 
 
-def rates_column(name: str) -> str:
-    return f"{rate_column(name)}s"
-
-
 def _min_max(value: Column, low: float, high: float) -> Column:
     return (value - low) / (high - low) if high > low else F.lit(0.5)
 
@@ -240,21 +251,36 @@ def cross_validate(
 ) -> DataFrame:
     """Every row scored by the model of the other folds: ``df`` with ``fold`` and ``score``.
 
-    Rows are encoded once for all folds and read once per model. A fold whose training set
-    is empty fails, as no model can be fitted.
+    Rows are encoded once for all folds, into files by fold with a column per rate: a
+    model's passes read the numbers of its own encoding, and a row is read for its score
+    once. A fold whose training set is empty fails, as no model can be fitted.
     """
+    spark = df.sparkSession
     marked = materialize(with_folds(df, folds, key, salt), "folds")
     encoding = fit_folds(marked, folds, int_columns, cat_columns)
-    encoded = materialize(encoding.encode(marked), "fold-rates")
+    prefix = free_name(marked, "_rate")
+
+    def rate(name: str, fold: int) -> Column:
+        return F.col(f"{prefix}_{fold}_{name}")
+
+    rates = [
+        _rate_in_array(name, fold).alias(f"{prefix}_{fold}_{name}")
+        for fold in range(folds)
+        for name in cat_columns
+    ]
+    encoded = write_parts(
+        encoding.encode(marked).select(*marked.columns, *rates),
+        "fold-rates", FOLD, folds, ROWS_PER_FILE,
+    )
     scored = []
     for fold in range(folds):
         if not encoding.sizes[fold]:
             continue
-        features = encoded.withColumn(FEATURES, encoding.features(fold)).withColumn(
+        features = encoded.withColumn(FEATURES, encoding.features(fold, rate)).withColumn(
             LABEL, F.col(label).cast("double")
         )
-        others = materialize(features.where(F.col(FOLD) != fold).select(LABEL, FEATURES), "train")
-        fitted = train(others)
+        with files_per_task(spark, FILES_PER_TASK):
+            fitted = train(features.where(F.col(FOLD) != fold).select(LABEL, FEATURES))
         held_out = features.where(F.col(FOLD) == fold)
         scored.append(score(fitted, held_out).select(*marked.columns, "score"))
     result = scored[0]

@@ -36,10 +36,13 @@ def index_labels(df: DataFrame, label: str = LABEL) -> StringIndexerModel:
 
 def _dealt(features: DataFrame) -> DataFrame:
     """Training rows in tasks that do not grow with them: training keeps its tasks' rows in
-    memory and reads them once a pass. Few rows stay as they are."""
+    memory and reads them once a pass. Few rows stay as they are, and so do rows that come
+    in enough tasks."""
     tasks = math.ceil(features.count() / TRAINING_ROWS_PER_TASK)
     if tasks <= features.sparkSession.sparkContext.defaultParallelism:
         return features
+    if tasks <= features.rdd.getNumPartitions():
+        return features
     return features.repartition(tasks)
 
 

@@ -1064,7 +1064,8 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Areas per fold of the logistic regression on all features, with its real parameters."""
     rows = clicks_with_keys(spark, sf_dir).select(*KEYS, LABEL, *INT_COLS, *ENCODED_CAT_COLS)
-    scored = materialize(crossval.cross_validate(rows, _FOLDS, key=_fold_key()), "scored")
+    scored = crossval.cross_validate(rows, _FOLDS, key=_fold_key())
+    scored = materialize(scored.select(LABEL, crossval.FOLD, "score"), "scored")
     return crossval.fold_areas(scored, _FOLDS)
 
 

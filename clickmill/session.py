@@ -67,6 +67,21 @@ def configured(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[Non
                 spark.conf.set(key, value)
 
 
+@contextmanager
+def files_per_task(spark: SparkSession, files: int) -> Iterator[None]:
+    """Scans that run in the block read up to so many files a task, whatever their size.
+
+    Fewer where the files would not fill all cores.
+    """
+    file_weight = 1 << 40
+    settings = {
+        "spark.sql.files.openCostInBytes": str(file_weight),
+        "spark.sql.files.maxPartitionBytes": str(files * file_weight),
+    }
+    with configured(spark, settings):
+        yield
+
+
 def spread(df: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
     """Deal the rows of a scan out to ``tasks`` tasks; ``None`` leaves it as it is.
 
@@ -103,6 +118,27 @@ def intermediate_tables(spark: SparkSession) -> Iterator[None]:
                 )
 
 
+def write_parts(df: DataFrame, name: str, part: str, parts: int, rows_per_file: int) -> DataFrame:
+    """``materialize`` in a folder for each value of ``part``, so that a scan of some values
+    reads no others.
+
+    Tasks write their values side by side, ``parts`` of them, without sorting or shuffling
+    rows, in files of at most ``rows_per_file`` rows.
+    """
+    spark = df.sparkSession
+    if not has_shared_folder(spark):
+        return materialize(df, name)
+    settings = {
+        "spark.sql.maxConcurrentOutputFileWriters": str(parts + 1),
+        "spark.sql.files.maxRecordsPerFile": str(rows_per_file),
+    }
+    path = f"{shared_folder(spark)}/clickmill/{name}-{uuid.uuid4().hex}"
+    with configured(spark, settings):
+        df.write.partitionBy(part).parquet(path)
+    _remember(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
 def _remember(table: str | DataFrame, outlives: bool = False) -> None:
     scopes = _scopes[:-1] if outlives else _scopes
     if scopes:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from clickmill.operators import crossval, encode
+from clickmill.operators import crossval, encode, model
 from clickmill.operators.model import train_lr
 
 FOLDS = 4
@@ -87,3 +87,30 @@ def test_folds_without_rows_or_values(spark):
     assert encoding.rate_bounds["C1"][0] == (0.0, 0.0)
     got = encoding.encode(df).select(vector_to_array(encoding.features(1)).alias("f")).collect()
     assert len(got) == 2
+
+
+def test_training_rows_come_in_bounded_tasks_and_only_scores_are_written_again(spark, monkeypatch):
+    monkeypatch.setattr(model, "TRAINING_ROWS_PER_TASK", 50)
+    monkeypatch.setattr(crossval, "ROWS_PER_FILE", 10, raising=False)
+    monkeypatch.setattr(crossval, "FILES_PER_TASK", 5, raising=False)
+    df = spark.createDataFrame(rows(random.Random(2), 1000), "id int, label int, I1 int, C1 string, C2 string")
+    largest, shuffled = [], []
+
+    def train(features):
+        sizes = features.groupBy(F.spark_partition_id()).count().collect()
+        largest.append(max(r["count"] for r in sizes))
+        shuffled.append(model._dealt(features) is not features)
+        return train_lr(features)
+
+    scored = crossval.cross_validate(
+        df, FOLDS, train, ["I1"], ["C1", "C2"], key=F.col("id").cast("string")
+    )
+    assert scored.count() == 1000
+    assert max(largest) <= 50 and not any(shuffled)
+
+
+def test_rows_without_a_key_are_in_no_fold(spark):
+    df = spark.createDataFrame(rows(random.Random(3)), "id int, label int, I1 int, C1 string, C2 string")
+    key = F.when(F.col("id") % 10 != 0, F.col("id").cast("string"))
+    scored = crossval.cross_validate(df, FOLDS, train_lr, ["I1"], ["C1"], key=key)
+    assert sorted(r["id"] for r in scored.collect()) == [i for i in range(400) if i % 10]
