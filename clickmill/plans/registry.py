@@ -1232,10 +1232,10 @@ def _(spark, sf_dir):
 
 
 def _trained(
-    spark: SparkSession, sf_dir: str, models: tuple[str, ...], evaluated: bool = True
+    spark: SparkSession, sf_dir: str, models: tuple[str, ...], evaluated: bool = True, **options
 ) -> workflow.Run:
     train, test = _train_rows(clicks_with_keys(spark, sf_dir))
-    return workflow.run(train, test, models, dataset_name="test", evaluated=evaluated)
+    return workflow.run(train, test, models, dataset_name="test", evaluated=evaluated, **options)
 
 
 def _plain(predictions: DataFrame) -> DataFrame:
@@ -1436,10 +1436,10 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     """Areas of both real models against Spark's own evaluator and the closed form."""
-    run = _trained(spark, sf_dir, ("lr", "rf"))
+    run = _trained(spark, sf_dir, ("lr", "rf"), scores_kept=True)
     checks = None
     for short in ("lr", "rf"):
-        scored = run.predictions[short]
+        scored = run.scores[short]
         theirs = BinaryClassificationEvaluator(
             rawPredictionCol="score", labelCol=LABEL, numBins=0
         ).evaluate(scored)

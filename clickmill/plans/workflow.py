@@ -29,6 +29,7 @@ class Run:
     encoding: PipelineModel
     models: dict[str, PipelineModel] = field(default_factory=dict)
     predictions: dict[str, DataFrame] = field(default_factory=dict)
+    scores: dict[str, DataFrame] = field(default_factory=dict)
     evaluations: dict[str, Evaluation] = field(default_factory=dict)
 
 
@@ -41,12 +42,15 @@ def run(
     impute: str = "truncate",
     dataset_name: str = "",
     evaluated: bool = True,
+    scores_kept: bool = False,
 ) -> Run:
     """Encode, train the named models and evaluate each on ``test``.
 
     The columns used and the encoded training rows are computed once: the fit and every
     model read them several times. Without
-    ``evaluated`` no row of ``test`` is read before its predictions are asked for.
+    ``evaluated`` no row of ``test`` is read before its predictions are asked for. With
+    ``scores_kept`` labels, predictions and scores of every model are computed once for all
+    their readers, the evaluation among them.
     """
     used = [LABEL, *int_columns, *cat_columns]
     train = materialize(train.select(*used), "train")
@@ -63,6 +67,9 @@ def run(
         result.predictions[short] = scored.select(
             FEATURES, LABEL, "prediction", "probability", "score"
         )
+        result.scores[short] = scored.select(LABEL, "prediction", "score")
+        if scores_kept:
+            scored = result.scores[short] = materialize(result.scores[short], "scores")
         if evaluated:
             result.evaluations[short] = evaluate(scored, MODEL_NAMES[short], dataset_name)
     return result

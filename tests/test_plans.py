@@ -84,6 +84,20 @@ def test_log_to_evaluation(spark, tmp_path):
         workflow.run_mode(spark, root, "other")
 
 
+def test_kept_scores_are_computed_once_for_all_readers(spark):
+    rng = random.Random(8)
+    rows = [(i % 2, rng.randrange(20) + 5 * (i % 2), rng.choice("ab")) for i in range(400)]
+    df = spark.createDataFrame(rows, "label int, I1 long, C1 string")
+    run = workflow.run(df, df, ("rf",), ["I1"], ["C1"], scores_kept=True)
+    kept = run.scores["rf"]
+    assert all("/scores-" in path for path in kept.inputFiles()) and kept.inputFiles()
+    again = run.predictions["rf"].select(*kept.columns)
+    assert sorted(kept.collect()) == sorted(again.collect())
+    said = run.evaluations["rf"].summary.first()
+    assert (said["rows"], said["positives"]) == (400, 200)
+    assert said["auc"] > 0.5
+
+
 def test_intermediate_tables_go_to_the_configured_folder(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark) == configured
