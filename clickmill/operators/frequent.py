@@ -15,9 +15,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickmill.functions import text_value
 from clickmill.operators.profile import (
     _name_at,
     _ranked,
@@ -42,18 +43,34 @@ def most_missed(rows: int, tracked: int = TRACKED) -> int:
     return math.floor(2 * _ERROR_TIMES_TRACKED * rows / tracked)
 
 
-def summaries(df: DataFrame, columns: Sequence[str], tracked: int = TRACKED) -> DataFrame:
+def _hash(value: Column) -> Column:
+    """Number of a text; null stays null."""
+    return F.when(value.isNotNull(), F.xxhash64(value))
+
+
+def summaries(
+    df: DataFrame, columns: Sequence[str], tracked: int = TRACKED, hashed: bool = False
+) -> DataFrame:
     """``(position, rows, state)``: one summary per column, null being a value.
 
+    Of the texts, or of their hashes, which are cheaper to track.
+
     Summaries have a bounded number of values, however many there are. They are merged in
-    two steps, so that no task reads those of all tasks.
+    two steps, so that no task reads those of all tasks. The columns are reduced side by side:
+    stacked below each other, every value would be a row that looks for its summary.
     """
-    part = F.pmod(F.spark_partition_id(), F.lit(MERGE_PARTS))
-    parts = _stacked(df, columns).withColumn("part", part).groupBy("position", "part").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.expr(f"approx_top_k_accumulate(value, {int(tracked)})").alias("state"),
+    part = F.pmod(F.spark_partition_id(), F.lit(MERGE_PARTS)).alias("part")
+    texts = [text_value(df, name) for name in columns]
+    values = df.select(
+        *[(_hash(text) if hashed else text).alias(f"v{at}") for at, text in enumerate(texts)]
     )
-    return parts.groupBy("position").agg(
+    states = [
+        F.expr(f"approx_top_k_accumulate({name}, {int(tracked)})").alias(name)
+        for name in values.columns
+    ]
+    parts = values.groupBy(part).agg(F.count(F.lit(1)).alias("rows"), *states)
+    stacked = parts.select("rows", F.posexplode(F.array(*values.columns)).alias("position", "state"))
+    return stacked.groupBy("position").agg(
         F.sum("rows").alias("rows"),
         F.expr("approx_top_k_combine(state)").alias("state"),
     )
@@ -96,18 +113,32 @@ def _recounted(
 ) -> DataFrame:
     """``(position, value, named, count)``: exact counts of named values, and of all others.
 
-    Named values are few: at most a fixed number per column is sent to every task.
+    Values are named by their text or their ``hash``; all texts of a named hash are named.
+    Named values are few: at most a fixed number per column is sent to every task. Only the
+    columns at ``positions`` are read.
     """
+    if "hash" not in named.columns:
+        named = named.withColumn("hash", _hash(F.col("value")))
+    at = F.array(*map(F.lit, positions))
     kept = named.where(F.col("position").isin(positions)).select(
-        F.col("position").alias("_position"), F.col("value").alias("_value"),
-        F.lit(True).alias("_named"),
-    )
-    rows = _stacked(df, columns).where(F.col("position").isin(positions))
-    same = (F.col("position") == F.col("_position")) & F.col("value").eqNullSafe(F.col("_value"))
-    found = rows.join(F.broadcast(kept), same, "left").select(
-        "position", F.col("_value").alias("value"), F.col("_named").isNotNull().alias("named")
+        (F.array_position(at, F.col("position")) - 1).cast("int").alias("_position"),
+        F.col("hash").alias("_hash"),
+    )
+    # Looked up by one number for position and hash, and both compared where it is found; as
+    # conditions that are no keys, or the lookup would be by three columns.
+    kept = kept.withColumn("_key", F.xxhash64("_position", "_hash"))
+    rows = _stacked(df, [columns[position] for position in positions])
+    rows = rows.withColumn("hash", _hash(F.col("value")))
+    same = F.col("_hash") == F.col("hash")
+    same = F.coalesce(same, F.col("_hash").isNull() & F.col("hash").isNull())
+    same &= F.col("position").between(F.col("_position"), F.col("_position"))
+    same &= F.xxhash64("position", "hash") == F.col("_key")
+    found = rows.join(F.broadcast(kept), same, "left")
+    found = found.withColumn("named", F.col("_key").isNotNull()).select(
+        "position", F.when(F.col("named"), F.col("value")).alias("value"), "named"
     )
-    return found.groupBy("position", "value", "named").agg(F.count(F.lit(1)).alias("count"))
+    counts = found.groupBy("position", "value", "named").agg(F.count(F.lit(1)).alias("count"))
+    return counts.withColumn("position", at[F.col("position")])
 
 
 def frequent_categories(
@@ -128,7 +159,10 @@ def frequent_categories(
     columns = list(columns)
     most = 4 * n
     tracked = max(tracked, most)
-    named = materialize(named_values(summaries(df, columns, tracked), most), "named-values")
+    # A value can have no more rows than its hash, so what is left out has the same bound.
+    merged = summaries(df, columns, tracked, hashed=True)
+    named = named_values(merged, most).withColumnRenamed("value", "hash")
+    named = materialize(named, "named-values")
     promising = _promising(named, n, most, tracked)
     proven: list[int] = []
     if promising:
@@ -141,7 +175,8 @@ def frequent_categories(
         own = counts.where(F.col("position").isin(proven)).withColumn("column", _name_at(columns))
         totals = own.groupBy("column").agg(F.sum("count").alias("total"))
         candidates = own.where("named").select("column", "value", "count")
-        parts.append(_with_rest(_ranked(candidates, n, "column"), totals, n))
+        candidates = candidates.join(F.broadcast(totals), "column")
+        parts.append(_with_rest(_ranked(candidates, n, "column"), n))
     rest = [name for at, name in enumerate(columns) if at not in proven]
     if rest:
         parts.append(top_categories(category_counts(df, rest), n))

@@ -30,6 +30,8 @@ MOMENT_GROUP = 7
 BOUNDS_GROUP = 45
 # Parts of a column that its most frequent values are first ranked in.
 TOP_PARTS = 64
+# Parts of a column whose largest counts bound the counts that are ranked.
+BOUND_PARTS = 1024
 
 
 def _groups(columns: Sequence[str], size: int) -> list[list[str]]:
@@ -95,11 +97,16 @@ def category_counts(
     df: DataFrame, columns: Sequence[str] = CAT_COLS, ordered: bool = False
 ) -> DataFrame:
     """``(column, value, count)`` for all columns in one shuffle; null is a value."""
+    stacked = _stacked(df, columns)
+    kind = stacked.schema["value"].dataType
+    if kind == T.StringType():
+        # Equal texts have equal bytes, and most values are new to a task: as bytes they skip
+        # the small table for few groups that Spark tries before the large one.
+        stacked = stacked.withColumn("value", F.col("value").cast("binary"))
     counts = (
-        _stacked(df, columns)
-        .groupBy("position", "value")
+        stacked.groupBy("position", "value")
         .agg(F.count(F.lit(1)).alias("count"))
-        .select(_name_at(list(columns)), "value", "count")
+        .select(_name_at(list(columns)), F.col("value").cast(kind).alias("value"), "count")
     )
     if ordered:
         return counts.orderBy("column", F.desc("count"), F.asc_nulls_last("value"))
@@ -154,14 +161,32 @@ def top_categories(counts: DataFrame, n: int = 10) -> DataFrame:
     """
     if n < 1:
         raise ValueError("n must be at least 1")
-    # Ranked in parts of a column first, so that no task sorts all its values; the final
-    # rank sees n values of each part. For small n, Spark cuts every task to n rows of a
-    # part before the shuffle.
+    # Most values of a column with many are out before anything is sorted.
+    bounded = counts.join(F.broadcast(_bounds(counts, n)), "column")
+    promising = bounded.where(F.col("count") >= F.col("least")).drop("least")
+    # Ties can be many. Ranked in parts of a column first, so that no task sorts all its
+    # values; the final rank sees n values of each part. For small n, Spark cuts every task
+    # to n rows of a part before the shuffle.
     part = F.pmod(F.xxhash64("value"), F.lit(TOP_PARTS)).cast("int")
-    best = _ranked(counts.withColumn("part", part), n, "column", "part").drop("part", "rank")
-    # One row per column.
-    totals = counts.groupBy("column").agg(F.sum("count").alias("total"))
-    return _with_rest(_ranked(best, n, "column"), totals, n)
+    best = _ranked(promising.withColumn("part", part), n, "column", "part").drop("part", "rank")
+    return _with_rest(_ranked(best, n, "column"), n)
+
+
+def _bounds(counts: DataFrame, n: int) -> DataFrame:
+    """``(column, total, least)``: one row per column with a count that ``n`` values reach.
+
+    The largest count of each of many parts of a column belongs to another value, so the
+    n-th largest of them is reached by n values, and only those can be among the first n.
+    It is 0 where fewer parts have values.
+    """
+    part = F.pmod(F.xxhash64("value"), F.lit(max(BOUND_PARTS, 4 * n))).alias("part")
+    parts = counts.groupBy("column", part).agg(
+        F.max("count").alias("best"), F.sum("count").alias("total")
+    )
+    nth = F.get(F.sort_array(F.collect_list("best"), asc=False), F.lit(n - 1))
+    return parts.groupBy("column").agg(
+        F.sum("total").alias("total"), F.coalesce(nth, F.lit(0)).alias("least")
+    )
 
 
 def _ranked(counts: DataFrame, n: int, *keys: str) -> DataFrame:
@@ -170,8 +195,8 @@ def _ranked(counts: DataFrame, n: int, *keys: str) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(by_count)).where(F.col("rank") <= n)
 
 
-def _with_rest(top: DataFrame, totals: DataFrame, n: int) -> DataFrame:
-    """Ranked values and a row for the rest, by the ``total`` of each column."""
+def _with_rest(top: DataFrame, n: int) -> DataFrame:
+    """Ranked values with the ``total`` of their column, and a row for the rest."""
     top = top.withColumn("top_count", F.sum("count").over(Window.partitionBy("column")))
     kept = F.struct("rank", "value", "count", F.lit(False).alias("is_other"))
     rest = F.struct(
@@ -181,7 +206,7 @@ def _with_rest(top: DataFrame, totals: DataFrame, n: int) -> DataFrame:
         F.lit(True).alias("is_other"),
     )
     rows = F.when(F.col("rank") == 1, F.array(kept, rest)).otherwise(F.array(kept))
-    return top.join(totals, "column").select("column", F.inline(rows))
+    return top.select("column", F.inline(rows))
 
 
 def numeric_means(

@@ -98,3 +98,34 @@ def test_empty_table(spark):
     assert frequent.frequent_categories(df, ["C1"], 3).collect() == []
     with pytest.raises(ValueError):
         frequent.frequent_categories(df, ["C1"], 0)
+
+
+def test_summaries_take_a_row_at_a_time(spark):
+    """Values of many columns are not stacked below each other before they are reduced."""
+    df, names = table(spark, [["a", None, "b"], ["c", "c", None]])
+    plan = frequent.summaries(df, names, 16)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("approx_top_k_accumulate", 1)
+    assert "Generate" in above and "Generate" not in below
+
+
+def test_recount_reads_only_its_columns(spark):
+    df, names = table(spark, [["a", "a", "b"], ["c", None, "d"], [None, None, "e"]])
+    named = spark.createDataFrame(
+        [(1, "c"), (2, None), (0, "a")], "position int, value string"
+    )
+    counts = frequent._recounted(df, names, named, [2, 1])
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode(array(C3" in plan and "array(C1" not in plan
+    assert {tuple(row) for row in counts.collect()} == {
+        (2, None, True, 2), (2, None, False, 1), (1, "c", True, 1), (1, None, False, 2),
+    }
+
+
+def test_values_that_share_a_hash_are_counted_apart(spark, monkeypatch):
+    monkeypatch.setattr(frequent, "_hash", lambda value: frequent.F.length(value).cast("bigint"))
+    rng = random.Random(11)
+    df, names = table(spark, [[rng.choice(["a", "b", "cc", "dd", None]) for _ in range(900)],
+                              zipf(rng, 900, 400)])
+    for n in (1, 2, 7):
+        got, full = both(df, names, n, tracked=64)
+        assert got == full

@@ -181,6 +181,34 @@ def test_top_categories_are_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan
 
 
+def test_few_values_are_ranked(spark):
+    """Rows that cannot be among the first are out before the sort, ties are not."""
+    rng = random.Random(8)
+    rows = [("C1", f"v{i}", rng.randrange(1, 10_000)) for i in range(20_000)]
+    rows += [("C2", f"v{i}", 1) for i in range(3000)] + [("C3", None, 4), ("C3", "x", 2)]
+    counts = spark.createDataFrame(rows, "column string, value string, count bigint")
+    found = {r["column"]: r for r in profile._bounds(counts, 10).collect()}
+    ranked = sorted((count for name, _, count in rows if name == "C1"), reverse=True)
+    assert found["C1"]["least"] <= ranked[9] and found["C1"]["least"] >= ranked[30]
+    assert [found[c]["least"] for c in ("C2", "C3")] == [1, 0]
+    assert found["C1"]["total"] == sum(ranked) and found["C3"]["total"] == 6
+    top = profile.top_categories(counts, 10).collect()
+    of = {c: sorted((r for r in top if r["column"] == c), key=lambda r: r["rank"]) for c in found}
+    assert [r["count"] for r in of["C1"][:10]] == ranked[:10]
+    assert [r["value"] for r in of["C2"][:10]] == sorted(f"v{i}" for i in range(3000))[:10]
+    assert [r["value"] for r in of["C3"]] == [None, "x", None]
+
+
+def test_counts_tell_texts_apart_by_their_bytes(spark):
+    frame = spark.createDataFrame([("a", 1), ("A", 1), ("", 2), (None, None)], "C1 string, C2 int")
+    counts = profile.category_counts(frame, ["C1", "C2"])
+    assert dict(counts.dtypes)["value"] == "string"
+    assert {tuple(row) for row in counts.collect()} == {
+        ("C1", "a", 1), ("C1", "A", 1), ("C1", "", 1), ("C1", None, 1),
+        ("C2", "1", 2), ("C2", "2", 1), ("C2", None, 1),
+    }
+
+
 def test_projections(spark):
     frame = spark.createDataFrame([(1, 2, "a"), (0, None, None)], "label int, I1 bigint, C1 string")
     assert profile.column_at(frame, 2).columns == ["C1"]
