@@ -37,11 +37,17 @@ def index_labels(df: DataFrame, label: str = LABEL) -> StringIndexerModel:
 def _dealt(features: DataFrame) -> DataFrame:
     """Training rows in tasks that do not grow with them: training keeps its tasks' rows in
     memory and reads them once a pass. Few rows stay as they are, and so do rows that come
-    in enough tasks."""
-    tasks = math.ceil(features.count() / TRAINING_ROWS_PER_TASK)
-    if tasks <= features.sparkSession.sparkContext.defaultParallelism:
-        return features
-    if tasks <= features.rdd.getNumPartitions():
+    in enough tasks, unless one task has far more than its share."""
+    sizes = features.groupBy(F.spark_partition_id()).count()
+    # One number per task that has rows.
+    found = sizes.agg(
+        F.coalesce(F.sum("count"), F.lit(0)).alias("rows"),
+        F.count(F.lit(1)).alias("tasks"),
+        F.coalesce(F.max("count"), F.lit(0)).alias("largest"),
+    ).first()
+    tasks = math.ceil(found["rows"] / TRAINING_ROWS_PER_TASK)
+    enough = max(features.sparkSession.sparkContext.defaultParallelism, found["tasks"])
+    if tasks <= enough and found["largest"] <= 2 * TRAINING_ROWS_PER_TASK:
         return features
     return features.repartition(tasks)
 

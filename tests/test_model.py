@@ -134,3 +134,20 @@ def test_many_training_rows_are_dealt_out_to_more_tasks(spark, monkeypatch):
     monkeypatch.setattr(model, "TRAINING_ROWS_PER_TASK", 10)
     dealt = model._dealt(rows)
     assert dealt.rdd.getNumPartitions() == 9 and dealt.distinct().count() == 90
+
+
+def test_a_task_with_far_more_training_rows_than_others_is_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(model, "TRAINING_ROWS_PER_TASK", 10)
+    key = F.when(F.col("id") < 60, -1).otherwise(F.col("id"))
+    # As many tasks as the rows need, but most rows have one key and lie in one of them.
+    rows = spark.range(90).repartition(9, key).persist()
+    few = spark.range(30).coalesce(1)
+    for skewed, tasks in ((rows, 9), (few, 3)):
+        dealt = model._dealt(skewed)
+        sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) <= 20 and sum(sizes) == skewed.count()
+        assert dealt.rdd.getNumPartitions() == tasks and dealt.distinct().count() == sum(sizes)
+    rows.unpersist()
+    even = spark.range(0, 90, 1, 9)
+    assert model._dealt(even) is even
+    assert model._dealt(spark.range(0)).count() == 0
